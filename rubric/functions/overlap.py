@@ -22,12 +22,17 @@ from pyspark.sql import functions as F
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """Space-joined n-grams of a token array (tokens never contain spaces)."""
-    return F.when(
-        F.size(tokens) >= n,
-        F.transform(F.sequence(F.lit(0), F.size(tokens) - n),
-                    lambda i: F.array_join(F.slice(tokens, i + 1, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    """Space-joined n-grams of a token array (tokens never contain spaces).
+
+    Built from ``n`` shifted slices zipped together, so no lambda captures the
+    token array (a captured array expression would be re-evaluated per
+    element)."""
+    if n == 1:
+        return tokens
+    count = F.greatest(F.size(tokens) - n + 1, F.lit(0))
+    shifted = [F.slice(tokens, k + 1, count) for k in range(n)]
+    return F.zip_with(shifted[0], shifted[1], lambda a, b: F.concat_ws(" ", a, b)) if n == 2 else \
+        F.transform(F.arrays_zip(*shifted), lambda z: F.concat_ws(" ", *[z[str(k)] for k in range(n)]))
 
 
 def ngram_matches(ref_tokens: Column, pred_tokens: Column, n: int) -> Column:
@@ -55,17 +60,22 @@ def _code_point_hex(i: Column) -> Column:
     bmp = F.lpad(F.hex(cp), 4, "0")
     sup = cp - 0x10000
     pair = F.concat(F.hex(F.lit(0xD800) + F.shiftright(sup, 10)),
-                    F.hex(F.lit(0xDC00) + F.bitwise_not(F.lit(-1024)).bitwiseAND(sup)))
+                    F.hex(F.lit(0xDC00) + F.lit(0x3FF).bitwiseAND(sup)))
     return F.when(cp < 0x10000, bmp).otherwise(pair)
 
 
 def _encode(words: Column, vocab: Column) -> Column:
-    hexs = F.array_join(F.transform(words, lambda w: _code_point_hex(F.array_position(vocab, w) - 1)), "")
+    index = F.transform(words, lambda w: F.array_position(vocab, w) - 1)
+    hexs = F.array_join(F.transform(index, _code_point_hex), "")
     return F.decode(F.unhex(hexs), "UTF-16BE")
 
 
-def word_edit_distance(ref_words: Column, pred_words: Column) -> Column:
-    vocab = F.array_distinct(F.concat(ref_words, pred_words))
+def word_vocab(ref_words: Column, pred_words: Column) -> Column:
+    """Distinct words of a pair; compute as its own column, then encode."""
+    return F.array_distinct(F.concat(ref_words, pred_words))
+
+
+def word_edit_distance(ref_words: Column, pred_words: Column, vocab: Column) -> Column:
     return F.levenshtein(_encode(ref_words, vocab), _encode(pred_words, vocab))
 
 

@@ -1,11 +1,16 @@
 """Per-sample text metrics (M1-M13) and the metric registry.
 
-A metric is a pair of Column builders: ``pair`` turns a sample's raw gold and
-response into the (ref, pred) the metric compares, and ``score`` turns that
-pair into ``struct<value: double, valid: boolean>``.  ``valid`` carries the
-metric's own skip rule, so denominators differ per metric without filtering
-rows away.  ``score_pairs`` applies any list of metrics in one narrow
-``select`` (multi-metric scoring, M12).
+A metric is a pairing rule plus a *staged plan*: a list of stages, each a
+function from "column getter" to new named columns.  Stage ``k`` only reads
+columns produced by earlier stages as plain column references, so expensive
+inputs (token arrays, vocabularies) are computed once per row and never
+re-evaluated inside a higher-order lambda.  The last stage returns
+``{output name: struct<value: double, valid: boolean>}``; ``valid`` carries
+the metric's own skip rule, so denominators differ per metric without
+filtering rows away.
+
+``score_pairs`` runs any list of metrics side by side, stage by stage, in
+narrow ``select``s (multi-metric scoring, M12): no shuffle, one pass.
 
 All metrics are built-in Spark functions except the LCS family (ROUGE-L,
 ROUGE-Lsum, fuzzy ratios), which runs on Arrow batches.
@@ -20,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rubric.functions import lcs
-from rubric.functions.overlap import jiwer_words, ngram_matches, word_edit_distance
+from rubric.functions.overlap import jiwer_words, ngram_matches, word_edit_distance, word_vocab
 from rubric.functions.text import (
     extract_asr_text,
     first_word_or_line,
@@ -30,14 +35,15 @@ from rubric.functions.text import (
     ws_tokens,
 )
 
-ScoreFn = Callable[[Column, Column], Column]
+Getter = Callable[[str], Column]
+Stage = Callable[[Getter], dict]
 
 
-def _result(value: Column, valid: Column) -> Column:
+def result(value: Column, valid: Column) -> Column:
     return F.struct(value.cast("double").alias("value"), valid.alias("valid"))
 
 
-def _f1(matches: Column, n_ref: Column, n_pred: Column) -> Column:
+def f1(matches: Column, n_ref: Column, n_pred: Column) -> Column:
     p = matches / F.greatest(n_pred, F.lit(1))
     r = matches / F.greatest(n_ref, F.lit(1))
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
@@ -62,95 +68,152 @@ def pair_asr(gold: Column, response: Column) -> tuple[Column, Column]:
 
 
 # ---------------------------------------------------------------------------
-# scores
+# staged plans; every plan starts from columns "ref" and "pred"
 # ---------------------------------------------------------------------------
 
-def bleu(ref: Column, pred: Column) -> Column:
+def bleu_plan(name: str = "bleu") -> list[Stage]:
     """Sentence BLEU, 4-gram, no smoothing; skipped when either prepared side
     is empty.  Ref keeps braces, pred maps {} to []; both lose Arabic marks."""
-    r = ws_tokens(space_punctuation(ref, change_braces=False, remove_diacritics=True))
-    p = ws_tokens(space_punctuation(pred, change_braces=True, remove_diacritics=True))
-    lr, lp = F.size(r), F.size(p)
-    precisions = []
-    for n in range(1, 5):
-        possible = lp - n + 1
-        precisions.append(F.when(possible > 0, ngram_matches(r, p, n) / possible).otherwise(F.lit(0.0)))
-    geo = F.when(F.least(*precisions) > 0,
-                 F.exp(sum(F.ln(x) for x in precisions) / 4)).otherwise(F.lit(0.0))
-    bp = F.when(lp > lr, F.lit(1.0)).otherwise(F.exp(1 - lr / lp))
-    valid = (lr > 0) & (lp > 0)
-    return _result(F.when(valid, geo * bp), valid)
+    def tokens(c: Getter) -> dict:
+        return {"rt": ws_tokens(space_punctuation(c("ref"), change_braces=False, remove_diacritics=True)),
+                "pt": ws_tokens(space_punctuation(c("pred"), change_braces=True, remove_diacritics=True))}
 
+    def matches(c: Getter) -> dict:
+        out = {f"m{n}": ngram_matches(c("rt"), c("pt"), n) for n in range(1, 5)}
+        out["lr"], out["lp"] = F.size(c("rt")), F.size(c("pt"))
+        return out
 
-def _rouge_tokens(ref: Column, pred: Column) -> tuple[Column, Column]:
-    r = ws_tokens(space_punctuation(ref, change_braces=False))
-    p = ws_tokens(space_punctuation(pred, change_braces=True))
-    return r, p
+    def score(c: Getter) -> dict:
+        lr, lp = c("lr"), c("lp")
+        precisions = [F.when(lp - n + 1 > 0, c(f"m{n}") / (lp - n + 1)).otherwise(F.lit(0.0)) for n in range(1, 5)]
+        geo = F.when(F.least(*precisions) > 0,
+                     F.exp(sum(F.ln(x) for x in precisions) / 4)).otherwise(F.lit(0.0))
+        bp = F.when(lp > lr, F.lit(1.0)).otherwise(F.exp(1 - lr / lp))
+        valid = (lr > 0) & (lp > 0)
+        return {name: result(F.when(valid, geo * bp), valid)}
 
+    return [tokens, matches, score]
 
-def rouge_n(n: int) -> ScoreFn:
-    def score(ref: Column, pred: Column) -> Column:
-        r, p = _rouge_tokens(ref, pred)
-        nr = F.greatest(F.size(r) - n + 1, F.lit(0))
-        npred = F.greatest(F.size(p) - n + 1, F.lit(0))
-        return _result(_f1(ngram_matches(r, p, n), nr, npred), F.lit(True))
-    return score
 
-
-def rouge_l(ref: Column, pred: Column) -> Column:
-    r, p = _rouge_tokens(ref, pred)
-    return _result(lcs.rouge_l_udf(r, p), F.lit(True))
+ROUGE_PARTS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 
 
 def _sentences(text: Column) -> Column:
     """Newline-separated sentences (non-empty), each split on white space."""
     parts = F.filter(F.split(trim_ws(text), "\n"), lambda s: F.length(s) > 0)
-    return F.transform(parts, lambda s: ws_tokens(s))
-
-
-def rouge_lsum(ref: Column, pred: Column) -> Column:
-    r = _sentences(space_punctuation(ref, change_braces=False))
-    p = _sentences(space_punctuation(pred, change_braces=True))
-    return _result(lcs.rouge_lsum_udf(r, p), F.lit(True))
+    return F.transform(parts, ws_tokens)
+
+
+def rouge_plan(parts: tuple[str, ...] = ROUGE_PARTS) -> list[Stage]:
+    """ROUGE F1 on punctuation-padded whitespace tokens, no stemming.  The
+    reference keeps braces, the prediction maps {} to []; mean over all rows."""
+    def prep(c: Getter) -> dict:
+        ref = space_punctuation(c("ref"), change_braces=False)
+        pred = space_punctuation(c("pred"), change_braces=True)
+        out = {"rt": ws_tokens(ref), "pt": ws_tokens(pred)}
+        if "rougeLsum" in parts:
+            out["rs"], out["ps"] = _sentences(ref), _sentences(pred)
+        return out
+
+    def counts(c: Getter) -> dict:
+        out = {"lr": F.size(c("rt")), "lp": F.size(c("pt"))}
+        if "rouge1" in parts:
+            out["m1"] = ngram_matches(c("rt"), c("pt"), 1)
+        if "rouge2" in parts:
+            out["m2"] = ngram_matches(c("rt"), c("pt"), 2)
+        if "rougeL" in parts:
+            out["lcs_f"] = lcs.rouge_l_udf(c("rt"), c("pt"))
+        if "rougeLsum" in parts:
+            out["lsum_f"] = lcs.rouge_lsum_udf(c("rs"), c("ps"))
+        return out
+
+    def score(c: Getter) -> dict:
+        ok = F.lit(True)
+        lr, lp = c("lr"), c("lp")
+        out = {}
+        if "rouge1" in parts:
+            out["rouge1"] = result(f1(c("m1"), lr, lp), ok)
+        if "rouge2" in parts:
+            out["rouge2"] = result(f1(c("m2"), F.greatest(lr - 1, F.lit(0)), F.greatest(lp - 1, F.lit(0))), ok)
+        if "rougeL" in parts:
+            out["rougeL"] = result(c("lcs_f"), ok)
+        if "rougeLsum" in parts:
+            out["rougeLsum"] = result(c("lsum_f"), ok)
+        return out
+
+    return [prep, counts, score]
+
+
+def wer_plan(name: str = "wer") -> list[Stage]:
+    """Word error rate; skipped when either side is empty or the reference has
+    no words."""
+    def words(c: Getter) -> dict:
+        return {"rw": jiwer_words(c("ref")), "pw": jiwer_words(c("pred")),
+                "ok": (F.coalesce(c("ref"), F.lit("")) != "") & (F.coalesce(c("pred"), F.lit("")) != "")}
+
+    def vocab(c: Getter) -> dict:
+        return {"vocab": word_vocab(c("rw"), c("pw")), "n": F.size(c("rw"))}
+
+    def score(c: Getter) -> dict:
+        valid = c("ok") & (c("n") > 0)
+        dist = word_edit_distance(c("rw"), c("pw"), c("vocab"))
+        return {name: result(F.when(valid, dist / c("n")), valid)}
+
+    return [words, vocab, score]
+
+
+def cer_plan(name: str = "cer") -> list[Stage]:
+    """Character error rate on stripped text (code points)."""
+    def prep(c: Getter) -> dict:
+        return {"r": trim_ws(F.coalesce(c("ref"), F.lit(""))), "p": trim_ws(F.coalesce(c("pred"), F.lit(""))),
+                "ok": (F.coalesce(c("ref"), F.lit("")) != "") & (F.coalesce(c("pred"), F.lit("")) != "")}
 
+    def score(c: Getter) -> dict:
+        valid = c("ok") & (F.length(c("r")) > 0)
+        return {name: result(F.when(valid, F.levenshtein(c("r"), c("p")) / F.length(c("r"))), valid)}
 
-def wer(ref: Column, pred: Column) -> Column:
-    """Word error rate; skipped when either raw side is empty or the reference
-    has no words."""
-    rw, pw = jiwer_words(ref), jiwer_words(pred)
-    valid = (F.coalesce(ref, F.lit("")) != "") & (F.coalesce(pred, F.lit("")) != "") & (F.size(rw) > 0)
-    return _result(F.when(valid, word_edit_distance(rw, pw) / F.size(rw)), valid)
+    return [prep, score]
 
 
-def cer(ref: Column, pred: Column) -> Column:
-    """Character error rate on stripped text (code points)."""
-    r, p = trim_ws(F.coalesce(ref, F.lit(""))), trim_ws(F.coalesce(pred, F.lit("")))
-    valid = (F.coalesce(ref, F.lit("")) != "") & (F.coalesce(pred, F.lit("")) != "") & (F.length(r) > 0)
-    return _result(F.when(valid, F.levenshtein(r, p) / F.length(r)), valid)
+def exact_accuracy_plan(name: str = "exact_accuracy") -> list[Stage]:
+    def prep(c: Getter) -> dict:
+        return {"a": normalize_answer(c("ref")), "b": normalize_answer(c("pred")),
+                "ok": c("ref").isNotNull() & c("pred").isNotNull()}
 
+    def score(c: Getter) -> dict:
+        valid = c("ok") & (c("a") != "") & (c("b") != "")
+        return {name: result(F.when(valid, (c("a") == c("b")).cast("double")), valid)}
 
-def exact_accuracy(ref: Column, pred: Column) -> Column:
-    a, b = normalize_answer(ref), normalize_answer(pred)
-    valid = ref.isNotNull() & pred.isNotNull() & (a != "") & (b != "")
-    return _result(F.when(valid, (a == b).cast("double")), valid)
+    return [prep, score]
 
 
 FUZZY_THRESHOLD = 0.85
 
 
-def fuzzy_accuracy(ref: Column, pred: Column) -> Column:
+def fuzzy_accuracy_plan(name: str = "accuracy") -> list[Stage]:
     """Correct when the normalised answers are equal, one contains the other
-    (partial ratio 1), or their indel ratio / best-window ratio reaches 0.85.
-    Only rows not settled by equality or containment go to Python."""
-    a, b = normalize_answer(ref), normalize_answer(pred)
-    valid = ref.isNotNull() & pred.isNotNull() & (a != "") & (b != "")
-    settled = (a == b) | F.contains(a, b) | F.contains(b, a)
-    needs = valid & ~settled
-    ra = F.when(needs, a)
-    rb = F.when(needs, b)
-    fuzzy_hit = (lcs.ratio_udf(ra, rb) >= FUZZY_THRESHOLD) | (lcs.partial_ratio_udf(ra, rb) >= FUZZY_THRESHOLD)
-    value = F.when(~valid, F.lit(None)).when(settled, F.lit(1.0)).otherwise(fuzzy_hit.cast("double"))
-    return _result(value, valid)
+    (best-window ratio 1), or their indel ratio / best-window ratio reaches
+    0.85.  Only rows not settled by equality or containment go to Python."""
+    def prep(c: Getter) -> dict:
+        return {"a": normalize_answer(c("ref")), "b": normalize_answer(c("pred")),
+                "ok": c("ref").isNotNull() & c("pred").isNotNull()}
+
+    def settle(c: Getter) -> dict:
+        a, b = c("a"), c("b")
+        valid = c("ok") & (a != "") & (b != "")
+        settled = (a == b) | F.contains(a, b) | F.contains(b, a)
+        return {"valid": valid, "settled": settled,
+                "ra": F.when(valid & ~settled, a), "rb": F.when(valid & ~settled, b)}
+
+    def fuzzy(c: Getter) -> dict:
+        return {"ratio": lcs.ratio_udf(c("ra"), c("rb")), "partial": lcs.partial_ratio_udf(c("ra"), c("rb"))}
+
+    def score(c: Getter) -> dict:
+        hit = (c("ratio") >= FUZZY_THRESHOLD) | (c("partial") >= FUZZY_THRESHOLD)
+        value = F.when(~c("valid"), F.lit(None)).when(c("settled"), F.lit(1.0)).otherwise(hit.cast("double"))
+        return {name: result(value, c("valid"))}
+
+    return [prep, settle, fuzzy, score]
 
 
 # ---------------------------------------------------------------------------
@@ -160,13 +223,14 @@ def fuzzy_accuracy(ref: Column, pred: Column) -> Column:
 @dataclass(frozen=True)
 class MetricDef:
     name: str
-    score: ScoreFn
+    plan: Callable[[], list[Stage]]
     pair: Callable[[Column, Column], tuple[Column, Column]] = pair_raw
     higher_is_better: bool = True
     empty_value: float = 0.0          # task value when no sample is valid
-    mean_over_all: bool = False       # ROUGE divides by every row
-    aggregation: str = "mean"
-    parts: tuple[str, ...] = field(default_factory=tuple)
+    outputs: tuple[str, ...] = field(default_factory=tuple)
+
+    def output_names(self) -> tuple[str, ...]:
+        return self.outputs or (self.name,)
 
 
 class MetricRegistry:
@@ -184,6 +248,9 @@ class MetricRegistry:
     def names(self) -> list[str]:
         return [m.name for m in self._defs.values()]
 
+    def defs(self) -> list[MetricDef]:
+        return list(self._defs.values())
+
     def resolve(self, name: str) -> str:
         """First registered name contained (case-insensitively) in ``name``;
         the name itself when none is."""
@@ -198,49 +265,60 @@ class MetricRegistry:
 
 
 REGISTRY = MetricRegistry()
-# registration order matters for resolve(): "accuracy" precedes "fuzzy_accuracy"
-REGISTRY.register(MetricDef("bleu", bleu))
-REGISTRY.register(MetricDef("rouge", rouge_lsum, mean_over_all=True,
-                            parts=("rouge1", "rouge2", "rougeL", "rougeLsum")))
-REGISTRY.register(MetricDef("accuracy", fuzzy_accuracy, pair=pair_answer))
-REGISTRY.register(MetricDef("fuzzy_accuracy", fuzzy_accuracy, pair=pair_answer))
-REGISTRY.register(MetricDef("wer", wer, pair=pair_asr, higher_is_better=False, empty_value=1.0))
-REGISTRY.register(MetricDef("cer", cer, pair=pair_asr, higher_is_better=False, empty_value=1.0))
-REGISTRY.register(MetricDef("exact_accuracy", exact_accuracy, pair=pair_answer))
-
-ROUGE_PARTS: dict[str, ScoreFn] = {
-    "rouge1": rouge_n(1),
-    "rouge2": rouge_n(2),
-    "rougeL": rouge_l,
-    "rougeLsum": rouge_lsum,
-}
-
-
-def register_metric(name: str, score: ScoreFn, *, pair=pair_raw, higher_is_better: bool = True,
-                    empty_value: float = 0.0) -> MetricDef:
-    """Add a user metric (a Column builder; a pandas UDF is fine too)."""
-    m = MetricDef(name, score, pair=pair, higher_is_better=higher_is_better, empty_value=empty_value)
+# Registration order matters for resolve(): "accuracy" precedes "fuzzy_accuracy".
+REGISTRY.register(MetricDef("bleu", bleu_plan))
+REGISTRY.register(MetricDef("rouge", rouge_plan, outputs=ROUGE_PARTS))
+REGISTRY.register(MetricDef("accuracy", lambda: fuzzy_accuracy_plan("accuracy"), pair=pair_answer))
+REGISTRY.register(MetricDef("fuzzy_accuracy", lambda: fuzzy_accuracy_plan("fuzzy_accuracy"), pair=pair_answer))
+REGISTRY.register(MetricDef("wer", wer_plan, pair=pair_asr, higher_is_better=False, empty_value=1.0))
+REGISTRY.register(MetricDef("cer", cer_plan, pair=pair_asr, higher_is_better=False, empty_value=1.0))
+REGISTRY.register(MetricDef("exact_accuracy", exact_accuracy_plan, pair=pair_answer))
+
+
+def register_metric(name: str, score: Callable[[Column, Column], Column], *, pair=pair_raw,
+                    higher_is_better: bool = True, empty_value: float = 0.0) -> MetricDef:
+    """Add a user metric from a ``(ref, pred) -> struct(value, valid)``
+    Column builder (a pandas UDF inside it is fine)."""
+    m = MetricDef(name, lambda: [lambda c: {name: score(c("ref"), c("pred"))}], pair=pair,
+                  higher_is_better=higher_is_better, empty_value=empty_value)
     REGISTRY.register(m)
     return m
 
 
-def metric_columns(name: str, gold: Column, response: Column) -> dict[str, Column]:
-    """Score columns (struct value/valid) produced by one metric name."""
-    m = REGISTRY.get(name)
-    ref, pred = m.pair(gold, response)
-    if m.parts:
-        return {part: ROUGE_PARTS[part](ref, pred) for part in m.parts}
-    return {m.name: m.score(ref, pred)}
-
-
 def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
-                response: str = "response", keep: list[str] | None = None) -> DataFrame:
-    """Wide per-sample scores: one struct column per metric (or ROUGE part)."""
-    cols = {}
-    for name in metrics:
-        cols.update(metric_columns(name, F.col(gold), F.col(response)))
+                response: str = "response", keep: list[str] | None = None,
+                only: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Wide per-sample scores: one struct column per metric output.
+
+    ``only`` optionally restricts a multi-output metric (e.g. rouge) to some
+    outputs.  Stages of all metrics advance together, one ``select`` each.
+    """
     keep = keep if keep is not None else [c for c in pairs.columns if c not in (gold, response)]
-    return pairs.select(*keep, *[c.alias(k) for k, c in cols.items()])
+    plans = {}
+    first = []
+    for name in metrics:
+        m = REGISTRY.get(name)
+        ref, pred = m.pair(F.col(gold), F.col(response))
+        first += [ref.alias(f"{m.name}__ref"), pred.alias(f"{m.name}__pred")]
+        if only and name in only and m.name == "rouge":
+            plans[m.name] = rouge_plan(only[name])
+        else:
+            plans[m.name] = m.plan()
+    cur = pairs.select(*keep, *first)
+    outputs: list[str] = []
+    for k in range(max(len(p) for p in plans.values())):
+        new = []
+        for mname, stages in plans.items():
+            if k >= len(stages):
+                continue
+            got = stages[k](lambda col, _m=mname: F.col(f"{_m}__{col}"))
+            last = k == len(stages) - 1
+            for out, expr in got.items():
+                new.append(expr.alias(out if last else f"{mname}__{out}"))
+                if last:
+                    outputs.append(out)
+        cur = cur.select("*", *new)
+    return cur.select(*keep, *outputs)
 
 
 def to_long(scored: DataFrame, keys: list[str], score_cols: list[str]) -> DataFrame:

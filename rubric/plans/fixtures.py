@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rubric.functions.text import escape_newlines
+from rubric.session import spread
 
 MODELS = ["m0", "m1", "m2"]
 
@@ -91,18 +92,35 @@ def join_responses(items: DataFrame, responses: DataFrame, keys: list[str]) -> D
 # F-B passages found in documents
 # ---------------------------------------------------------------------------
 
-# Content-defined anchors: a K-character window is an anchor when its hash is
-# 0 modulo M.  A passage contained in a document has all its anchors inside
-# that document too, so an equi-join on one passage anchor finds every
-# containing document without comparing all passages with all documents.
-ANCHOR_K = 12
-ANCHOR_M = 8
+# Winnowed word-shingle anchors.  A word strictly inside a passage (not its
+# first or last token, which may be cut) is a whole word of any document
+# containing the passage, so the passage's interior K-word shingles are
+# shingles of that document too.  Both sides keep the minimum-hash shingle of
+# every window of W consecutive shingles; a passage with at least W interior
+# shingles shares a whole window, hence an anchor, with every document that
+# contains it.  Anchors are ~2/(W+1) of a document's shingles, so the
+# equi-join replaces an all-passages x all-documents comparison.
+SHINGLE_K = 3
+WINNOW_W = 10
 
 
-def _anchors(text: F.Column) -> F.Column:
-    windows = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - ANCHOR_K + 1, F.lit(1))),
-                          lambda i: F.substring(text, i, ANCHOR_K))
-    return F.filter(windows, lambda w: (F.length(w) == ANCHOR_K) & (F.pmod(F.xxhash64(w), F.lit(ANCHOR_M)) == 0))
+def _shingles(tokens: F.Column) -> F.Column:
+    n = F.greatest(F.size(tokens) - SHINGLE_K + 1, F.lit(0))
+    cols = [F.slice(tokens, k + 1, n) for k in range(SHINGLE_K)]
+    return F.transform(F.arrays_zip(*cols),
+                       lambda z: F.struct(F.xxhash64(*[z[str(k)] for k in range(SHINGLE_K)]).alias("h"),
+                                          F.concat_ws(" ", *[z[str(k)] for k in range(SHINGLE_K)]).alias("s")))
+
+
+def _winnow(shingles: F.Column) -> F.Column:
+    """Distinct window minima (by hash, then text) over windows of W shingles."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(shingles) - WINNOW_W + 1, F.lit(1)))
+    mins = F.transform(starts, lambda j: F.array_min(F.slice(shingles, j, WINNOW_W)))
+    return F.when(F.size(shingles) >= WINNOW_W, F.array_distinct(F.transform(mins, lambda m: m["s"])))
+
+
+def _words(text: F.Column) -> F.Column:
+    return F.split(text, r"(?U)\s+")
 
 
 def passage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,16 +129,24 @@ def passage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     bench = table(spark, sf_dir, "benchmark", "item_id", "text")
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
 
-    passages = bench.select("item_id", F.col("text").alias("passage"),
-                            F.get(_anchors(F.col("text")), 0).alias("anchor"))
-    doc_anchors = docs.select("doc_id", F.explode(F.array_distinct(_anchors(F.col("text")))).alias("anchor"))
+    # interior tokens only: drop the first and last (possibly partial) token
+    p_tok = bench.select("item_id", F.col("text").alias("passage"), _words(F.col("text")).alias("tok"))
+    p_sh = p_tok.select("item_id", "passage",
+                        _shingles(F.slice("tok", 2, F.greatest(F.size("tok") - 2, F.lit(0)))).alias("sh"))
+    p_anchor = p_sh.select("item_id", "passage", _winnow(F.col("sh")).alias("anchors"))
+
+    d_tok = spread(docs.select("doc_id", "text")).select("doc_id", _words(F.col("text")).alias("tok"))
+    d_sh = d_tok.select("doc_id", _shingles(F.col("tok")).alias("sh"))
+    d_anchor = d_sh.select("doc_id", F.explode(_winnow(F.col("sh"))).alias("anchor"))
 
-    anchored = passages.filter(F.col("anchor").isNotNull())
-    candidates = anchored.join(doc_anchors, "anchor").select("item_id", "doc_id", "passage")
+    anchored = p_anchor.filter(F.col("anchors").isNotNull()).select(
+        "item_id", "passage", F.explode("anchors").alias("anchor"))
+    candidates = anchored.join(d_anchor, "anchor").select("item_id", "doc_id", "passage").dropDuplicates(
+        ["item_id", "doc_id"])
     found = candidates.join(docs, "doc_id").filter(F.contains(F.col("text"), F.col("passage")))
 
-    # passages too short (or unlucky) to hold an anchor: direct containment test
-    bare = passages.filter(F.col("anchor").isNull()).select("item_id", "passage")
+    # passages too short for a full window: direct containment test
+    bare = p_anchor.filter(F.col("anchors").isNull()).select("item_id", "passage")
     found_bare = bare.join(docs, F.contains(docs["text"], bare["passage"]))
 
     cols = ["item_id", "doc_id", "source", "lang", "passage", F.col("text").alias("document")]

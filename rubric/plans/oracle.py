@@ -92,3 +92,64 @@ def conversation_pairs_sql() -> str:
     SELECT 'm' || k::VARCHAR AS model, conv_id, turn, question, gold, task, category,
            array_to_string(list_filter(string_split(answer_raw, ' '), lambda w, i: (i - 1) % (k + 3) <> 2), ' ') AS response
     FROM (SELECT *, unnest([0, 1, 2]) AS k FROM ({conversation_items_sql()}))"""
+
+
+PUNCT = "[\\pP`÷×<>^~¦+|ـ]"
+
+
+def space_punct(x: str, braces: bool = False, diacritics: bool = False) -> str:
+    """Pad punctuation (minus backslash, which is parked on chr(1)) with spaces."""
+    t = f"replace(coalesce({x}, ''), '\\', chr(1))"
+    t = f"regexp_replace({t}, '({PUNCT})', ' \\1 ', 'g')"
+    t = f"replace({t}, chr(1), '\\')"
+    if braces:
+        t = f"translate({t}, '{{}}', '[]')"
+    if diacritics:
+        t = f"regexp_replace({t}, '[\\x{{064B}}-\\x{{0652}}]', '', 'g')"
+    return t
+
+
+def tokens(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({trim(x)}, '\\s+'), lambda w: w <> '')"
+
+
+def ngram_list(t: str, n: int) -> str:
+    return f"list_transform(range(1, len({t}) - {n} + 2), lambda i: array_to_string({t}[i:i + {n} - 1], ' '))"
+
+
+def ngram_matches_sql(src: str, keys: list[str], max_n: int) -> str:
+    """Rows (keys..., m1..m{max_n}) of clipped n-gram matches between the token
+    lists ``rt`` and ``pt`` of ``src`` (pairs without matches get 0)."""
+    k = ", ".join(keys)
+    sides = []
+    for n in range(1, max_n + 1):
+        sides.append(f"SELECT {k}, {n} AS n, unnest({ngram_list('rt', n)}) AS g, 1 AS r FROM {src}")
+        sides.append(f"SELECT {k}, {n} AS n, unnest({ngram_list('pt', n)}) AS g, 0 AS r FROM {src}")
+    grams = " UNION ALL ".join(sides)
+    per = f"""SELECT {k}, n, sum(least(cr, cp)) AS matches FROM (
+        SELECT {k}, n, g, sum(r) AS cr, sum(1 - r) AS cp FROM ({grams}) GROUP BY {k}, n, g)
+      GROUP BY {k}, n"""
+    cols = ", ".join(f"coalesce(sum(CASE WHEN x.n = {n} THEN x.matches END), 0) AS m{n}" for n in range(1, max_n + 1))
+    on = " AND ".join(f"s.{c} IS NOT DISTINCT FROM x.{c}" for c in keys)
+    sk = ", ".join(f"s.{c}" for c in keys)
+    return f"SELECT {sk}, {cols} FROM {src} s LEFT JOIN ({per}) x ON {on} GROUP BY {sk}"
+
+
+def f1(m: str, nr: str, np_: str) -> str:
+    p = f"({m} / greatest({np_}, 1))"
+    r = f"({m} / greatest({nr}, 1))"
+    return f"(CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END)"
+
+
+def bleu_from(m: list[str], lr: str, lp: str) -> str:
+    precs = [f"(CASE WHEN {lp} - {n} + 1 > 0 THEN {m[n - 1]} / ({lp} - {n} + 1) ELSE 0.0 END)" for n in range(1, 5)]
+    geo = (f"(CASE WHEN least({', '.join(precs)}) > 0 THEN exp(({' + '.join(f'ln({p})' for p in precs)}) / 4) "
+           f"ELSE 0.0 END)")
+    bp = f"(CASE WHEN {lp} > {lr} THEN 1.0 ELSE exp(1 - {lr} / {lp}) END)"
+    return f"({geo} * {bp})"
+
+
+def passage_pairs_sql() -> str:
+    return """
+    SELECT b.item_id, d.doc_id, d.source, d.lang, b.text AS passage, d.text AS document
+    FROM benchmark b JOIN documents d ON contains(d.text, b.text)"""

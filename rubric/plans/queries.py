@@ -74,3 +74,111 @@ def avg_scores_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     avg = rollup.average_scores(tasks, ["model"])
     return avg.select("model", "metric", "average_score", "n_tasks",
                       _r(F.col("min_score")).alias("min_score"), _r(F.col("max_score")).alias("max_score"))
+
+
+# ---------------------------------------------------------------------------
+# N-gram metrics on conversation samples
+# ---------------------------------------------------------------------------
+
+_FA_KEYS = ["model", "conv_id", "turn"]
+
+BLEU_SQL = f"""
+WITH pairs AS ({o.conversation_pairs_sql()}),
+prep AS (
+  SELECT model, conv_id, turn, task,
+         {o.tokens(o.space_punct('gold', braces=False, diacritics=True))} AS rt,
+         {o.tokens(o.space_punct('response', braces=True, diacritics=True))} AS pt
+  FROM pairs),
+m AS ({o.ngram_matches_sql('prep', _FA_KEYS, 4)}),
+scored AS (
+  SELECT p.model, p.task, len(p.rt) AS lr, len(p.pt) AS lp,
+         {o.bleu_from(['m.m1', 'm.m2', 'm.m3', 'm.m4'], 'len(p.rt)', 'len(p.pt)')} AS bleu
+  FROM prep p JOIN m USING (model, conv_id, turn))
+SELECT model, task,
+       round(coalesce(avg(CASE WHEN lr > 0 AND lp > 0 THEN bleu END), 0.0), 6) AS bleu,
+       count(*) FILTER (WHERE lr > 0 AND lp > 0) AS n_samples
+FROM scored GROUP BY model, task
+"""
+
+
+@query("bleu_by_task", BLEU_SQL)
+def bleu_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fx.conversation_pairs(spark, sf_dir)
+    long = to_long(score_pairs(pairs, ["bleu"], keep=["model", "task"]), ["model", "task"], ["bleu"])
+    t = rollup.task_metric(long, ["model", "task"])
+    return t.select("model", "task", _r(F.col("value")).alias("bleu"), "n_samples")
+
+
+ROUGE_N_SQL = f"""
+WITH pairs AS ({o.conversation_pairs_sql()}),
+prep AS (
+  SELECT model, conv_id, turn, task,
+         {o.tokens(o.space_punct('gold'))} AS rt,
+         {o.tokens(o.space_punct('response', braces=True))} AS pt
+  FROM pairs),
+m AS ({o.ngram_matches_sql('prep', _FA_KEYS, 2)}),
+scored AS (
+  SELECT p.model, p.task,
+         {o.f1('m.m1', 'len(p.rt)', 'len(p.pt)')} AS r1,
+         {o.f1('m.m2', 'greatest(len(p.rt) - 1, 0)', 'greatest(len(p.pt) - 1, 0)')} AS r2
+  FROM prep p JOIN m USING (model, conv_id, turn))
+SELECT model, task, round(avg(r1), 6) AS rouge1, round(avg(r2), 6) AS rouge2, count(*) AS n_samples
+FROM scored GROUP BY model, task
+"""
+
+
+@query("rouge_n_by_task", ROUGE_N_SQL)
+def rouge_n_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fx.conversation_pairs(spark, sf_dir)
+    scored = score_pairs(pairs, ["rouge"], keep=["model", "task"], only={"rouge": ("rouge1", "rouge2")})
+    return scored.groupBy("model", "task").agg(
+        _r(F.avg("rouge1.value")).alias("rouge1"), _r(F.avg("rouge2.value")).alias("rouge2"),
+        F.count("*").alias("n_samples"))
+
+
+@query("wer_by_task")
+def wer_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WER per (model, task).  No SQL oracle: pairs share up to ~200 distinct
+    words, beyond a one-byte alphabet; tested against a brute-force edit
+    distance instead."""
+    pairs = fx.conversation_pairs(spark, sf_dir)
+    long = to_long(score_pairs(pairs, ["wer"], keep=["model", "task"]), ["model", "task"], ["wer"])
+    t = rollup.task_metric(long, ["model", "task"])
+    return t.select("model", "task", _r(F.col("value")).alias("wer"), "n_samples")
+
+
+# ---------------------------------------------------------------------------
+# Passage recovery: benchmark passages inside documents (F-B)
+# ---------------------------------------------------------------------------
+
+PASSAGE_SQL = f"""
+WITH pairs AS ({o.passage_pairs_sql()}),
+prep AS (
+  SELECT item_id, doc_id, source, passage, document,
+         {o.tokens(o.space_punct('passage'))} AS rt,
+         {o.tokens(o.space_punct('document', braces=True))} AS pt
+  FROM pairs),
+m AS ({o.ngram_matches_sql('prep', ['item_id', 'doc_id'], 2)}),
+c AS (
+  SELECT *, {o.char_alphabet('r', 'p')} AS alpha
+  FROM (SELECT item_id, doc_id, passage, {o.trim('passage')} AS r, {o.trim(o.asr_text('document'))} AS p FROM prep)),
+scored AS (
+  SELECT p.source,
+         {o.f1('m.m1', 'len(p.rt)', 'len(p.pt)')} AS r1,
+         {o.f1('m.m2', 'greatest(len(p.rt) - 1, 0)', 'greatest(len(p.pt) - 1, 0)')} AS r2,
+         {o.char_levenshtein('c.r', 'c.p', 'c.alpha')} / length(c.r) AS cer
+  FROM prep p JOIN m USING (item_id, doc_id) JOIN c USING (item_id, doc_id))
+SELECT source, count(*) AS n_pairs, round(avg(r1), 6) AS rouge1, round(avg(r2), 6) AS rouge2,
+       round(avg(cer), 6) AS cer
+FROM scored GROUP BY source
+"""
+
+
+@query("passage_recovery", PASSAGE_SQL)
+def passage_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fx.passage_pairs(spark, sf_dir)
+    scored = score_pairs(pairs, ["rouge", "cer"], gold="passage", response="document", keep=["source"],
+                         only={"rouge": ("rouge1", "rouge2")})
+    return scored.groupBy("source").agg(
+        F.count("*").alias("n_pairs"), _r(F.avg("rouge1.value")).alias("rouge1"),
+        _r(F.avg("rouge2.value")).alias("rouge2"), _r(F.avg("cer.value")).alias("cer"))

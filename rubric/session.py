@@ -19,6 +19,11 @@ _DEFAULTS = {
     # so keep batches modest to bound Python worker memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Text scoring is CPU-bound per byte: let AQE coalesce shuffle output only
+    # down to small partitions so scoring keeps every core busy.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 
@@ -64,3 +69,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Ensure CPU-heavy per-row work (text scoring) uses every core.
+
+    A small file can arrive as a single partition; then rows are spread
+    round-robin over the default parallelism.  Inputs that already have at
+    least that many partitions (any large scan on a cluster) are returned
+    unchanged, so no extra shuffle of the text happens at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
