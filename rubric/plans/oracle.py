@@ -153,3 +153,56 @@ def passage_pairs_sql() -> str:
     return """
     SELECT b.item_id, d.doc_id, d.source, d.lang, b.text AS passage, d.text AS document
     FROM benchmark b JOIN documents d ON contains(d.text, b.text)"""
+
+
+def judge_attempts_sql(mcq: bool = False, judges: tuple[str, ...] = ("j1", "j2")) -> str:
+    """Raw judge replies per (sample, judge, attempt); mirrors the Spark fixture."""
+    s1 = "quality" if mcq else "(quality + 2 * toxic)"
+    s2 = "(1 - toxic)" if mcq else "(3 * quality)"
+
+    def verdict(score: str, who: str) -> str:
+        return (f"""('{{"score": ' || {score}::VARCHAR || ', "explanation": "{who} graded document ' """
+                f"""|| doc_id::VARCHAR || '"}}')""")
+
+    def fenced(v: str) -> str:
+        return f"('```json' || chr(10) || {v} || chr(10) || '```')"
+
+    broken = """'{"score": "unfinished'"""
+    v1, v2 = verdict(s1, "j1"), verdict(s2, "j2")
+    rows = {
+        "j1": [f"CASE WHEN doc_id % 5 = 0 THEN {broken} ELSE {v1} END",
+               f"CASE WHEN doc_id % 10 <> 0 THEN {fenced(v1)} ELSE 'I cannot grade this.' END",
+               f"CASE WHEN doc_id % 10 <> 0 THEN {fenced(v1)} ELSE {broken} END"],
+        "j2": [f"CASE WHEN doc_id % 3 <> 0 AND doc_id % 7 <> 0 THEN {v2} ELSE '' END",
+               f"CASE WHEN doc_id % 7 <> 0 THEN {v2} ELSE 'no json here' END",
+               f"CASE WHEN doc_id % 7 <> 0 THEN {v2} ELSE {broken} END"],
+    }
+    src = "(SELECT l.doc_id, l.quality, l.toxic, d.source FROM labels l JOIN documents d USING (doc_id))"
+    parts = []
+    for j in judges:
+        for a, expr in enumerate(rows[j], start=1):
+            parts.append(f"SELECT doc_id AS sample_id, source AS task, '{j}' AS judge, {a} AS attempt, {expr} AS raw FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+def judge_samples_sql(mcq: bool = False, judges: tuple[str, ...] = ("j1",), method: str = "mean") -> str:
+    """Per-sample judge result: task, sample_id, score, raw_score, valid."""
+    c = trim(f"replace(replace({trim('raw')}, '```json', ''), '```', '')")
+    norm = ("greatest(0.0, least(1.0, raw_value))" if mcq else "round(raw_value / 3.0, 5)")
+    agg = "median" if method == "median" else "avg"
+    return f"""
+    SELECT task, sample_id, {agg}(score) AS score, {agg}(raw_score) AS raw_score,
+           count(raw_score) > 0 AS valid
+    FROM (
+      SELECT task, sample_id, judge,
+             CASE WHEN raw_value IS NULL THEN 0.0 ELSE {norm} END AS score, raw_value AS raw_score
+      FROM (
+        SELECT task, sample_id, judge, arg_min(raw_value, attempt) FILTER (WHERE ok) AS raw_value
+        FROM (
+          SELECT task, sample_id, judge, attempt,
+                 CASE WHEN json_valid(c) THEN json_type(c::JSON) = 'OBJECT' AND json_exists(c::JSON, '$.score')
+                      AND json_exists(c::JSON, '$.explanation') ELSE false END AS ok,
+                 CASE WHEN json_valid(c) THEN TRY_CAST(json_extract_string(c::JSON, '$.score') AS DOUBLE) END AS raw_value
+          FROM (SELECT *, {c} AS c FROM ({judge_attempts_sql(mcq, judges)}) WHERE attempt <= 3))
+        GROUP BY task, sample_id, judge))
+    GROUP BY task, sample_id"""

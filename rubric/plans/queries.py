@@ -182,3 +182,91 @@ def passage_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("source").agg(
         F.count("*").alias("n_pairs"), _r(F.avg("rouge1.value")).alias("rouge1"),
         _r(F.avg("rouge2.value")).alias("rouge2"), _r(F.avg("cer.value")).alias("cer"))
+
+
+# ---------------------------------------------------------------------------
+# Judge verdicts (F-C)
+# ---------------------------------------------------------------------------
+
+def _judge_samples(spark: SparkSession, sf_dir: str, mcq: bool, judges: tuple[str, ...],
+                   method: str = "mean", threshold: float = 0.5) -> DataFrame:
+    from rubric.operators import judge as J
+    attempts = fx.judge_attempts(spark, sf_dir, mcq=mcq).filter(F.col("judge").isin(*judges))
+    verdicts = J.first_valid_verdict(attempts, ["task", "sample_id"])
+    scores = J.judge_scores(verdicts, ["task", "sample_id"], mcq=mcq, threshold=threshold)
+    return J.aggregate_judges(scores, ["task", "sample_id"], method=method, threshold=threshold)
+
+
+def _taskwise_sql(prefix: str, mcq: bool) -> str:
+    return f"""
+WITH s AS ({o.judge_samples_sql(mcq=mcq)})
+SELECT task, round(avg(score), 4) AS {prefix}llm_judge_score, round(avg(raw_score), 4) AS {prefix}llm_judge_score_raw,
+       0.0 AS {prefix}llm_judge_score_stderr, count(*) AS num_samples
+FROM s WHERE valid GROUP BY task
+"""
+
+
+@query("judge_generation", _taskwise_sql("", False))
+def judge_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1-G4 + A2: generative judge (one judge, threshold 0.5) per task."""
+    from rubric.operators import judge as J
+    return J.taskwise(_judge_samples(spark, sf_dir, False, ("j1",)))
+
+
+@query("judge_mcq", _taskwise_sql("mcq_", True))
+def judge_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiple-choice judge: scores clamped to [0, 1], ``mcq_`` prefix."""
+    from rubric.operators import judge as J
+    return J.taskwise(_judge_samples(spark, sf_dir, True, ("j1",)), prefix="mcq_")
+
+
+JUDGE_OVERALL_SQL = f"""
+WITH s AS ({o.judge_samples_sql(mcq=False)})
+SELECT count(*) AS total_samples, round(avg(score), 4) AS average_score, min(score) AS min_score,
+       max(score) AS max_score, round(avg(raw_score), 4) AS average_score_raw,
+       min(raw_score) AS min_score_raw, max(raw_score) AS max_score_raw
+FROM s WHERE valid
+"""
+
+
+@query("judge_overall", JUDGE_OVERALL_SQL)
+def judge_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: overall judge statistics over every judged sample."""
+    from rubric.operators import judge as J
+    return J.overall(_judge_samples(spark, sf_dir, False, ("j1",)))
+
+
+JUDGE_BATCH_SQL = f"""
+WITH s AS ({o.judge_samples_sql(mcq=False, judges=("j1", "j2"))})
+SELECT count(*) AS total_test_cases, round(avg(score), 6) AS average_score, round(median(score), 6) AS median_score,
+       round(avg(raw_score), 6) AS average_raw_score, round(median(raw_score), 6) AS median_raw_score,
+       round(coalesce(avg(CASE WHEN score >= 0.7 THEN 1.0 ELSE 0.0 END), 0.0), 6) AS pass_rate
+FROM s WHERE valid
+"""
+
+
+@query("judge_batch_stats", JUDGE_BATCH_SQL)
+def judge_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G5 + G6: two judges averaged per sample, then batch statistics."""
+    from rubric.operators import judge as J
+    st = J.batch_statistics(_judge_samples(spark, sf_dir, False, ("j1", "j2"), threshold=0.7), threshold=0.7)
+    return st.select("total_test_cases", *[_r(F.col(c)).alias(c) for c in st.columns if c != "total_test_cases"])
+
+
+JUDGE_PANEL_SQL = f"""
+WITH s AS ({o.judge_samples_sql(mcq=False, judges=("j1", "j2"), method="median")})
+SELECT task, count(*) FILTER (WHERE valid) AS num_samples, count(*) AS n_samples_all,
+       round(avg(score) FILTER (WHERE valid), 6) AS median_panel_score,
+       round(avg(raw_score) FILTER (WHERE valid), 6) AS median_panel_raw
+FROM s GROUP BY task
+"""
+
+
+@query("judge_panel", JUDGE_PANEL_SQL)
+def judge_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G5 with the median method over two judges, per task."""
+    s = _judge_samples(spark, sf_dir, False, ("j1", "j2"), method="median")
+    return s.groupBy("task").agg(
+        F.count_if(F.col("valid")).alias("num_samples"), F.count("*").alias("n_samples_all"),
+        _r(F.avg(F.when(F.col("valid"), F.col("score")))).alias("median_panel_score"),
+        _r(F.avg(F.when(F.col("valid"), F.col("raw_score")))).alias("median_panel_raw"))
