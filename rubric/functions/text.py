@@ -44,6 +44,11 @@ AUDIO_SUFFIXES = ["wav", "mp3", "flac", "ogg", "m4a", "aac", "wma"]
 # Separators of the simple token counter: white space runs or one of , . ! ? ; : " ( ) [ ] { }
 SIMPLE_TOKEN_SPLIT = r'(?U)\s+|[,.!?;:"()\[\]{}]'
 
+# Marker of an API failure message and the JSON object pattern inside it
+# (an object with at most one level of nesting).
+API_ERROR_MARKER = "API request failed with error message:"
+JSON_OBJECT_PATTERN = r"\{(?:[^{}]|\{[^{}]*\})*\}"
+
 # Characters not allowed in generated dataset names.
 FORBIDDEN_NAME_CHARS = '<>:/\\|?*'
 
@@ -218,3 +223,22 @@ def key_basic(c: Column | str) -> Column:
     """P13 after NFKC: lower, drop NUL, strip, first 255 chars, then ' ./' -> '_'."""
     t = trim_ws(F.replace(F.lower(col_(c)), F.lit("\u0000"), F.lit("")))
     return F.translate(F.substring(t, 1, 255), " ./", "___")
+
+
+def error_payload(msg: Column | str, exc_type: str = "Exception") -> Column:
+    """The JSON error object inside an API failure message when it has an
+    "error" key, else a fallback object with message, type, param and code."""
+    m = F.coalesce(col_(msg), F.lit(""))
+    js = F.regexp_extract(m, JSON_OBJECT_PATTERN, 0)
+    v = F.try_parse_json(js)
+    has_error = F.variant_get(v, "$.error", "variant").isNotNull()
+    fallback = F.to_json(F.struct(F.struct(
+        m.alias("message"), F.lit(exc_type).alias("type"), F.lit(None).cast("string").alias("param"),
+        F.lit("unknown").alias("code")).alias("error")))
+    return F.when(F.contains(m, F.lit(API_ERROR_MARKER)) & has_error, js).otherwise(fallback)
+
+
+def capitalize(c: Column | str) -> Column:
+    """Python ``str.capitalize``: first character upper, the rest lower."""
+    c = col_(c)
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))

@@ -25,8 +25,15 @@ from rubric.session import spread
 MODELS = ["m0", "m1", "m2"]
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A shared table (file listing and schema resolved once per session)."""
+    key = (id(spark), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = _TABLES[key]
     return df.select(*cols) if cols else df
 
 
@@ -239,7 +246,7 @@ def mcq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         "mcq",
         F.col("gold_letter").alias("gold"),
         response.alias("response"),
-        F.concat(F.lit("region_"), F.col("n_nationkey") % 3).alias("task"),
+        F.concat(F.lit("region_"), (F.col("n_nationkey") % 3).cast("string")).alias("task"),
     )
 
 
@@ -257,3 +264,18 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.concat(F.lit('API request failed with error message: {"error": '), F.col("props"), F.lit("}")))
     return ev.select(F.col("user_id").alias("job_id"), "ts", "event_id", status.alias("status"),
                      error.alias("error"))
+
+
+def response_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generation attempts (model, conv_id, turn, attempt, response): with
+    h = conv_id + turn + k, attempt 1 is empty when h % 4 = 0, attempt 2 is
+    blank when h % 8 = 0, attempt 3 is empty when h % 16 = 0."""
+    r = conversation_responses(spark, sf_dir)
+    h = F.col("conv_id") + F.col("turn") + F.substring("model", 2, 8).cast("int")
+    tries = F.array(
+        F.when(h % 4 == 0, F.lit("")).otherwise(F.col("response")),
+        F.when(h % 8 == 0, F.lit("   ")).otherwise(F.col("response")),
+        F.when(h % 16 == 0, F.lit("")).otherwise(F.col("response")),
+    )
+    return r.select("model", "conv_id", "turn", F.posexplode(tries).alias("pos", "text")).select(
+        "model", "conv_id", "turn", (F.col("pos") + 1).alias("attempt"), F.col("text").alias("response"))

@@ -206,3 +206,43 @@ def judge_samples_sql(mcq: bool = False, judges: tuple[str, ...] = ("j1",), meth
           FROM (SELECT *, {c} AS c FROM ({judge_attempts_sql(mcq, judges)}) WHERE attempt <= 3))
         GROUP BY task, sample_id, judge))
     GROUP BY task, sample_id"""
+
+
+def mcq_samples_sql() -> str:
+    return """
+    WITH opts AS (SELECT list(r_name ORDER BY r_regionkey) AS mcq FROM region),
+    reg AS (SELECT r_regionkey, r_name, chr((row_number() OVER (ORDER BY r_regionkey) + 64)::INTEGER) AS gold_letter FROM region),
+    nat AS (SELECT n.n_nationkey, n.n_name, reg.gold_letter, reg.r_name FROM nation n JOIN reg ON n.n_regionkey = reg.r_regionkey)
+    SELECT c.c_custkey AS sample_id, 'In which region is ' || nat.n_name || '?' AS question, opts.mcq,
+           nat.gold_letter AS gold,
+           CASE c.c_custkey % 6 WHEN 0 THEN gold_letter WHEN 1 THEN lower(gold_letter)
+                WHEN 2 THEN gold_letter || ') ' || r_name WHEN 3 THEN 'Answer: ' || r_name WHEN 4 THEN r_name
+                ELSE opts.mcq[((ascii(gold_letter) - 65 + 1) % len(opts.mcq)) + 1] END AS response,
+           'region_' || (nat.n_nationkey % 3)::VARCHAR AS task
+    FROM customer c JOIN nat ON c.c_nationkey = nat.n_nationkey, opts"""
+
+
+def option_for_letter(mcq: str, letter: str) -> str:
+    idx = f"(ascii(upper({letter})) - 65)"
+    return f"(CASE WHEN length({letter}) = 1 AND {idx} >= 0 AND {idx} < len({mcq}) THEN {mcq}[{idx} + 1] END)"
+
+
+def normalize_mcq(x: str, mcq: str) -> str:
+    s = trim(x)
+    letter = f"regexp_extract({s}, '^([A-Za-z])\\)', 1)"
+    return f"""(CASE WHEN {x} IS NULL THEN ''
+      WHEN {mcq} IS NULL OR len({mcq}) = 0 THEN {x}
+      WHEN length({s}) = 1 AND {option_for_letter(mcq, s)} IS NOT NULL THEN {option_for_letter(mcq, s)}
+      WHEN {letter} <> '' AND {option_for_letter(mcq, letter)} IS NOT NULL THEN {option_for_letter(mcq, letter)}
+      ELSE {s} END)"""
+
+
+SIMPLE_SPLIT = '\\s+|[,.!?;:"()\\[\\]{}]'
+
+
+def simple_token_count(x: str) -> str:
+    return f"len(list_filter(regexp_split_to_array(coalesce({x}, ''), '{SIMPLE_SPLIT}'), lambda t: t <> ''))"
+
+
+def capitalize(x: str) -> str:
+    return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"

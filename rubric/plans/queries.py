@@ -270,3 +270,216 @@ def judge_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("valid")).alias("num_samples"), F.count("*").alias("n_samples_all"),
         _r(F.avg(F.when(F.col("valid"), F.col("score")))).alias("median_panel_score"),
         _r(F.avg(F.when(F.col("valid"), F.col("raw_score")))).alias("median_panel_raw"))
+
+
+# ---------------------------------------------------------------------------
+# Multiple choice (F-D)
+# ---------------------------------------------------------------------------
+
+MCQ_ACCURACY_SQL = f"""
+WITH s AS ({o.mcq_samples_sql()}),
+ans AS ({o.first_word_or_line_cte(
+    f"({o.first_word_or_line_cte('s', 'gold', 'gold_x', 'task, sample_id, gold, response')})",
+    'response', 'resp_x', 'task, sample_id, gold, response, gold_x')}),
+n AS (SELECT task, {o.normalize_answer('gold_x')} AS a, {o.normalize_answer('resp_x')} AS b FROM ans)
+SELECT task,
+       round(avg(CASE WHEN a = b OR contains(a, b) OR contains(b, a) THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(avg(CASE WHEN a = b THEN 1.0 ELSE 0.0 END), 6) AS exact_accuracy,
+       count(*) AS n_samples
+FROM n WHERE a <> '' AND b <> '' GROUP BY task
+"""
+
+
+@query("mcq_accuracy", MCQ_ACCURACY_SQL)
+def mcq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 (fuzzy by default) and M2 on answer extraction (T1) of region MCQs."""
+    s = fx.mcq_samples(spark, sf_dir)
+    scored = score_pairs(s, ["accuracy", "exact_accuracy"], keep=["task"])
+    ok = scored.filter(F.col("accuracy.valid"))
+    return ok.groupBy("task").agg(_r(F.avg("accuracy.value")).alias("accuracy"),
+                                  _r(F.avg("exact_accuracy.value")).alias("exact_accuracy"),
+                                  F.count("*").alias("n_samples"))
+
+
+MCQ_NORMALIZED_SQL = f"""
+WITH s AS ({o.mcq_samples_sql()}),
+n AS (SELECT task, {o.normalize_mcq('gold', 'mcq')} AS g, {o.normalize_mcq('response', 'mcq')} AS r FROM s)
+SELECT task, count(*) AS n_samples, count(*) FILTER (WHERE g = r) AS n_agree,
+       round(avg(CASE WHEN g = r THEN 1.0 ELSE 0.0 END), 6) AS agreement
+FROM n WHERE g <> '' AND r <> '' GROUP BY task
+"""
+
+
+@query("mcq_normalized", MCQ_NORMALIZED_SQL)
+def mcq_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 + J4 + F3: letters / "X)" answers mapped to option text on both sides
+    (the judge's MCQ path), agreement per task."""
+    from rubric.operators.judge import judgeable
+    s = judgeable(fx.mcq_samples(spark, sf_dir), "gold", "response", mcq_col="mcq")
+    agree = F.col("gold") == F.col("response")
+    return s.groupBy("task").agg(F.count("*").alias("n_samples"), F.count_if(agree).alias("n_agree"),
+                                 _r(F.avg(agree.cast("double"))).alias("agreement"))
+
+
+# ---------------------------------------------------------------------------
+# LCS family (Arrow batches; rows-only check, brute-force unit tests)
+# ---------------------------------------------------------------------------
+
+@query("fuzzy_accuracy")
+def fuzzy_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3-M5: fuzzy accuracy of extracted answers per (model, task)."""
+    pairs = fx.conversation_pairs(spark, sf_dir)
+    long = to_long(score_pairs(pairs, ["fuzzy_accuracy"], keep=["model", "task"]), ["model", "task"],
+                   ["fuzzy_accuracy"])
+    t = rollup.task_metric(long, ["model", "task"])
+    return t.select("model", "task", _r(F.col("value")).alias("fuzzy_accuracy"), "n_samples")
+
+
+@query("rouge_l")
+def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: token-LCS ROUGE-L per (model, task)."""
+    pairs = fx.conversation_pairs(spark, sf_dir)
+    scored = score_pairs(pairs, ["rouge"], keep=["model", "task"], only={"rouge": ("rougeL",)})
+    return scored.groupBy("model", "task").agg(_r(F.avg("rougeL.value")).alias("rougeL"),
+                                               F.count("*").alias("n_samples"))
+
+
+@query("rouge_lsum")
+def rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: summary-level ROUGE-Lsum of passages against the (multi-line)
+    documents that contain them, per source."""
+    pairs = fx.passage_pairs(spark, sf_dir)
+    scored = score_pairs(pairs, ["rouge"], gold="passage", response="document", keep=["source"],
+                         only={"rouge": ("rougeL", "rougeLsum")})
+    return scored.groupBy("source").agg(_r(F.avg("rougeL.value")).alias("rougeL"),
+                                        _r(F.avg("rougeLsum.value")).alias("rougeLsum"),
+                                        F.count("*").alias("n_pairs"))
+
+
+# ---------------------------------------------------------------------------
+# Chat messages and tokens
+# ---------------------------------------------------------------------------
+
+CHAT_PROMPTS_SQL = f"""
+SELECT conv_id, count(*) AS n_messages,
+       sum(length({o.capitalize('role')} || ': ' || text)) + 2 * (count(*) - 1) + length(chr(10) || chr(10) || 'Assistant:') AS prompt_chars
+FROM conversations GROUP BY conv_id
+"""
+
+
+@query("chat_prompts", CHAT_PROMPTS_SQL)
+def chat_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered chat prompt per conversation (as ordered segments), with
+    its length and message count."""
+    from rubric.operators import chat
+    msgs = fx.table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    seg = chat.render_segments(msgs, ["conv_id"], content="text")
+    return chat.prompt_lengths(seg, ["conv_id"])
+
+
+CLEAN_MESSAGES_SQL = """
+SELECT coalesce(role, 'user') AS role, count(*) AS n_messages, sum(length(text)) AS n_chars
+FROM conversations GROUP BY ALL
+"""
+
+
+@query("clean_messages", CLEAN_MESSAGES_SQL)
+def clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message cleaning (role default, block content to text) per role."""
+    from rubric.operators import chat
+    msgs = chat.clean_messages(fx.table(spark, sf_dir, "conversations", "role", "text"), content="text")
+    return msgs.groupBy("role").agg(F.count("*").alias("n_messages"), F.sum(F.length("text")).alias("n_chars"))
+
+
+TOKEN_USAGE_SQL = f"""
+WITH pairs AS ({o.conversation_pairs_sql()})
+SELECT model, sum({o.simple_token_count('response')}) AS tokens, count(*) AS n_texts
+FROM pairs GROUP BY model
+"""
+
+
+@query("token_usage", TOKEN_USAGE_SQL)
+def token_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 + A8: simple token counts of every model's responses."""
+    from rubric.operators import chat
+    return chat.token_counts(fx.conversation_responses(spark, sf_dir), ["model"], "response")
+
+
+FIRST_ATTEMPT_SQL = f"""
+WITH r AS ({o.conversation_pairs_sql()}),
+h AS (SELECT model, conv_id, turn, response, conv_id + turn + substr(model, 2)::INTEGER AS h FROM r),
+a AS (
+  SELECT model, conv_id, turn, 1 AS attempt, CASE WHEN h % 4 = 0 THEN '' ELSE response END AS response FROM h
+  UNION ALL SELECT model, conv_id, turn, 2, CASE WHEN h % 8 = 0 THEN '   ' ELSE response END FROM h
+  UNION ALL SELECT model, conv_id, turn, 3, CASE WHEN h % 16 = 0 THEN '' ELSE response END FROM h),
+f AS (SELECT model, conv_id, turn, min(attempt) FILTER (WHERE {o.trim('response')} <> '' AND attempt <= 3) AS used
+      FROM a GROUP BY ALL)
+SELECT model, count(*) AS n_samples, count(*) FILTER (WHERE used = 1) AS n_first,
+       count(*) FILTER (WHERE used = 2) AS n_second, count(*) FILTER (WHERE used = 3) AS n_third,
+       count(*) FILTER (WHERE used IS NULL) AS n_failed
+FROM f GROUP BY model
+"""
+
+
+@query("first_valid_attempt", FIRST_ATTEMPT_SQL)
+def first_valid_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + J1: first non-blank attempt (<= 3) per request, joined to every
+    request (failed ones become "")."""
+    from rubric.functions.text import trim_ws
+    att = fx.response_attempts(spark, sf_dir)
+    ok = (trim_ws(F.col("response")) != "") & (F.col("attempt") <= 3)
+    first = att.groupBy("model", "conv_id", "turn").agg(
+        F.min_by("response", F.when(ok, F.col("attempt"))).alias("response"),
+        F.min(F.when(ok, F.col("attempt"))).alias("used"))
+    items = fx.conversation_items(spark, sf_dir).select("conv_id", "turn")
+    per_model = items.withColumn("model", F.explode(F.array(*[F.lit(m) for m in fx.MODELS])))
+    s = fx.join_responses(per_model, first, ["model", "conv_id", "turn"])
+    return s.groupBy("model").agg(
+        F.count("*").alias("n_samples"),
+        F.count_if(F.col("used") == 1).alias("n_first"), F.count_if(F.col("used") == 2).alias("n_second"),
+        F.count_if(F.col("used") == 3).alias("n_third"), F.count_if(F.col("used").isNull()).alias("n_failed"))
+
+
+# ---------------------------------------------------------------------------
+# Job log (F-E)
+# ---------------------------------------------------------------------------
+
+_JOB_SQL = """
+SELECT user_id AS job_id, ts, event_id,
+       CASE event_type WHEN 'signup' THEN 'starting' WHEN 'view' THEN 'running' WHEN 'click' THEN 'running'
+            WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' END AS status,
+       CASE WHEN event_type = 'error' THEN 'API request failed with error message: {"error": ' || props || '}' END AS error
+FROM events"""
+
+LATEST_STATUS_SQL = f"""
+WITH j AS ({_JOB_SQL})
+SELECT job_id, l.s AS status, coalesce(l.e, '') AS error, n_events
+FROM (SELECT job_id, arg_max(struct_pack(s := status, e := error), (ts, event_id)) AS l, count(*) AS n_events
+      FROM j GROUP BY job_id)
+"""
+
+
+@query("latest_job_status", LATEST_STATUS_SQL)
+def latest_job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest status and error per job from the lifecycle log."""
+    from rubric.operators import jobs
+    return jobs.latest_status(jobs.check_status(fx.job_events(spark, sf_dir)))
+
+
+ERROR_TRIAGE_SQL = f"""
+WITH j AS ({_JOB_SQL}),
+f AS (SELECT job_id, regexp_extract(error, '\\{{(?:[^{{}}]|\\{{[^{{}}]*\\}})*\\}}', 0) AS js FROM j WHERE status = 'failed')
+SELECT TRY_CAST(json_extract_string(js::JSON, '$.error.k') AS INTEGER) AS error_k,
+       count(*) AS n_failures, count(DISTINCT job_id) AS n_jobs
+FROM f GROUP BY ALL
+"""
+
+
+@query("error_triage", ERROR_TRIAGE_SQL)
+def error_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error objects extracted from failure messages, grouped by payload."""
+    from rubric.operators import jobs
+    p = jobs.failure_payloads(fx.job_events(spark, sf_dir))
+    k = F.try_variant_get(F.try_parse_json("payload"), "$.error.k", "int")
+    return p.groupBy(k.alias("error_k")).agg(F.count("*").alias("n_failures"),
+                                             F.count_distinct("job_id").alias("n_jobs"))
