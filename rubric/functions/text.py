@@ -200,13 +200,24 @@ def simple_tokens(c: Column | str) -> Column:
     return F.filter(F.split(F.coalesce(col_(c), F.lit("")), SIMPLE_TOKEN_SPLIT), lambda x: x != F.lit(""))
 
 
+def _last_component(c: Column) -> Column:
+    return F.substring_index(F.rtrim(F.lower(c), F.lit("/")), "/", -1)
+
+
+def _has_suffix(c: Column | str, suffixes: list[str]) -> Column:
+    # Path suffix: the last dot of the last path component, not at its start.
+    # "(?s).\.(ext)\z" is linear (no backtracking over long texts).
+    return F.regexp_like(_last_component(col_(c)), F.lit(r"(?s).\.(" + "|".join(suffixes) + r")\z"))
+
+
 def is_image(c: Column | str) -> Column:
-    """Lower-cased file suffix is an image suffix (a bare dot-file has none)."""
-    return F.regexp_like(F.lower(col_(c)), F.lit(r"[^/.][^/]*\.(" + "|".join(IMAGE_SUFFIXES) + r")$"))
+    """The file suffix (lower-cased) is an image suffix; ".png" alone is a
+    hidden file without suffix."""
+    return _has_suffix(c, IMAGE_SUFFIXES)
 
 
 def is_audio(c: Column | str) -> Column:
-    return F.regexp_like(F.lower(col_(c)), F.lit(r"[^/.][^/]*\.(" + "|".join(AUDIO_SUFFIXES) + r")$"))
+    return _has_suffix(c, AUDIO_SUFFIXES)
 
 
 def sanitize_text(c: Column | str) -> Column:

@@ -483,3 +483,264 @@ def error_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.try_variant_get(F.try_parse_json("payload"), "$.error.k", "int")
     return p.groupBy(k.alias("error_k")).agg(F.count("*").alias("n_failures"),
                                              F.count_distinct("job_id").alias("n_jobs"))
+
+
+# ---------------------------------------------------------------------------
+# Roll-ups across pipelines: final score records and result payloads
+# ---------------------------------------------------------------------------
+
+def task_metric_lists(task: F.Column) -> F.Column:
+    """Metric list of each conversation task (M12: metrics are carried per
+    task): even tasks use ROUGE and BLEU, odd ones BLEU, every third adds
+    accuracy."""
+    n = F.substring(task, 2, 8).cast("int")
+    base = F.when(n % 2 == 0, F.array(F.lit("rouge"), F.lit("bleu"))).otherwise(F.array(F.lit("bleu")))
+    return F.when(n % 3 == 0, F.array_append(base, F.lit("accuracy"))).otherwise(base)
+
+
+def _generation_task_results(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    from rubric.operators.metrics import ROUGE_PARTS
+    pairs = fx.conversation_pairs(spark, sf_dir).filter(F.col("model") == model)
+    outputs = ["bleu", "accuracy", *ROUGE_PARTS]
+    scored = score_pairs(pairs, ["bleu", "accuracy", "rouge"], keep=["task", "category"])
+    long = to_long(scored, ["task", "category"], outputs)
+    family = F.when(F.col("metric").isin(*ROUGE_PARTS), F.lit("rouge")).otherwise(F.col("metric"))
+    long = long.filter(F.array_contains(task_metric_lists(F.col("task")), family))
+    return rollup.task_metric(long, ["task", "category"])
+
+
+def _judge_task_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rubric.operators import judge as J
+    gen = J.taskwise(_judge_samples(spark, sf_dir, False, ("j1",)))
+    mcq = J.taskwise(_judge_samples(spark, sf_dir, True, ("j1",)), prefix="mcq_")
+    return (gen.select("task", F.lit(None).cast("string").alias("category"), F.lit("llm_judge_score").alias("metric"),
+                       F.col("llm_judge_score").alias("value"))
+            .unionByName(mcq.select("task", F.lit(None).cast("string").alias("category"),
+                                    F.lit("mcq_llm_judge_score").alias("metric"),
+                                    F.col("mcq_llm_judge_score").alias("value"))))
+
+
+@query("final_scores")
+def final_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 over model m0's generation tasks and the judge tasks: nGramScore
+    (ROUGE-Lsum when the task has ROUGE, else BLEU), mcqScore, judge scores."""
+    gen = _generation_task_results(spark, sf_dir, "m0").select("task", "category", "metric", "value")
+    both = gen.unionByName(_judge_task_results(spark, sf_dir))
+    out = rollup.final_scores(both, ["task"])
+    return out.select("task", *[_r(F.col(c)).alias(c) for c in out.columns if c != "task"])
+
+
+@query("result_payloads")
+def result_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON record per task of model m0 (metrics as "<name>,none")."""
+    from rubric.operators import jobs
+    t = _generation_task_results(spark, sf_dir, "m0").select(
+        "task", "category", "metric", _r(F.col("value")).alias("value"))
+    return jobs.result_payloads(t, job_id="job-m0", benchmark="conversations")
+
+
+AVERAGE_BY_CATEGORY_SQL = f"""
+WITH pairs AS ({o.conversation_pairs_sql()}),
+prep AS (
+  SELECT model, conv_id, turn, task, category,
+         {o.tokens(o.space_punct('gold', braces=False, diacritics=True))} AS rt,
+         {o.tokens(o.space_punct('response', braces=True, diacritics=True))} AS pt
+  FROM pairs),
+m AS ({o.ngram_matches_sql('prep', _FA_KEYS, 4)}),
+scored AS (
+  SELECT p.model, p.task, p.category, len(p.rt) AS lr, len(p.pt) AS lp,
+         {o.bleu_from(['m.m1', 'm.m2', 'm.m3', 'm.m4'], 'len(p.rt)', 'len(p.pt)')} AS bleu
+  FROM prep p JOIN m USING (model, conv_id, turn)),
+tasks AS (
+  SELECT model, category, task, coalesce(avg(CASE WHEN lr > 0 AND lp > 0 THEN bleu END), 0.0) AS value
+  FROM scored GROUP BY model, category, task)
+SELECT model, category, 'bleu' AS metric, round(avg(value), 4) AS average_score, count(*) AS n_tasks
+FROM tasks GROUP BY model, category
+"""
+
+
+@query("average_by_category", AVERAGE_BY_CATEGORY_SQL)
+def average_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A4 + A6: BLEU task means averaged per (model, category)."""
+    pairs = fx.conversation_pairs(spark, sf_dir)
+    long = to_long(score_pairs(pairs, ["bleu"], keep=["model", "task", "category"]),
+                   ["model", "task", "category"], ["bleu"])
+    t = rollup.task_metric(long, ["model", "category", "task"])
+    return rollup.average_scores(t, ["model", "category"]).select(
+        "model", "category", "metric", "average_score", "n_tasks")
+
+
+# ---------------------------------------------------------------------------
+# Dataset catalog derived from documents (P, F, J3)
+# ---------------------------------------------------------------------------
+
+from rubric.plans import catalog as cat  # noqa: E402
+
+IMG_RE = r"(?s).\.(png|jpg|jpeg|gif|bmp|webp)$"
+AUD_RE = r"(?s).\.(wav|mp3|flac|ogg|m4a|aac|wma)$"
+
+
+def _last_sql(v: str) -> str:
+    return f"string_split(rtrim(lower({v}), '/'), '/')[-1]"
+
+
+def _render_sql(x: str) -> str:
+    return (f"array_to_string(list_transform({x}, lambda v: CASE WHEN regexp_matches({_last_sql('v')}, '{IMG_RE}') THEN '<image>' "
+            f"WHEN regexp_matches({_last_sql('v')}, '{AUD_RE}') THEN '<audio>' ELSE v END), chr(10))")
+
+
+NORMALIZED_ITEMS_SQL = f"""
+WITH i AS ({cat.catalog_items_sql()})
+SELECT dataset, split, count(*) AS n_items,
+       count(*) FILTER (WHERE len(output) > 1) AS n_list_outputs,
+       sum(length(replace(output[1], chr(10), '\\n'))) AS first_output_chars,
+       sum(length(array_to_string(list_transform(input, lambda v: replace(v, chr(10), '\\n')), ''))) AS input_chars,
+       count(*) FILTER (WHERE mcq IS NOT NULL) AS n_mcq,
+       count(*) FILTER (WHERE coalesce(instruction, '') = '') AS n_no_instruction
+FROM i GROUP BY dataset, split
+"""
+
+
+@query("normalized_items", NORMALIZED_ITEMS_SQL)
+def normalized_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + P2 + P5: newline escaping, core-field defaults, first output."""
+    from rubric.operators import prepare as P
+    items = P.normalize_items(P.escape_item_newlines(cat.catalog_items(spark, sf_dir)))
+    return items.groupBy("dataset", "split").agg(
+        F.count("*").alias("n_items"),
+        F.count_if(F.size("output") > 1).alias("n_list_outputs"),
+        F.sum(F.length(P.first_output("output"))).alias("first_output_chars"),
+        F.sum(F.length(F.array_join("input", ""))).alias("input_chars"),
+        F.count_if(F.col("mcq").isNotNull()).alias("n_mcq"),
+        F.count_if(F.col("instruction") == "").alias("n_no_instruction"))
+
+
+RENDERED_INPUTS_SQL = f"""
+WITH i AS ({cat.catalog_items_sql()})
+SELECT dataset, count(*) AS n_items, sum(length({_render_sql('input')})) AS rendered_chars,
+       sum(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{IMG_RE}')))) AS n_images,
+       sum(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{AUD_RE}')))) AS n_audio
+FROM i GROUP BY dataset
+"""
+
+
+@query("rendered_inputs", RENDERED_INPUTS_SQL)
+def rendered_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 + P4 + P6: list inputs rendered with media placeholders."""
+    from rubric.operators import prepare as P
+    items = cat.catalog_items(spark, sf_dir)
+    return items.groupBy("dataset").agg(
+        F.count("*").alias("n_items"),
+        F.sum(F.length(P.render_input("input"))).alias("rendered_chars"),
+        F.sum(F.coalesce(F.size(P.media_paths("input", "image")), F.lit(0))).alias("n_images"),
+        F.sum(F.coalesce(F.size(P.media_paths("input", "audio")), F.lit(0))).alias("n_audio"))
+
+
+DATASET_MODALITY_SQL = f"""
+WITH i AS ({cat.catalog_items_sql()})
+SELECT dataset, bool_or(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{IMG_RE}'))) > 0) AS has_images,
+       bool_or(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{AUD_RE}'))) > 0) AS has_audio
+FROM i GROUP BY dataset
+"""
+
+
+@query("dataset_modality", DATASET_MODALITY_SQL)
+def dataset_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image / audio presence per dataset."""
+    from rubric.operators import prepare as P
+    return P.dataset_modality(cat.catalog_items(spark, sf_dir))
+
+
+PROMPT_TEMPLATES_SQL = f"""
+WITH i AS ({cat.catalog_items_sql()}),
+f AS (SELECT dataset, arg_min(coalesce(instruction, ''), (CASE split WHEN 'test' THEN 0 WHEN 'dev' THEN 1 ELSE 2 END, id_order)) AS ins
+      FROM i GROUP BY dataset),
+t AS (SELECT dataset, CASE WHEN ins <> '' AND NOT contains(ins, 'not_ins') THEN 'instruction_input' ELSE 'input' END AS template,
+             ins FROM f)
+SELECT i.dataset, t.template, count(*) AS n_items,
+       sum(length(CASE WHEN t.template = 'instruction_input' THEN t.ins || chr(10) || {_render_sql('i.input')}
+                       ELSE {_render_sql('i.input')} END)) AS prompt_chars
+FROM i JOIN t USING (dataset) GROUP BY i.dataset, t.template
+"""
+
+
+@query("prompt_templates", PROMPT_TEMPLATES_SQL)
+def prompt_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 + P9: dataset prompt template from its first test item, applied to
+    every item."""
+    from rubric.operators import prepare as P
+    items = cat.catalog_items(spark, sf_dir).withColumn("instruction", F.coalesce("instruction", F.lit("")))
+    rendered = P.render_prompt(items, P.prompt_templates(items))
+    return rendered.groupBy("dataset", "template").agg(F.count("*").alias("n_items"),
+                                                       F.sum(F.length("prompt")).alias("prompt_chars"))
+
+
+def _metric_list_sql(x: str) -> str:
+    return f"""(CASE
+      WHEN json_valid({x}) AND json_type({x}::JSON) = 'ARRAY'
+        THEN list_filter(json_transform({x}::JSON, '["VARCHAR"]'), lambda m: m IS NOT NULL)
+      WHEN json_valid({x}) AND json_type({x}::JSON) = 'OBJECT'
+        THEN CASE WHEN json_extract_string({x}::JSON, '$.metric') IS NOT NULL THEN [json_extract_string({x}::JSON, '$.metric')] ELSE [] END
+      WHEN json_valid({x}) AND json_type({x}::JSON) = 'VARCHAR' THEN [json_extract_string({x}::JSON, '$')]
+      WHEN {x} IS NULL OR {x} = '' THEN []::VARCHAR[]
+      ELSE [{x}] END)"""
+
+
+def _resolve_sql(x: str) -> str:
+    from rubric.operators.metrics import REGISTRY
+    whens = " ".join(f"WHEN contains(lower({x}), '{m.lower()}') THEN '{m}'" for m in REGISTRY.names())
+    return f"(CASE {whens} ELSE {x} END)"
+
+
+METRIC_RESOLUTION_SQL = f"""
+WITH d AS ({cat.catalog_datasets_sql()}),
+m AS (SELECT *, {_metric_list_sql('metric_spec')} AS metrics FROM d),
+r AS (SELECT *, list_transform(metrics, lambda x: {_resolve_sql('x')}) AS resolved FROM m)
+SELECT dataset, array_to_string(metrics, ',') AS metrics, array_to_string(resolved, ',') AS resolved,
+       CASE WHEN resolved[1] = 'accuracy' THEN 'mcq' ELSE 'generation' END AS kind,
+       coalesce(task, CASE WHEN len(string_split(name, '_')) >= 5 THEN string_split(name, '_')[1] END, name) AS task,
+       coalesce(resolved[1] NOT IN ('wer', 'cer'), true) AS higher_is_better,
+       replace(concat_ws('_', coalesce(task, name), category,
+                         CASE WHEN resolved[1] = 'accuracy' THEN 'mcq' ELSE 'generation' END, array_to_string(resolved, '_'))
+               || '_' || substr(sha256(concat_ws('_', coalesce(task, name), category,
+                         CASE WHEN resolved[1] = 'accuracy' THEN 'mcq' ELSE 'generation' END, array_to_string(resolved, '_'))), 1, 10),
+               ':', '_') AS dataset_name
+FROM r
+"""
+
+
+@query("metric_resolution", METRIC_RESOLUTION_SQL)
+def metric_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 + P11 + F4 + J3 + U2 + P12 on the derived dataset catalog."""
+    from rubric.operators import prepare as P
+    d = cat.catalog_datasets(spark, sf_dir)
+    m = d.withColumn("metrics", P.metric_list("metric_spec"))
+    r = m.withColumn("resolved", F.transform("metrics", P.resolve_metric))
+    kind = P.split_kind("resolved")
+    task = P.assign_task(F.col("task"), F.col("name"))
+    return r.select(
+        "dataset",
+        F.array_join("metrics", ",").alias("metrics"),
+        F.array_join("resolved", ",").alias("resolved"),
+        kind.alias("kind"),
+        task.alias("task"),
+        F.coalesce(P.metric_higher_is_better(F.get("resolved", 0)), F.lit(True)).alias("higher_is_better"),
+        P.dataset_name(F.coalesce("task", "name"), F.col("category"), kind, F.col("resolved")).alias("dataset_name"),
+    )
+
+
+CATEGORY_GROUPS_SQL = f"""
+WITH d AS ({cat.catalog_datasets_sql()})
+SELECT category, coalesce(task, name) AS task, count(*) AS n_datasets,
+       array_to_string(list_sort(list(dataset)), ',') AS datasets
+FROM d GROUP BY ALL
+"""
+
+
+@query("category_groups", CATEGORY_GROUPS_SQL)
+def category_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + F5: datasets grouped per (category, task)."""
+    from rubric.operators import prepare as P
+    d = P.drop_empty_groups(cat.catalog_datasets(spark, sf_dir)).withColumn("task", F.coalesce("task", "name"))
+    g = rollup.group_by_category_task(d)
+    return g.select("category", "task", "n_datasets", F.array_join("datasets", ",").alias("datasets"))
