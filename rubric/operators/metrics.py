@@ -285,6 +285,17 @@ def register_metric(name: str, score: Callable[[Column, Column], Column], *, pai
     return m
 
 
+# Built expression trees, reused across queries: a stage only reads fixed
+# column names, so its Column objects do not depend on the DataFrame.  (Each
+# expression node costs a JVM round trip to build.)
+_STAGE_CACHE: dict = {}
+_PAIR_CACHE: dict = {}
+
+
+def _cols(prefix: str):
+    return lambda col: F.col(f"{prefix}__{col}")
+
+
 def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
                 response: str = "response", keep: list[str] | None = None,
                 only: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
@@ -298,23 +309,28 @@ def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
     first = []
     for name in metrics:
         m = REGISTRY.get(name)
-        ref, pred = m.pair(F.col(gold), F.col(response))
-        first += [ref.alias(f"{m.name}__ref"), pred.alias(f"{m.name}__pred")]
-        if only and name in only and m.name == "rouge":
-            plans[m.name] = rouge_plan(only[name])
-        else:
-            plans[m.name] = m.plan()
+        pkey = (m.name, gold, response)
+        if pkey not in _PAIR_CACHE:
+            ref, pred = m.pair(F.col(gold), F.col(response))
+            _PAIR_CACHE[pkey] = [ref.alias(f"{m.name}__ref"), pred.alias(f"{m.name}__pred")]
+        first += _PAIR_CACHE[pkey]
+        parts = only.get(name) if only else None
+        plans[m.name] = (parts, (lambda p=parts: rouge_plan(p)) if parts and m.name == "rouge" else m.plan)
     cur = pairs.select(*keep, *first)
     outputs: list[str] = []
-    for k in range(max(len(p) for p in plans.values())):
+    depth = {mname: len(factory()) for mname, (_, factory) in plans.items()}
+    for k in range(max(depth.values())):
         new = []
-        for mname, stages in plans.items():
-            if k >= len(stages):
+        for mname, (parts, factory) in plans.items():
+            if k >= depth[mname]:
                 continue
-            got = stages[k](lambda col, _m=mname: F.col(f"{_m}__{col}"))
-            last = k == len(stages) - 1
-            for out, expr in got.items():
-                new.append(expr.alias(out if last else f"{mname}__{out}"))
+            last = k == depth[mname] - 1
+            skey = (mname, parts, k)
+            if skey not in _STAGE_CACHE:
+                got = factory()[k](_cols(mname))
+                _STAGE_CACHE[skey] = [(out, expr.alias(out if last else f"{mname}__{out}")) for out, expr in got.items()]
+            for out, expr in _STAGE_CACHE[skey]:
+                new.append(expr)
                 if last:
                     outputs.append(out)
         cur = cur.select("*", *new)

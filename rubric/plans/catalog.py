@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rubric.plans.fixtures import table
+from rubric.plans.fixtures import memo_view, table
 
 
+@memo_view
 def catalog_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     i = F.col("doc_id")
@@ -41,6 +42,7 @@ def catalog_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_view
 def catalog_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "source")
     per = d.groupBy("source").agg(F.count("*").alias("n_items"))

@@ -24,6 +24,22 @@ from rubric.session import spread
 
 MODELS = ["m0", "m1", "m2"]
 
+_VIEWS: dict = {}
+
+
+def memo_view(fn):
+    """Build a derived view once per (session, folder, args): DataFrames are
+    immutable plans, so queries share the analysed plan instead of rebuilding
+    it (every expression node is a JVM round trip)."""
+    def wrapper(spark, sf_dir, *args, **kwargs):
+        key = (fn.__name__, id(spark), sf_dir, args, tuple(sorted(kwargs.items())))
+        if key not in _VIEWS:
+            _VIEWS[key] = fn(spark, sf_dir, *args, **kwargs)
+        return _VIEWS[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
 
 _TABLES: dict = {}
 
@@ -41,6 +57,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 # F-A conversation samples
 # ---------------------------------------------------------------------------
 
+@memo_view
 def conversation_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One item per (user turn, next assistant turn).
 
@@ -66,6 +83,7 @@ def degraded_response(text: F.Column, k: F.Column) -> F.Column:
     return F.array_join(F.filter(F.split(text, " "), lambda w, i: i % (k + 3) != 2), " ")
 
 
+@memo_view
 def conversation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Response table (model, conv_id, turn, response) of the synthetic models."""
     items = conversation_items(spark, sf_dir)
@@ -77,6 +95,7 @@ def conversation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_view
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples: items x evaluated models, left-joined to their responses.
 
@@ -130,6 +149,7 @@ def _words(text: F.Column) -> F.Column:
     return F.split(text, r"(?U)\s+")
 
 
+@memo_view
 def passage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_id, doc_id, source, lang, passage, document) where the document
     contains the passage verbatim."""
@@ -164,6 +184,7 @@ def passage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # F-C judge replies
 # ---------------------------------------------------------------------------
 
+@memo_view
 def judge_attempts(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataFrame:
     """Raw judge replies per (judge, sample, attempt).
 
@@ -210,6 +231,7 @@ def judge_attempts(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataF
 # F-D multiple choice over regions
 # ---------------------------------------------------------------------------
 
+@memo_view
 def mcq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers answer "which region is the nation of this customer in".
 
@@ -254,6 +276,7 @@ def mcq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 # F-E job status log
 # ---------------------------------------------------------------------------
 
+@memo_view
 def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
     status = (F.when(F.col("event_type") == "signup", "starting")
@@ -266,6 +289,7 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      error.alias("error"))
 
 
+@memo_view
 def response_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generation attempts (model, conv_id, turn, attempt, response): with
     h = conv_id + turn + k, attempt 1 is empty when h % 4 = 0, attempt 2 is
