@@ -245,7 +245,7 @@ def error_payload(msg: Column | str, exc_type: str = "Exception") -> Column:
     has_error = F.variant_get(v, "$.error", "variant").isNotNull()
     fallback = F.to_json(F.struct(F.struct(
         m.alias("message"), F.lit(exc_type).alias("type"), F.lit(None).cast("string").alias("param"),
-        F.lit("unknown").alias("code")).alias("error")))
+        F.lit("unknown").alias("code")).alias("error")), {"ignoreNullFields": "false"})
     return F.when(F.contains(m, F.lit(API_ERROR_MARKER)) & has_error, js).otherwise(fallback)
 
 
