@@ -95,3 +95,18 @@ def token_usage(df: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
     """Summed token counts per key."""
     return df.groupBy(*keys).agg(F.sum(F.size(tokens)).alias("tokens"),
                                  F.count("*").alias("n_texts"))
+
+
+AGGREGATES = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "median": F.median}
+
+
+def custom_task_metric(long_scores: DataFrame, keys: list[str], aggregation: str = "mean",
+                       empty_value: float = 0.0) -> DataFrame:
+    """Aggregate a user metric's per-sample values with a named Spark
+    aggregate (partial aggregation keeps hot tasks off a single task).  A
+    whole-list Python aggregate is deliberately not offered: it would gather
+    every sample of a task into one worker call."""
+    agg = AGGREGATES[aggregation]
+    out = long_scores.groupBy(*keys, "metric").agg(
+        agg(F.when(F.col("valid"), F.col("value"))).alias("_v"), F.count_if(F.col("valid")).alias("n_samples"))
+    return out.select(*keys, "metric", F.coalesce(F.col("_v"), F.lit(empty_value)).alias("value"), "n_samples")

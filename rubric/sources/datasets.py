@@ -80,6 +80,10 @@ def read_json_datasets(spark: SparkSession, path: str, skip_split_files: bool =
         F.transform_values(F.map_filter(meta, lambda k, v: ~k.isin(*DROPPED_META)),
                            lambda k, v: F.coalesce(_text(v), F.to_json(v))).alias("metadata"),
     )
+    # An enveloped dataset whose first listed metric is "" is not scheduled
+    first_metric = F.try_variant_get(F.col("body"), "$.metric_list[0].metric", "string")
+    docs = docs.filter(~(F.col("path").isNotNull() & (F.coalesce(first_metric, F.lit("x")) == "")))
+    datasets = datasets.join(docs.select("dataset"), "dataset", "left_semi")
     splits = F.array(*[F.struct(F.lit(s).alias("split"),
                                 F.try_variant_get(F.col("body"), f"$.data.{s}", "array<variant>").alias("rows"))
                        for s in ("test", "dev")])
