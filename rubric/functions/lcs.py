@@ -44,6 +44,40 @@ def lcs_length(a, b) -> int:
     return len(b) - bin(v).count("1")
 
 
+def edit_distance(a, b) -> int:
+    """Levenshtein distance of two sequences (characters or words).
+
+    Bit-parallel (Myers 1999, in Hyyrö's formulation for global distance):
+    one big-int word per column of the shorter sequence, O(len(a) * len(b) / w).
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    m = len(b)
+    if m == 0:
+        return len(a)
+    peq: dict = {}
+    for i, x in enumerate(b):
+        peq[x] = peq.get(x, 0) | (1 << i)
+    full = (1 << m) - 1
+    top = 1 << (m - 1)
+    pv, mv, score = full, 0, m
+    for x in a:
+        eq = peq.get(x, 0)
+        xv = eq | mv
+        xh = ((((eq & pv) + pv) & full) ^ pv) | eq
+        ph = mv | (~(xh | pv) & full)
+        mh = pv & xh
+        if ph & top:
+            score += 1
+        elif mh & top:
+            score -= 1
+        ph = ((ph << 1) | 1) & full
+        mh = (mh << 1) & full
+        pv = mh | (~(xv | ph) & full)
+        mv = ph & xv
+    return score
+
+
 def f_measure(hits: float, n_ref: int, n_pred: int) -> float:
     if n_ref == 0 or n_pred == 0 or hits == 0:
         return 0.0
@@ -184,3 +218,17 @@ def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 @pandas_udf(DoubleType())
 def partial_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([partial_ratio(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+
+
+@pandas_udf(DoubleType())
+def edit_distance_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Edit distance of two strings (code points) or two token arrays."""
+    out = np.empty(len(a), dtype=np.float64)
+    for k, (x, y) in enumerate(zip(a, b)):
+        if x is None or y is None:
+            out[k] = np.nan
+            continue
+        if not isinstance(x, str):
+            x, y = list(x), list(y)
+        out[k] = edit_distance(x, y)
+    return pd.Series(out)

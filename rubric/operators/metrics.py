@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rubric.functions import lcs
-from rubric.functions.overlap import jiwer_words, ngram_matches, word_edit_distance, word_vocab
+from rubric.functions.overlap import jiwer_words, ngram_matches
 from rubric.functions.text import (
     extract_asr_text,
     first_word_or_line,
@@ -146,33 +146,40 @@ def rouge_plan(parts: tuple[str, ...] = ROUGE_PARTS) -> list[Stage]:
 
 def wer_plan(name: str = "wer") -> list[Stage]:
     """Word error rate; skipped when either side is empty or the reference has
-    no words."""
+    no words.  Word edit distance runs as the bit-parallel Arrow kernel (the
+    JVM-side alternative ``overlap.word_edit_distance`` maps words to code
+    points for the built-in ``levenshtein``; it is O(n*m) per pair)."""
     def words(c: Getter) -> dict:
         return {"rw": jiwer_words(c("ref")), "pw": jiwer_words(c("pred")),
                 "ok": (F.coalesce(c("ref"), F.lit("")) != "") & (F.coalesce(c("pred"), F.lit("")) != "")}
 
-    def vocab(c: Getter) -> dict:
-        return {"vocab": word_vocab(c("rw"), c("pw")), "n": F.size(c("rw"))}
+    def distance(c: Getter) -> dict:
+        valid = c("ok") & (F.size(c("rw")) > 0)
+        return {"valid": valid, "n": F.size(c("rw")),
+                "dist": lcs.edit_distance_udf(F.when(valid, c("rw")), F.when(valid, c("pw")))}
 
     def score(c: Getter) -> dict:
-        valid = c("ok") & (c("n") > 0)
-        dist = word_edit_distance(c("rw"), c("pw"), c("vocab"))
-        return {name: result(F.when(valid, dist / c("n")), valid)}
+        return {name: result(F.when(c("valid"), c("dist") / c("n")), c("valid"))}
 
-    return [words, vocab, score]
+    return [words, distance, score]
 
 
 def cer_plan(name: str = "cer") -> list[Stage]:
-    """Character error rate on stripped text (code points)."""
+    """Character error rate on stripped text (code points), bit-parallel
+    edit distance on Arrow batches (valid rows only)."""
     def prep(c: Getter) -> dict:
         return {"r": trim_ws(F.coalesce(c("ref"), F.lit(""))), "p": trim_ws(F.coalesce(c("pred"), F.lit(""))),
                 "ok": (F.coalesce(c("ref"), F.lit("")) != "") & (F.coalesce(c("pred"), F.lit("")) != "")}
 
-    def score(c: Getter) -> dict:
+    def distance(c: Getter) -> dict:
         valid = c("ok") & (F.length(c("r")) > 0)
-        return {name: result(F.when(valid, F.levenshtein(c("r"), c("p")) / F.length(c("r"))), valid)}
+        return {"valid": valid, "n": F.length(c("r")),
+                "dist": lcs.edit_distance_udf(F.when(valid, c("r")), F.when(valid, c("p")))}
 
-    return [prep, score]
+    def score(c: Getter) -> dict:
+        return {name: result(F.when(c("valid"), c("dist") / c("n")), c("valid"))}
+
+    return [prep, distance, score]
 
 
 def exact_accuracy_plan(name: str = "exact_accuracy") -> list[Stage]:

@@ -106,3 +106,20 @@ def test_select_catalog(spark):
     got = sorted(r["dataset"] for r in S.select_catalog(cat, "c1", " mcq , generation ,").collect())
     assert got == ["a", "b"]
     assert [r["dataset"] for r in S.select_catalog(cat, "c1", None).collect()] == ["a"]
+
+
+def test_result_writers(spark, tmp_path):
+    from rubric.operators import jobs
+    tr = spark.createDataFrame([("t1", "c1", "bleu", 0.5), ("t1", "c1", "accuracy", 1.0), ("t2", "c1", "bleu", 0.25)],
+                               "task string, category string, metric string, value double")
+    sinks.write_results(tr, str(tmp_path / "results"))
+    back = spark.read.parquet(str(tmp_path / "results"))
+    assert back.filter("task = 't1'").count() == 2 and set(back.columns) >= {"task", "category", "metric"}
+    pay = jobs.result_payloads(tr, job_id="j", benchmark="b")
+    sinks.write_payloads(pay, str(tmp_path / "payloads"))
+    lines = sorted(r.value for r in spark.read.text(str(tmp_path / "payloads")).collect())
+    doc = json.loads(lines[0])
+    assert doc["task_id"] == "t1" and doc["results"] == {"accuracy,none": 1.0, "bleu,none": 0.5}
+    assert doc["status"] == "completed" and doc["job_id"] == "j"
+    sinks.write_judge_results(tr.withColumn("explanation", F.lit("x")), str(tmp_path / "judge"))
+    assert spark.read.json(str(tmp_path / "judge")).count() == 3
