@@ -201,7 +201,7 @@ def _taskwise_sql(prefix: str, mcq: bool) -> str:
     return f"""
 WITH s AS ({o.judge_samples_sql(mcq=mcq)})
 SELECT task, round(avg(score), 4) AS {prefix}llm_judge_score, round(avg(raw_score), 4) AS {prefix}llm_judge_score_raw,
-       0.0 AS {prefix}llm_judge_score_stderr, count(*) AS num_samples
+       0.0::DOUBLE AS {prefix}llm_judge_score_stderr, count(*) AS num_samples
 FROM s WHERE valid GROUP BY task
 """
 
@@ -362,7 +362,7 @@ def rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CHAT_PROMPTS_SQL = f"""
 SELECT conv_id, count(*) AS n_messages,
-       sum(length({o.capitalize('role')} || ': ' || text)) + 2 * (count(*) - 1) + length(chr(10) || chr(10) || 'Assistant:') AS prompt_chars
+       (sum(length({o.capitalize('role')} || ': ' || text)) + 2 * (count(*) - 1) + length(chr(10) || chr(10) || 'Assistant:'))::BIGINT AS prompt_chars
 FROM conversations GROUP BY conv_id
 """
 
@@ -378,7 +378,7 @@ def chat_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CLEAN_MESSAGES_SQL = """
-SELECT coalesce(role, 'user') AS role, count(*) AS n_messages, sum(length(text)) AS n_chars
+SELECT coalesce(role, 'user') AS role, count(*) AS n_messages, sum(length(text))::BIGINT AS n_chars
 FROM conversations GROUP BY ALL
 """
 
@@ -393,7 +393,7 @@ def clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOKEN_USAGE_SQL = f"""
 WITH pairs AS ({o.conversation_pairs_sql()})
-SELECT model, sum({o.simple_token_count('response')}) AS tokens, count(*) AS n_texts
+SELECT model, sum({o.simple_token_count('response')})::BIGINT AS tokens, count(*) AS n_texts
 FROM pairs GROUP BY model
 """
 
@@ -593,8 +593,8 @@ NORMALIZED_ITEMS_SQL = f"""
 WITH i AS ({cat.catalog_items_sql()})
 SELECT dataset, split, count(*) AS n_items,
        count(*) FILTER (WHERE len(output) > 1) AS n_list_outputs,
-       sum(length(replace(output[1], chr(10), '\\n'))) AS first_output_chars,
-       sum(length(array_to_string(list_transform(input, lambda v: replace(v, chr(10), '\\n')), ''))) AS input_chars,
+       sum(length(replace(output[1], chr(10), '\\n')))::BIGINT AS first_output_chars,
+       sum(length(array_to_string(list_transform(input, lambda v: replace(v, chr(10), '\\n')), '')))::BIGINT AS input_chars,
        count(*) FILTER (WHERE mcq IS NOT NULL) AS n_mcq,
        count(*) FILTER (WHERE coalesce(instruction, '') = '') AS n_no_instruction
 FROM i GROUP BY dataset, split
@@ -617,9 +617,9 @@ def normalized_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RENDERED_INPUTS_SQL = f"""
 WITH i AS ({cat.catalog_items_sql()})
-SELECT dataset, count(*) AS n_items, sum(length({_render_sql('input')})) AS rendered_chars,
-       sum(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{IMG_RE}')))) AS n_images,
-       sum(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{AUD_RE}')))) AS n_audio
+SELECT dataset, count(*) AS n_items, sum(length({_render_sql('input')}))::BIGINT AS rendered_chars,
+       sum(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{IMG_RE}'))))::BIGINT AS n_images,
+       sum(len(list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{AUD_RE}'))))::BIGINT AS n_audio
 FROM i GROUP BY dataset
 """
 
@@ -659,7 +659,7 @@ t AS (SELECT dataset, CASE WHEN ins <> '' AND NOT contains(ins, 'not_ins') THEN
              ins FROM f)
 SELECT i.dataset, t.template, count(*) AS n_items,
        sum(length(CASE WHEN t.template = 'instruction_input' THEN t.ins || chr(10) || {_render_sql('i.input')}
-                       ELSE {_render_sql('i.input')} END)) AS prompt_chars
+                       ELSE {_render_sql('i.input')} END))::BIGINT AS prompt_chars
 FROM i JOIN t USING (dataset) GROUP BY i.dataset, t.template
 """
 
