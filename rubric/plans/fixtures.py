@@ -27,12 +27,20 @@ MODELS = ["m0", "m1", "m2"]
 _VIEWS: dict = {}
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session (a restarted session gets a new app id)."""
+    try:
+        return id(spark), spark.sparkContext.applicationId
+    except Exception:  # sessions without a SparkContext handle
+        return (id(spark),)
+
+
 def memo_view(fn):
     """Build a derived view once per (session, folder, args): DataFrames are
     immutable plans, so queries share the analysed plan instead of rebuilding
     it (every expression node is a JVM round trip)."""
     def wrapper(spark, sf_dir, *args, **kwargs):
-        key = (fn.__name__, id(spark), sf_dir, args, tuple(sorted(kwargs.items())))
+        key = (fn.__name__, session_key(spark), sf_dir, args, tuple(sorted(kwargs.items())))
         if key not in _VIEWS:
             _VIEWS[key] = fn(spark, sf_dir, *args, **kwargs)
         return _VIEWS[key]
@@ -46,7 +54,7 @@ _TABLES: dict = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """A shared table (file listing and schema resolved once per session)."""
-    key = (id(spark), sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     df = _TABLES[key]
@@ -151,16 +159,25 @@ def _words(text: F.Column) -> F.Column:
 
 @memo_view
 def passage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item_id, doc_id, source, lang, passage, document) where the document
-    contains the passage verbatim."""
+    """F-B over the shared tables (see ``contained_passages``)."""
     bench = table(spark, sf_dir, "benchmark", "item_id", "text")
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return contained_passages(bench, docs)
+
+
+def contained_passages(bench: DataFrame, docs: DataFrame) -> DataFrame:
+    """(item_id, doc_id, source, lang, passage, document) where the document
+    contains the passage verbatim.
+
+    The two fallback branches are planned only when such passages exist (a
+    cheap probe of the passage side), so the common case never pays for them.
+    """
 
     # interior tokens only: drop the first and last (possibly partial) token
     p_tok = bench.select("item_id", F.col("text").alias("passage"), _words(F.col("text")).alias("tok"))
     p_sh = p_tok.select("item_id", "passage",
                         _shingles(F.slice("tok", 2, F.greatest(F.size("tok") - 2, F.lit(0)))).alias("sh"))
-    p_anchor = p_sh.select("item_id", "passage", _winnow(F.col("sh")).alias("anchors"))
+    p_anchor = p_sh.select("item_id", "passage", "sh", _winnow(F.col("sh")).alias("anchors"))
 
     d_tok = spread(docs.select("doc_id", "text")).select("doc_id", _words(F.col("text")).alias("tok"))
     d_sh = d_tok.select("doc_id", _shingles(F.col("tok")).alias("sh"))
@@ -168,16 +185,27 @@ def passage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     anchored = p_anchor.filter(F.col("anchors").isNotNull()).select(
         "item_id", "passage", F.explode("anchors").alias("anchor"))
-    candidates = anchored.join(d_anchor, "anchor").select("item_id", "doc_id", "passage").dropDuplicates(
-        ["item_id", "doc_id"])
-    found = candidates.join(docs, "doc_id").filter(F.contains(F.col("text"), F.col("passage")))
+    candidates = anchored.join(d_anchor, "anchor").select("item_id", "doc_id", "passage")
 
-    # passages too short for a full window: direct containment test
-    bare = p_anchor.filter(F.col("anchors").isNull()).select("item_id", "passage")
-    found_bare = bare.join(docs, F.contains(docs["text"], bare["passage"]))
+    # passages with 1..W-1 interior shingles: their first interior shingle is a
+    # shingle of every containing document (equi-join on all its shingles)
+    short = p_anchor.filter(F.col("anchors").isNull() & (F.size("sh") > 0)).select(
+        "item_id", "passage", F.get("sh", 0)["s"].alias("anchor"))
+    if not short.isEmpty():
+        d_all = d_sh.select("doc_id", F.explode(F.array_distinct(F.transform("sh", lambda x: x["s"]))).alias("anchor"))
+        candidates = candidates.unionByName(short.join(d_all, "anchor").select("item_id", "doc_id", "passage"))
 
+    candidates = candidates.dropDuplicates(["item_id", "doc_id"])
+    found = candidates.join(docs, "doc_id").filter(F.contains(F.col("text"), F.col("passage")))
     cols = ["item_id", "doc_id", "source", "lang", "passage", F.col("text").alias("document")]
-    return found.select(*cols).unionByName(found_bare.select(*cols))
+    out = found.select(*cols)
+
+    # passages of at most four words have no interior shingle: direct test
+    bare = p_anchor.filter(F.size("sh") == 0).select("item_id", "passage")
+    if not bare.isEmpty():
+        found_bare = bare.join(docs, F.contains(docs["text"], bare["passage"]))
+        out = out.unionByName(found_bare.select(*cols))
+    return out
 
 
 # ---------------------------------------------------------------------------

@@ -103,3 +103,19 @@ def test_fuzzy_accuracy(spark):
     assert acc == [(1.0, True), (1.0, True), (1.0, True), (0.0, True), (0.0, True), (1.0, True),
                    (None, False), (None, False)]
     assert [r.exact_accuracy.value for r in out][:4] == [1.0, 0.0, 0.0, 0.0]
+
+
+def test_contained_passages_all_lengths(spark):
+    long = " ".join(f"w{i}" for i in range(30))
+    short = "alpha beta gamma delta epsilon zeta"
+    tiny = "xy zz"
+    docs = [(1, "pre " + long + " post", "s", "en"), (2, "alphabet alpha beta gamma delta epsilon zetas", "s", "en"),
+            (3, "nothing here", "s", "en"), (4, "axy zzz and more", "s", "en"),
+            (5, long[3:] + "\n" + short, "s", "en")]
+    bench = spark.createDataFrame([(10, long), (11, short), (12, tiny), (13, long[3:40]), (14, "not present at all")],
+                                  "item_id long, text string")
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    got = sorted((r.item_id, r.doc_id) for r in fx.contained_passages(bench, d).collect())
+    want = sorted((b, dd) for b, bt in [(10, long), (11, short), (12, tiny), (13, long[3:40]), (14, "not present at all")]
+                  for dd, dt, _, _ in docs if bt in dt)
+    assert got == want and len(want) >= 5

@@ -12,7 +12,8 @@ def test_status_tracker_matches_batch(spark, tmp_path):
     # two arrivals: earlier and later halves of the log
     events.filter("event_id % 2 = 0").write.parquet(folder + "/part=a")
     events.filter("event_id % 2 = 1").write.parquet(folder + "/part=b")
-    q = start_status_tracker(spark, folder, "status_now", name=str(tmp_path.name), available_now=True)
+    import uuid
+    q = start_status_tracker(spark, folder, "status_now", name=f"test-{uuid.uuid4().hex}", available_now=True)
     q.awaitTermination(120)
     got = {r["job_id"]: (r["status"], r["error"], r["n_events"]) for r in spark.table("status_now").collect()}
     want = {r["job_id"]: (r["status"], r["error"], r["n_events"]) for r in latest_status(events).collect()}
