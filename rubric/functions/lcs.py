@@ -128,12 +128,14 @@ def union_lcs_hits(ref_sents, pred_sents) -> tuple[int, int, int]:
     budget_r = Counter(t for s in ref_sents for t in s)
     budget_p = Counter(t for s in pred_sents for t in s)
     hits = 0
+    pred_sets = [set(c) for c in pred_sents]
     for r in ref_sents:
         if not r:
             continue
         positions = set()
-        for c in pred_sents:
-            if c:
+        r_set = set(r)
+        for c, c_set in zip(pred_sents, pred_sets):
+            if c and not r_set.isdisjoint(c_set):   # no shared token: empty LCS
                 positions.update(_lcs_positions(r, c))
         for pos in sorted(positions):
             tok = r[pos]

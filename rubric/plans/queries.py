@@ -498,11 +498,13 @@ def task_metric_lists(task: F.Column) -> F.Column:
     return F.when(n % 3 == 0, F.array_append(base, F.lit("accuracy"))).otherwise(base)
 
 
-def _generation_task_results(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+def _generation_task_results(spark: SparkSession, sf_dir: str, model: str,
+                             rouge_parts: tuple[str, ...] | None = None) -> DataFrame:
     from rubric.operators.metrics import ROUGE_PARTS
+    parts = rouge_parts or ROUGE_PARTS
     pairs = fx.conversation_pairs(spark, sf_dir).filter(F.col("model") == model)
-    outputs = ["bleu", "accuracy", *ROUGE_PARTS]
-    scored = score_pairs(pairs, ["bleu", "accuracy", "rouge"], keep=["task", "category"])
+    outputs = ["bleu", "accuracy", *parts]
+    scored = score_pairs(pairs, ["bleu", "accuracy", "rouge"], keep=["task", "category"], only={"rouge": parts})
     long = to_long(scored, ["task", "category"], outputs)
     family = F.when(F.col("metric").isin(*ROUGE_PARTS), F.lit("rouge")).otherwise(F.col("metric"))
     long = long.filter(F.array_contains(task_metric_lists(F.col("task")), family))
@@ -524,7 +526,8 @@ def _judge_task_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def final_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 over model m0's generation tasks and the judge tasks: nGramScore
     (ROUGE-Lsum when the task has ROUGE, else BLEU), mcqScore, judge scores."""
-    gen = _generation_task_results(spark, sf_dir, "m0").select("task", "category", "metric", "value")
+    # the final record reads ROUGE through its rougeLsum only
+    gen = _generation_task_results(spark, sf_dir, "m0", ("rougeLsum",)).select("task", "category", "metric", "value")
     both = gen.unionByName(_judge_task_results(spark, sf_dir))
     out = rollup.final_scores(both, ["task"])
     return out.select("task", *[_r(F.col(c)).alias(c) for c in out.columns if c != "task"])
