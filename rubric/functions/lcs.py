@@ -88,9 +88,10 @@ def f_measure(hits: float, n_ref: int, n_pred: int) -> float:
 
 def _lcs_table(r, c) -> np.ndarray:
     """Full LCS table; row update uses the running-max identity
-    L[i][j] = cummax_j(where(r_i == c_j, L[i-1][j-1] + 1, L[i-1][j]))."""
+    L[i][j] = cummax_j(where(r_i == c_j, L[i-1][j-1] + 1, L[i-1][j])).
+    Tokens are expected as interned integers (vectorised comparisons)."""
     table = np.zeros((len(r) + 1, len(c) + 1), dtype=np.int32)
-    c_arr = np.asarray(c, dtype=object)
+    c_arr = np.asarray(c)
     for i, tok in enumerate(r, start=1):
         prev = table[i - 1]
         cand = np.where(c_arr == tok, prev[:-1] + 1, prev[1:])
@@ -119,8 +120,9 @@ def _lcs_positions(r, c) -> list[int]:
 
 def union_lcs_hits(ref_sents, pred_sents) -> tuple[int, int, int]:
     """(hits, ref token count, pred token count) of the summary-level LCS."""
-    ref_sents = [list(s) for s in ref_sents]
-    pred_sents = [list(s) for s in pred_sents]
+    vocab: dict = {}
+    ref_sents = [[vocab.setdefault(t, len(vocab)) for t in s] for s in ref_sents]
+    pred_sents = [[vocab.setdefault(t, len(vocab)) for t in s] for s in pred_sents]
     m = sum(len(s) for s in ref_sents)
     n = sum(len(s) for s in pred_sents)
     if m == 0 or n == 0:

@@ -305,20 +305,27 @@ def _cols(prefix: str):
 
 def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
                 response: str = "response", keep: list[str] | None = None,
-                only: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+                only: dict[str, tuple[str, ...]] | None = None,
+                needed: dict[str, str] | None = None) -> DataFrame:
     """Wide per-sample scores: one struct column per metric output.
 
     ``only`` optionally restricts a multi-output metric (e.g. rouge) to some
-    outputs.  Stages of all metrics advance together, one ``select`` each.
+    outputs.  ``needed`` maps a metric to a boolean column of ``pairs``: rows
+    where it is false get null inputs (cheap in every stage and kernel) and
+    are meant to be dropped by the caller, as when metrics are carried per
+    task (M12).  Stages of all metrics advance together, one ``select`` each.
     """
     keep = keep if keep is not None else [c for c in pairs.columns if c not in (gold, response)]
     plans = {}
     first = []
     for name in metrics:
         m = REGISTRY.get(name)
-        pkey = (m.name, gold, response)
+        need = (needed or {}).get(name)
+        pkey = (m.name, gold, response, need)
         if pkey not in _PAIR_CACHE:
             ref, pred = m.pair(F.col(gold), F.col(response))
+            if need is not None:
+                ref, pred = F.when(F.col(need), ref), F.when(F.col(need), pred)
             _PAIR_CACHE[pkey] = [ref.alias(f"{m.name}__ref"), pred.alias(f"{m.name}__pred")]
         first += _PAIR_CACHE[pkey]
         parts = only.get(name) if only else None

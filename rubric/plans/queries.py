@@ -503,8 +503,11 @@ def _generation_task_results(spark: SparkSession, sf_dir: str, model: str,
     from rubric.operators.metrics import ROUGE_PARTS
     parts = rouge_parts or ROUGE_PARTS
     pairs = fx.conversation_pairs(spark, sf_dir).filter(F.col("model") == model)
+    lists = task_metric_lists(F.col("task"))
+    pairs = pairs.select("*", *[F.array_contains(lists, m).alias(f"_need_{m}") for m in ("bleu", "accuracy", "rouge")])
     outputs = ["bleu", "accuracy", *parts]
-    scored = score_pairs(pairs, ["bleu", "accuracy", "rouge"], keep=["task", "category"], only={"rouge": parts})
+    scored = score_pairs(pairs, ["bleu", "accuracy", "rouge"], keep=["task", "category"], only={"rouge": parts},
+                         needed={m: f"_need_{m}" for m in ("bleu", "accuracy", "rouge")})
     long = to_long(scored, ["task", "category"], outputs)
     family = F.when(F.col("metric").isin(*ROUGE_PARTS), F.lit("rouge")).otherwise(F.col("metric"))
     long = long.filter(F.array_contains(task_metric_lists(F.col("task")), family))
