@@ -201,13 +201,16 @@ def simple_tokens(c: Column | str) -> Column:
 
 
 def _last_component(c: Column) -> Column:
-    return F.substring_index(F.rtrim(F.lower(c), F.lit("/")), "/", -1)
+    return F.substring_index(F.rtrim(c, F.lit("/")), "/", -1)
 
 
 def _has_suffix(c: Column | str, suffixes: list[str]) -> Column:
-    # Path suffix: the last dot of the last path component, not at its start.
-    # "(?s).\.(ext)\z" is linear (no backtracking over long texts).
-    return F.regexp_like(_last_component(col_(c)), F.lit(r"(?s).\.(" + "|".join(suffixes) + r")\z"))
+    # Path suffix: text after the last dot of the last path component, when
+    # that dot is not the component's first character.  Plain string
+    # functions (no regex scan over long texts); only the suffix is lowered.
+    comp = _last_component(col_(c))
+    ext = F.substring_index(comp, ".", -1)
+    return (F.length(comp) >= F.length(ext) + 2) & F.lower(ext).isin(*suffixes)
 
 
 def is_image(c: Column | str) -> Column:
