@@ -1,10 +1,11 @@
 """Operator 9: toxic passages as maximum-scoring segments.
 
 Model, fitted on a bounded sample of labelled rows: a token's features are the
-word and its prefixes of three to six characters.  A feature's score is the log
+word and its prefixes of three to seven characters.  A feature's score is the log
 odds of its document counts in toxic and clean rows under a Dirichlet prior made
-of the pooled counts, and it takes part if it stands ``MIN_Z`` deviations above
-zero.  A token scores as its most certain feature; all others score ``-DRIFT``.
+of the pooled counts, less ``BOUND`` deviations; it takes part if it stands
+``MIN_Z`` deviations above zero.  A token scores as its highest feature; tokens
+without one score ``-DRIFT``.
 
 Each text is scanned once: the linear-time all-maximal-segments scan finds every
 passage whose score cannot be raised by growing or cutting it.  Scores of chance
@@ -13,7 +14,8 @@ segments follow an extreme-value law, whose rate solves
 from those that gave the features.  A segment's expected number of chance
 equals, ``tokens * exp(-rate * score)``, makes it significant; the evidence of a
 text is the sum of ``-log10`` of that over its significant segments, and a
-logistic curve fitted on the same rows turns it into a probability.
+logistic curve in its logarithm, fitted on the same rows, turns it into a
+probability.
 
 Edge cases: null and empty texts have no evidence and get the lowest score; with
 no usable label of either kind every text scores 0; labels that disagree for an
@@ -37,9 +39,11 @@ from pyspark.sql import functions as F
 TRAIN_ROWS = 20_000
 PRIOR = 0.5
 PRIOR_WEIGHT = 1.0
-MIN_Z = 3.0
+MIN_Z = 2.7
+#: Deviations by which a feature's score is lowered.
+BOUND = 2.0
 DRIFT = 0.5
-PREFIXES = (3, 4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7)
 SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 MEMO = 400_000
@@ -59,7 +63,7 @@ def features(token: str) -> list[str]:
 class Model:
     """What the workers need to score a text."""
 
-    weights: dict[str, tuple[float, float]]  # feature: (z, log odds)
+    weights: dict[str, float]  # feature: least credible log odds
     rate: float = 1.0
     bias: float = -50.0
     slope: float = 0.0
@@ -71,7 +75,7 @@ class Model:
             if len(self.memo) > MEMO:
                 self.memo.clear()
             found = [self.weights[f] for f in features(token) if f in self.weights]
-            got = self.memo[token] = max(found)[1] if found else -DRIFT
+            got = self.memo[token] = max(found, default=-DRIFT)
         return got
 
     def scores(self, text: str) -> list[float]:
@@ -93,7 +97,7 @@ class Model:
         return sum(-math.log10(max(e, 1e-300)) for *_, e in self.passages(text))
 
     def probability(self, evidence: float) -> float:
-        return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, self.bias + self.slope * evidence))))
+        return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, self.bias + self.slope * math.log1p(evidence)))))
 
 
 def maximal_segments(values: list[float]) -> list[tuple[int, int, float]]:
@@ -133,7 +137,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(order, "doc_id").limit(limit))
     rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.groupBy(F.md5("text").alias("k")).agg(F.max(F.struct("toxic", "doc_id", "text")).alias("r")).select("r.*")
-    return rows.withColumn("fits", F.pmod(F.xxhash64(F.lit("role"), F.col("doc_id")), F.lit(3)) != 0)
+    return rows.withColumn("fits", F.pmod(F.xxhash64(F.lit("role"), F.col("doc_id")), F.lit(5)) != 0)
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Model:
         odds = lambda y, n: F.log((F.col(y) + prior) / (F.lit(float(n)) - F.col(y) + prior + 1))
         delta = odds("y1", n1) - odds("y0", n0)
         z = delta / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
-        model = Model({r["feature"]: (r["z"], r["d"]) for r in
-                       counts.select("feature", delta.alias("d"), z.alias("z")).where(F.col("z") >= MIN_Z).collect()})
+        sure = counts.select("feature", delta.alias("d"), z.alias("z")).where(F.col("z") >= MIN_Z)
+        model = Model({r["feature"]: r["least"] for r in sure.select(
+            "feature", (F.col("d") * (1 - BOUND / F.col("z"))).alias("least")).collect()})
         calibrate(model, rows)
         return model
     finally:
@@ -183,9 +188,8 @@ def calibrate(model: Model, rows: DataFrame) -> None:
     apart = rows.where("not fits")
     null = apart.where("toxic = 0").select("text").mapInArrow(histogram, "score double, n long").groupBy("score").agg(F.sum("n").alias("n"))
     tokens = {r["score"]: float(r["n"]) for r in null.collect()}
-    for _, score in model.weights.values():
-        if score > 0:
-            tokens[round(score, 3)] = tokens.get(round(score, 3), 0.0) + 0.5 / len(model.weights)
+    for score in model.weights.values():
+        tokens[round(score, 3)] = tokens.get(round(score, 3), 0.0) + 0.5 / len(model.weights)
     tokens[-DRIFT] = tokens.get(-DRIFT, 0.0) + 1.0
     model.rate = solve_rate(tokens)
 
@@ -216,7 +220,7 @@ def solve_rate(tokens: dict[float, float]) -> float:
 
 def logistic(points: list[tuple[float, int]], ridge: float = 1e-2) -> tuple[float, float]:
     """Newton steps of a one-feature logistic fit with targets kept off 0 and 1."""
-    x = np.array([min(p[0], 50.0) for p in points], float)
+    x = np.log1p(np.array([p[0] for p in points], float))
     y = np.array([p[1] for p in points], float)
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
@@ -245,7 +249,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             for text in batch.column("text"):
                 got = model.passages(text.as_py() or "") if model.weights else []
                 found.append([dict(zip(("first", "end", "score", "expected"), x)) for x in got])
-                scores.append(model.probability(min(50.0, sum(-math.log10(max(x[3], 1e-300)) for x in got))))
+                scores.append(model.probability(sum(-math.log10(max(x[3], 1e-300)) for x in got)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(found, kind)], ["doc_id", "score", "passages"])
 
     return docs.select("doc_id", "text").mapInArrow(run, PASSAGES)
