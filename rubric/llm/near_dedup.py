@@ -7,14 +7,14 @@ lowers the variance, and a text is done (early stop) once every register holds
 less than ``j + 1``, as later offers are larger.
 
 Candidates.  Texts with equal sets are one class and go on as one row.  Classes
-that agree in all registers of a band meet in a bucket.  In each round some
-members of a bucket, its pivots, are paired with the members that are not yet
-in their component and whose set sizes allow the similarity; pairs are verified
-on the full sets, verified links are joined to components, and the pivots leave
-the bucket.  Rounds take 1, 4, 16, ... pivots and end when each bucket holds one
-component.  So a large group of copies costs pairs in proportion to its size,
-while no link between components is left untried: every pair of a bucket is
-either connected already, too unlike in size, or verified.
+that agree in all registers of a band meet in a bucket.  First each bucket's
+least member is paired with the others, pairs are verified on the full sets, and
+links are joined to components; that settles nearly all copies at a cost in
+proportion to their number.  In a bucket that still holds several components,
+the members outside its largest one are then verified against all members of
+that component and against each other, in blocks of ``BLOCK`` sets that are
+compared inside the tasks.  So every pair of a bucket is connected already or
+verified, and no pair but a verified link ever becomes a row.
 
 Components.  Links are contracted by union-find inside the tasks and joined
 across them by distributed star contraction until nothing changes.
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rubric.llm.common import scratch_dir
@@ -47,6 +47,8 @@ ROWS_PER_BAND, BANDS = 6, 42
 #: Links need ``PERCENT`` of the union's shingles in common.
 PERCENT = 80
 SHINGLE = 5
+#: Sets that one task compares with as many others at once.
+BLOCK = 64
 
 
 def _permuted(keys: np.ndarray, rank: int) -> np.ndarray:
@@ -191,22 +193,53 @@ def components(links: DataFrame) -> DataFrame:
         links = new
 
 
-def _pairs(members: DataFrame, pivots: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of this round, and the members that were pivots.
+def _blocks(rows: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """(grp, blk, docs): the sets of each group's (grp, rep), about ``size`` together."""
+    counts = rows.groupBy("grp").agg(F.count("*").alias("c"))
+    dealt = rows.join(counts, "grp").select("grp", "rep", F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / size)).alias("blk"))
+    return dealt.join(sets, "rep").groupBy("grp", "blk").agg(F.collect_list(F.struct("rep", "grams")).alias("docs"))
 
-    ``members`` has bucket, rep, n and root.  Members of the smallest
-    components of a bucket come first as pivots.
-    """
-    sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("m"))
-    busy = sizes.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    active = members.join(busy, "bucket", "left_semi").join(sizes, ["bucket", "root"])
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("m", "root", "rep"))
-    chosen = active.select("bucket", "rep", "n", "root", rank.alias("rank")).where(F.col("rank") <= pivots)
-    p = chosen.select("bucket", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("root").alias("proot"))
-    fits = (F.col("n") * 100 >= F.col("pn") * percent) & (F.col("pn") * 100 >= F.col("n") * percent)
-    pairs = (members.join(p, "bucket").where((F.col("root") != F.col("proot")) & fits)
-             .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
-    return pairs, chosen.select("bucket", "rep")
+
+def _block_links(pairs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the sets of two blocks (``x`` and ``y``)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                x, y = (batch.column(c)[row].as_py() for c in ("x", "y"))
+                grams = [np.frombuffer(d["grams"], U64) for d in y]
+                sizes, names = np.array([len(g) for g in grams]), np.array([d["rep"] for d in y])
+                flat, owner = np.concatenate(grams), np.repeat(np.arange(len(y)), sizes)
+                a, b = [], []
+                for d in x:
+                    own = np.frombuffer(d["grams"], U64)
+                    place = np.searchsorted(own, flat)
+                    place[place == len(own)] = 0
+                    both = np.bincount(owner[own[place] == flat], minlength=len(y))
+                    hit = names[(100 * both >= percent * (len(own) + sizes - both)) & (names != d["rep"])]
+                    a += [d["rep"]] * len(hit)
+                    b += hit.tolist()
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return pairs.select("x", "y").mapInArrow(run, "a long, b long")
+
+
+def _rest_links(now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the buckets that hold several components: (bucket, rep, root)."""
+    sizes = now.groupBy("bucket", "root").agg(F.count("*").alias("m"))
+    top = sizes.groupBy("bucket").agg(F.count("*").alias("c"), F.max(F.struct("m", "root")).alias("top"))
+    top = top.where("c > 1").select("bucket", F.col("top.root").alias("main"))
+    others = cut_lineage(now.join(top, "bucket").where("root != main").select("bucket", "rep", "main"))
+    probes = others.select(F.col("main").alias("grp"), "rep").distinct()
+    wanted = probes.select("grp").distinct()
+    inside = now.select("rep", F.col("root").alias("grp")).distinct().join(wanted, "grp", "left_semi").select("grp", "rep")
+    left = _blocks(probes, sets, BLOCK).select("grp", F.col("docs").alias("x"))
+    right = _blocks(inside, sets, BLOCK).select("grp", F.col("docs").alias("y"))
+    own = _blocks(others.select(F.col("bucket").alias("grp"), "rep").join(
+        others.groupBy(F.col("bucket").alias("grp")).count().where("count > 1").select("grp"), "grp"), sets, BLOCK)
+    each = own.select("grp", "blk", F.col("docs").alias("x")).join(
+        own.select("grp", F.col("blk").alias("to"), F.col("docs").alias("y")), "grp").where("blk <= to")
+    return _block_links(left.join(right, "grp"), percent).union(_block_links(each, percent)).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -225,25 +258,17 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
             .select(F.col("doc_id").alias("rep"), "grams").dropDuplicates(["rep"]))
     sets.write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
-    links = roots = tried = None
-    pivots = 1
-    while True:
-        now = members.withColumn("root", F.col("rep")) if roots is None else (
-            members.join(roots, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("root", "rep").alias("root")))
-        now = cut_lineage(now)
-        if now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").isEmpty():
-            break
-        pairs, used = _pairs(now, pivots, percent)
-        pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        found = cut_lineage(verify(pairs, sets, percent))
-        links = found if links is None else links.union(found)
-        roots = components(links)
-        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        tried = pairs if tried is None else cut_lineage(tried.union(pairs))
-        members = cut_lineage(members.join(used, ["bucket", "rep"], "left_anti"))
-        pivots *= 4
-    if roots is None:
-        roots = spark.createDataFrame([], "node long, root long")
+    least = F.min("rep").alias("p"), F.min(F.struct("rep", "n"))["n"].alias("pn")
+    star = members.join(members.groupBy("bucket").agg(*least), "bucket")
+    fits = (F.col("n") * 100 >= F.col("pn") * percent) & (F.col("pn") * 100 >= F.col("n") * percent)
+    pairs = star.where((F.col("rep") != F.col("p")) & fits).select(F.col("p").alias("a"), F.col("rep").alias("b")).distinct()
+    links = cut_lineage(verify(pairs, sets, percent))
+    roots = components(links)
+    now = cut_lineage(members.join(roots, F.col("rep") == F.col("node"), "left").select(
+        "bucket", "rep", F.coalesce("root", "rep").alias("root")))
+    more = cut_lineage(_rest_links(now, sets, percent))
+    if not more.isEmpty():
+        roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     of_class = classes.select("cls", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("root"))
     out = sketch.select("doc_id", "n", "cls").join(of_class, "cls", "left")
     component = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id"))

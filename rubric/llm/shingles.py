@@ -18,7 +18,7 @@ _rng = np.random.Generator(np.random.PCG64(20240229))
 _TABLE = _rng.integers(0, 1 << 64, size=(_PLACES, 256), dtype=U64)
 _ORDER = _rng.integers(0, 1 << 64, size=64, dtype=U64) | U64(1)
 #: Bytes of text that are hashed at once, but for a longer single text.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from rubric.llm.shingles import CHUNK, U64, chunks, mix, text_bytes
 
 LENGTH = 200
-GRAM = 56
+GRAM = 32
 #: Stretches or groups whose windows are named at once.
 SPANS = 512
 #: Kinds of runs of one name whose windows one task compares; the windows of
@@ -252,20 +252,24 @@ def _cut(rows: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(row, lo, hi): stretches of bytes, end exclusive, whose union is what
     repeats.  ``rows`` has row and text, and is read three times."""
-    found = runs(rows, length, gram)
+    # no column is ever null; saying so keeps filters that joins would add to
+    # one use of a shuffle, but not to another, out of the plan
+    found = runs(rows, length, gram).where("row is not null and pos is not null and name is not null and whole is not null")
     # first rank: names that occur once are settled
     again = found.groupBy("name").count().where("count > 1").select("name")
     # the key of a stretch is spelled apart from the name, so that a frequent
     # name is joined in many tasks and summed before the next shuffle
     alive = found.join(again, "name").select("row", "pos", "whole", F.bitwise_not("name").alias("name"))
     lo, hi = F.shiftright("pos", 8), F.shiftright("pos", 8) + F.col("pos").bitwiseAND(255) + length
-    # whole stretches: equal ones repeat
+    # whole stretches: equal ones repeat.  Every use of the kinds asks for all
+    # their columns, so that one plan, and its shuffles, serve them all
     kinds = alive.groupBy("name", "whole").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"))
-    equal = kinds.where("n > 1").select("name", "whole")
+    known = F.col("one.row").isNotNull() & F.col("one.pos").isNotNull() & (F.col("n") > 0)
+    equal = kinds.where(known & (F.col("n") > 1)).select("name", "whole")
     alike = alive.join(equal, ["name", "whole"]).select("row", lo.alias("lo"), hi.alias("hi"))
     # the windows of one run of each kind are ranked among the kinds of a name
-    many = kinds.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    ones = kinds.join(many, "name").select("name", "kinds", F.col("one.row").alias("row"), F.col("one.pos").alias("pos"))
+    many = kinds.where(known).groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    ones = kinds.where(known).join(many, "name").select("name", "kinds", F.col("one.row").alias("row"), F.col("one.pos").alias("pos"))
     listed = ones.groupBy("row").agg(F.collect_list(F.struct("name", "kinds", "pos")).alias("runs"))
     runs_of = contexts(rows.join(listed, "row"), length)
     groups = runs_of.where(F.col("kinds") <= TOGETHER).groupBy("name").agg(F.collect_list(F.struct("row", "lo", "bytes")).alias("runs"))
