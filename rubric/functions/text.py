@@ -47,7 +47,8 @@ SIMPLE_TOKEN_SPLIT = r'(?U)\s+|[,.!?;:"()\[\]{}]'
 # Marker of an API failure message and the JSON object pattern inside it
 # (an object with at most one level of nesting).
 API_ERROR_MARKER = "API request failed with error message:"
-JSON_OBJECT_PATTERN = r"\{(?:[^{}]|\{[^{}]*\})*\}"
+# Possessive and unrolled: the matcher neither recurses nor backtracks.
+JSON_OBJECT_PATTERN = r"\{[^{}]*+(?:\{[^{}]*+\}[^{}]*+)*+\}"
 
 # Characters not allowed in generated dataset names.
 FORBIDDEN_NAME_CHARS = '<>:/\\|?*'
@@ -147,8 +148,7 @@ def extract_asr_text(c: Column | str) -> Column:
     text_str = F.variant_get(v, "$.text", "string")
     text_true = F.when(text_str == "true", F.lit("True")).otherwise(text_str)
     falsy = (F.is_variant_null(text_v) | text_str.isin("false", "", "[]", "{}")
-             | (F.try_to_number(text_str, F.lit("9999999999.9999999999")).isNotNull()
-                & (text_str.cast("double") == 0)))
+             | (F.schema_of_variant(text_v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & (F.try_variant_get(v, "$.text", "double") == 0)))
     entries = F.map_entries(F.from_json(p, "map<string,variant>"))
     first_str = F.get(
         F.filter(entries, lambda e: F.schema_of_variant(e["value"]) == "STRING"), 0

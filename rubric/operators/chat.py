@@ -29,7 +29,8 @@ def clean_content(content: Column | str) -> Column:
     def block_text(b: Column) -> Column:
         k = F.schema_of_variant(b)
         return F.when(k == "STRING", F.variant_get(b, "$", "string")) \
-            .when(k.startswith("OBJECT") & F.variant_get(b, "$.text", "variant").isNotNull(),
+            .when(k.startswith("OBJECT") & (F.variant_get(b, "$.text", "variant").isNotNull()
+                                            | F.coalesce(F.try_variant_get(b, "$.type", "string") == "text", F.lit(False))),
                   F.coalesce(F.try_variant_get(b, "$.text", "string"), F.lit("")))
 
     texts = F.filter(F.transform(blocks, block_text), lambda t: t.isNotNull())

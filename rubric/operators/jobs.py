@@ -35,17 +35,32 @@ def failure_payloads(log: DataFrame) -> DataFrame:
     return failed.withColumn("payload", error_payload(F.col("error")))
 
 
-def result_payloads(task_results: DataFrame, job_id: str, benchmark: str | None = None) -> DataFrame:
-    """One JSON record per task with its metric results and scores.
+def result_payloads(task_results: DataFrame, keys: list[str], scores: DataFrame | None = None,
+                    score_keys: list[str] | None = None, benchmark: str | None = None) -> DataFrame:
+    """One JSON record per task and model with its metric results and scores.
 
-    ``task_results``: task, category, metric, value.  Rows without a task id
-    are skipped.  Metric keys follow the "<metric>,none" convention.
+    ``task_results``: keys (among them model and task), metric, value.  Rows
+    without a task id are skipped.  Metric keys follow the "<metric>,none"
+    convention; ROUGE is one entry whose value is the object of its parts.
+    ``scores`` holds the final record of each of ``score_keys``.
     """
-    per_task = task_results.filter(F.col("task").isNotNull()).groupBy("task", "category").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct(F.concat(F.col("metric"), F.lit(",none")), F.col("value"))))).alias("results"))
+    rows = task_results.filter(F.col("task").isNotNull())
+    part = F.col("metric").startswith("rouge") & (F.col("metric") != "rouge")
+    quoted = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    entry = lambda name, x: F.concat(quoted(name), F.lit(": "), F.coalesce(x.cast("string"), F.lit("null")))
+    joined = lambda xs: F.array_join(F.array_sort(F.collect_list(xs)), ", ")
+    plain = joined(F.when(~part, entry(F.concat("metric", F.lit(",none")), F.col("value"))))
+    rouge = joined(F.when(part, entry(F.col("metric"), F.col("value"))))
+    per_task = rows.groupBy(*keys).agg(plain.alias("_plain"), rouge.alias("_rouge"))
+    rouge = F.when(F.col("_rouge") != "", F.concat(F.lit('"rouge,none": {'), F.col("_rouge"), F.lit("}")))
+    results = F.parse_json(F.concat(F.lit("{"), F.concat_ws(", ", F.nullif(F.col("_plain"), F.lit("")), rouge), F.lit("}")))
+    per_task = per_task.select(*keys, results.alias("results"))
+    if scores is not None:
+        fields = [c for c in scores.columns if c not in score_keys]
+        per_task = per_task.join(scores.select(*score_keys, F.struct(*fields).alias("scores")), score_keys, "left")
     body = F.struct(
-        F.lit(job_id).alias("job_id"), F.col("task").alias("task_id"), F.col("results"),
+        F.concat(F.lit("job-"), "model").alias("job_id"), F.col("task").alias("task_id"), F.col("results"),
+        *([F.col("scores")] if scores is not None else []),
         F.lit("completed").alias("status"), F.col("category"),
         F.lit(benchmark).cast("string").alias("benchmark"))
-    return per_task.select("task", "category", F.to_json(body).alias("payload"))
+    return per_task.select(*keys, F.to_json(body).alias("payload"))

@@ -292,8 +292,9 @@ def register_metric(name: str, score: Callable[[Column, Column], Column], *, pai
     return m
 
 
-# Built expression trees, reused across queries: a stage only reads fixed
-# column names, so its Column objects do not depend on the DataFrame.  (Each
+# Built expression trees by metric definition (a name may be registered anew),
+# reused across queries: a stage only reads fixed column names, so its Column
+# objects do not depend on the DataFrame.  (Each
 # expression node costs a JVM round trip to build.)
 _STAGE_CACHE: dict = {}
 _PAIR_CACHE: dict = {}
@@ -316,12 +317,12 @@ def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
     task (M12).  Stages of all metrics advance together, one ``select`` each.
     """
     keep = keep if keep is not None else [c for c in pairs.columns if c not in (gold, response)]
-    plans = {}
+    plans, defs = {}, {}
     first = []
     for name in metrics:
         m = REGISTRY.get(name)
         need = (needed or {}).get(name)
-        pkey = (m.name, gold, response, need)
+        pkey = (m, gold, response, need)
         if pkey not in _PAIR_CACHE:
             ref, pred = m.pair(F.col(gold), F.col(response))
             if need is not None:
@@ -329,6 +330,7 @@ def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
             _PAIR_CACHE[pkey] = [ref.alias(f"{m.name}__ref"), pred.alias(f"{m.name}__pred")]
         first += _PAIR_CACHE[pkey]
         parts = only.get(name) if only else None
+        defs[m.name] = m
         plans[m.name] = (parts, (lambda p=parts: rouge_plan(p)) if parts and m.name == "rouge" else m.plan)
     cur = pairs.select(*keep, *first)
     outputs: list[str] = []
@@ -339,7 +341,7 @@ def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
             if k >= depth[mname]:
                 continue
             last = k == depth[mname] - 1
-            skey = (mname, parts, k)
+            skey = (defs[mname], parts, k)
             if skey not in _STAGE_CACHE:
                 got = factory()[k](_cols(mname))
                 _STAGE_CACHE[skey] = [(out, expr.alias(out if last else f"{mname}__{out}")) for out, expr in got.items()]

@@ -87,10 +87,12 @@ def dataset_modality(items: DataFrame) -> DataFrame:
 def prompt_templates(items: DataFrame) -> DataFrame:
     """Per dataset, look at the first item of "test" (else "dev"): a
     non-empty instruction without "not_ins" gives instruction + newline +
-    input, otherwise input only."""
+    input, otherwise input only.  Items are ordered by ``id_order``, or by the
+    readers' ``pos``."""
+    place = "id_order" if "id_order" in items.columns else "pos"
     rank = F.when(F.col("split") == "test", 0).when(F.col("split") == "dev", 1).otherwise(2)
     first = items.groupBy("dataset").agg(
-        F.min_by(F.col("instruction"), F.struct(rank, F.col("id_order"))).alias("first_instruction"))
+        F.min_by(F.col("instruction"), F.struct(rank, F.col(place))).alias("first_instruction"))
     ins = F.coalesce(F.col("first_instruction"), F.lit(""))
     use = (ins != "") & ~F.contains(ins, F.lit("not_ins"))
     return first.select("dataset", F.when(use, F.lit("instruction_input")).otherwise(F.lit("input")).alias("template"),
@@ -219,3 +221,16 @@ def schema_keys(items: DataFrame, extras: str = "extras") -> DataFrame:
 def drop_empty_groups(catalog: DataFrame) -> DataFrame:
     """rows without category dropped (empty groups then never appear)."""
     return catalog.filter(F.col("category").isNotNull() & (trim_ws(F.col("category")) != ""))
+
+
+def join_responses(items: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
+    """One response per request; none -> "".
+
+    Two responses of one request stop the job: the check is an aggregate on the
+    join's own keys, so both share one shuffle.
+    """
+    n = F.count("*")
+    twice = F.raise_error(F.lit("more than one response for a request"))
+    one = responses.groupBy(*keys).agg(F.when(n > 1, twice).otherwise(F.max("response")).alias("response"))
+    joined = items.join(one, keys, "left")
+    return joined.withColumn("response", F.coalesce(F.col("response"), F.lit("")))

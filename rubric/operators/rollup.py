@@ -44,8 +44,10 @@ def task_metric(long_scores: DataFrame, keys: list[str]) -> DataFrame:
 
 def average_scores(task_results: DataFrame, keys: list[str], digits: int = 4) -> DataFrame:
     """A4: unweighted mean over tasks per (keys, metric), rounded; with the
-    number of tasks and the task minimum / maximum."""
-    return task_results.groupBy(*keys, "metric").agg(
+    number of tasks and the task minimum / maximum.  A ROUGE task contributes
+    as ``rouge``, by its rougeLsum alone."""
+    one = task_results.withColumn("metric", representative_metric(F.col("metric"))).where(F.col("metric").isNotNull())
+    return one.groupBy(*keys, "metric").agg(
         F.round(F.avg("value"), digits).alias("average_score"),
         F.count("*").alias("n_tasks"),
         F.min("value").alias("min_score"),
@@ -91,12 +93,6 @@ def group_by_category_task(catalog: DataFrame) -> DataFrame:
                  F.count("*").alias("n_datasets")))
 
 
-def token_usage(df: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
-    """Summed token counts per key."""
-    return df.groupBy(*keys).agg(F.sum(F.size(tokens)).alias("tokens"),
-                                 F.count("*").alias("n_texts"))
-
-
 AGGREGATES = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "median": F.median}
 
 

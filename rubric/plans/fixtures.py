@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rubric.functions.text import escape_newlines
+from rubric.operators.prepare import join_responses
 from rubric.session import spread
 
 MODELS = ["m0", "m1", "m2"]
@@ -116,12 +117,6 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_responses(per_model, responses, ["model", "conv_id", "turn"])
 
 
-def join_responses(items: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
-    """One response per request; none -> ""."""
-    joined = items.join(responses, keys, "left")
-    return joined.withColumn("response", F.coalesce(F.col("response"), F.lit("")))
-
-
 # ---------------------------------------------------------------------------
 # F-B passages found in documents
 # ---------------------------------------------------------------------------
@@ -255,6 +250,26 @@ def judge_attempts(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataF
                     (F.col("pos") + 1).alias("attempt"), "raw"))
 
 
+@memo_view
+def conversation_judge_attempts(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataFrame:
+    """Raw replies of one judge to the conversation samples, keyed to them.
+
+    With h = conv_id + turn + k of model k, the score is h % 5 (generative) or
+    h % 3 - 1 (MCQ, so it leaves [0, 1]); attempt 1 is broken when h % 5 = 0,
+    and no attempt parses when h % 10 = 0.
+    """
+    s = conversation_pairs(spark, sf_dir).select("model", "task", "conv_id", "turn")
+    h = F.col("conv_id") + F.col("turn") + F.expr("substring(model, 2)").cast("int")
+    score = h % 3 - 1 if mcq else h % 5
+    good = F.concat(F.lit('{"score": '), score.cast("string"), F.lit(', "explanation": "graded"}'))
+    broken = F.lit('{"score": "unfinished')
+    tries = F.array(F.when(h % 5 == 0, broken).otherwise(good), F.when(h % 10 != 0, good).otherwise(broken))
+    return s.select(
+        F.concat_ws("|", "model", "task").alias("task"), F.concat_ws("-", "conv_id", "turn").alias("sample_id"),
+        F.lit("j1").alias("judge"), F.posexplode(tries).alias("pos", "raw")).select(
+        "task", "sample_id", "judge", (F.col("pos") + 1).alias("attempt"), "raw")
+
+
 # ---------------------------------------------------------------------------
 # F-D multiple choice over regions
 # ---------------------------------------------------------------------------
@@ -323,7 +338,7 @@ def response_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = conv_id + turn + k, attempt 1 is empty when h % 4 = 0, attempt 2 is
     blank when h % 8 = 0, attempt 3 is empty when h % 16 = 0."""
     r = conversation_responses(spark, sf_dir)
-    h = F.col("conv_id") + F.col("turn") + F.substring("model", 2, 8).cast("int")
+    h = F.col("conv_id") + F.col("turn") + F.expr("substring(model, 2)").cast("int")
     tries = F.array(
         F.when(h % 4 == 0, F.lit("")).otherwise(F.col("response")),
         F.when(h % 8 == 0, F.lit("   ")).otherwise(F.col("response")),

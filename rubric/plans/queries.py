@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rubric.operators import rollup
+from rubric.operators.prepare import join_responses
 from rubric.operators.metrics import score_pairs, to_long
 from rubric.plans import fixtures as fx
 from rubric.plans import oracle as o
@@ -433,7 +434,7 @@ def first_valid_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min(F.when(ok, F.col("attempt"))).alias("used"))
     items = fx.conversation_items(spark, sf_dir).select("conv_id", "turn")
     per_model = items.withColumn("model", F.explode(F.array(*[F.lit(m) for m in fx.MODELS])))
-    s = fx.join_responses(per_model, first, ["model", "conv_id", "turn"])
+    s = join_responses(per_model, first, ["model", "conv_id", "turn"])
     return s.groupBy("model").agg(
         F.count("*").alias("n_samples"),
         F.count_if(F.col("used") == 1).alias("n_first"), F.count_if(F.col("used") == 2).alias("n_second"),
@@ -493,56 +494,66 @@ def task_metric_lists(task: F.Column) -> F.Column:
     """Metric list of each conversation task (M12: metrics are carried per
     task): even tasks use ROUGE and BLEU, odd ones BLEU, every third adds
     accuracy."""
-    n = F.substring(task, 2, 8).cast("int")
+    n = F.substr(task, F.lit(2)).cast("int")
     base = F.when(n % 2 == 0, F.array(F.lit("rouge"), F.lit("bleu"))).otherwise(F.array(F.lit("bleu")))
     return F.when(n % 3 == 0, F.array_append(base, F.lit("accuracy"))).otherwise(base)
 
 
-def _generation_task_results(spark: SparkSession, sf_dir: str, model: str,
-                             rouge_parts: tuple[str, ...] | None = None) -> DataFrame:
+def _generation_task_results(spark: SparkSession, sf_dir: str, rouge_parts: tuple[str, ...] | None = None) -> DataFrame:
+    """Task results of every model: model, task, category, metric, value."""
     from rubric.operators.metrics import ROUGE_PARTS
     parts = rouge_parts or ROUGE_PARTS
-    pairs = fx.conversation_pairs(spark, sf_dir).filter(F.col("model") == model)
+    pairs = fx.conversation_pairs(spark, sf_dir)
     lists = task_metric_lists(F.col("task"))
     pairs = pairs.select("*", *[F.array_contains(lists, m).alias(f"_need_{m}") for m in ("bleu", "accuracy", "rouge")])
-    outputs = ["bleu", "accuracy", *parts]
-    scored = score_pairs(pairs, ["bleu", "accuracy", "rouge"], keep=["task", "category"], only={"rouge": parts},
+    outputs, keys = ["bleu", "accuracy", *parts], ["model", "task", "category"]
+    scored = score_pairs(pairs, ["bleu", "accuracy", "rouge"], keep=keys, only={"rouge": parts},
                          needed={m: f"_need_{m}" for m in ("bleu", "accuracy", "rouge")})
-    long = to_long(scored, ["task", "category"], outputs)
+    long = to_long(scored, keys, outputs)
     family = F.when(F.col("metric").isin(*ROUGE_PARTS), F.lit("rouge")).otherwise(F.col("metric"))
     long = long.filter(F.array_contains(task_metric_lists(F.col("task")), family))
-    return rollup.task_metric(long, ["task", "category"])
+    return rollup.task_metric(long, keys)
 
 
 def _judge_task_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge means of the same (model, task) samples that the metrics score."""
     from rubric.operators import judge as J
-    gen = J.taskwise(_judge_samples(spark, sf_dir, False, ("j1",)))
-    mcq = J.taskwise(_judge_samples(spark, sf_dir, True, ("j1",)), prefix="mcq_")
-    return (gen.select("task", F.lit(None).cast("string").alias("category"), F.lit("llm_judge_score").alias("metric"),
-                       F.col("llm_judge_score").alias("value"))
-            .unionByName(mcq.select("task", F.lit(None).cast("string").alias("category"),
-                                    F.lit("mcq_llm_judge_score").alias("metric"),
-                                    F.col("mcq_llm_judge_score").alias("value"))))
+    out = None
+    for mcq, prefix in ((False, ""), (True, "mcq_")):
+        verdicts = J.first_valid_verdict(fx.conversation_judge_attempts(spark, sf_dir, mcq=mcq), ["task", "sample_id"])
+        scores = J.judge_scores(verdicts, ["task", "sample_id"], mcq=mcq, threshold=0.5)
+        samples = J.aggregate_judges(scores, ["task", "sample_id"], method="mean", threshold=0.5)
+        name = f"{prefix}llm_judge_score"
+        one = J.taskwise(samples, prefix=prefix).select(
+            F.split_part("task", F.lit("|"), F.lit(1)).alias("model"), F.split_part("task", F.lit("|"), F.lit(2)).alias("task"),
+            F.lit(name).alias("metric"), F.col(name).alias("value"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _final_records(results: DataFrame, judged: DataFrame) -> DataFrame:
+    both = results.select("model", "task", "metric", "value").unionByName(judged)
+    out = rollup.final_scores(both, ["model", "task"])
+    return out.select("model", "task", *[_r(F.col(c)).alias(c) for c in out.columns if c not in ("model", "task")])
 
 
 @query("final_scores")
 def final_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5 over model m0's generation tasks and the judge tasks: nGramScore
-    (ROUGE-Lsum when the task has ROUGE, else BLEU), mcqScore, judge scores."""
+    """A5 per (model, task): nGramScore (ROUGE-Lsum when the task has ROUGE,
+    else BLEU), mcqScore and the judge scores of the same samples."""
     # the final record reads ROUGE through its rougeLsum only
-    gen = _generation_task_results(spark, sf_dir, "m0", ("rougeLsum",)).select("task", "category", "metric", "value")
-    both = gen.unionByName(_judge_task_results(spark, sf_dir))
-    out = rollup.final_scores(both, ["task"])
-    return out.select("task", *[_r(F.col(c)).alias(c) for c in out.columns if c != "task"])
+    return _final_records(_generation_task_results(spark, sf_dir, ("rougeLsum",)), _judge_task_results(spark, sf_dir))
 
 
 @query("result_payloads")
 def result_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON record per task of model m0 (metrics as "<name>,none")."""
+    """One JSON record per (model, task): metric results ("<name>,none",
+    ROUGE as one object) and the final record as ``scores``."""
     from rubric.operators import jobs
-    t = _generation_task_results(spark, sf_dir, "m0").select(
-        "task", "category", "metric", _r(F.col("value")).alias("value"))
-    return jobs.result_payloads(t, job_id="job-m0", benchmark="conversations")
+    t = _generation_task_results(spark, sf_dir)
+    t = t.select("model", "task", "category", "metric", _r(F.col("value")).alias("value"))
+    scores = _final_records(t, _judge_task_results(spark, sf_dir))
+    return jobs.result_payloads(t, ["model", "task", "category"], scores, ["model", "task"], benchmark="conversations")
 
 
 AVERAGE_BY_CATEGORY_SQL = f"""

@@ -7,8 +7,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a job of this library relies on.  Sizes are per-session knobs: on a
-# cluster they come from the submit configuration and are left untouched here.
+# Settings a job of this library relies on.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,6 +19,10 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+}
+
+# Sizes for a single machine only; a cluster's submit configuration keeps its own.
+_LOCAL = {
     # Text scoring is CPU-bound per byte: let AQE coalesce shuffle output only
     # down to small partitions so scoring keeps every core busy.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
@@ -42,7 +45,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
-        builder = builder.config("spark.driver.memory", os.environ.get("RUBRIC_DRIVER_MEMORY", "16g"))
+        for key, value in _LOCAL.items():
+            builder = builder.config(key, value)
+        builder = builder.config("spark.driver.memory", os.environ.get("RUBRIC_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -59,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="rubric-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -21,7 +21,7 @@ import io
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CORE = ["id", "instruction", "input", "output", "mcq", "Experimental prompts", "source", "source_link",
@@ -173,33 +173,28 @@ def read_csv_datasets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return items, datasets
 
 
+XML_ITEM = ("id string, instruction string, input struct<value: array<string>>, output string, mcq struct<option: array<string>>, "
+            "experimental_prompts struct<prompt: array<string>>, source string, source_link string, difficulty string")
+
+
 def read_xml_datasets(spark: SparkSession, path: str, root_tag: str = "dataset") -> tuple[DataFrame, DataFrame]:
     """S3: ``data/item`` elements are items (``input/value``,
     ``mcq/option``, ``experimental_prompts/prompt`` lists, empty text
     dropped); the root's other children are metadata."""
     raw = (spark.read.format("xml").option("rowTag", "item").option("pathGlobFilter", "*.xml")
-           .option("inferSchema", "false").load(path).withColumn("path", F.col("_metadata.file_path")))
-    cols = set(raw.columns)
+           .schema(XML_ITEM).load(path).withColumn("path", F.col("_metadata.file_path"))
+           .withColumn("_at", F.monotonically_increasing_id()))
+    # ids grow along a file, so their rank within the file is the item's place
+    place = F.row_number().over(Window.partitionBy("path").orderBy("_at")) - 1
 
     def nested(c: str, child: str) -> Column:
-        if c not in cols:
-            return F.lit(None).cast("array<string>")
-        v = F.col(f"{c}.{child}")
-        return F.filter(v, lambda x: F.coalesce(x, F.lit("")) != "")
-
-    def text(c: str) -> Column:
-        return F.col(c).cast("string") if c in cols else F.lit(None).cast("string")
+        return F.filter(F.col(f"{c}.{child}"), lambda x: F.coalesce(x, F.lit("")) != "")
 
     items = raw.select(
-        _stem(F.col("path")).alias("dataset"), F.lit("test").alias("split"),
-        F.monotonically_increasing_id().cast("int").alias("pos"),
-        text("id").alias("id"), text("instruction").alias("instruction"),
-        nested("input", "value").alias("input"),
-        F.array(text("output")).alias("output"),
-        nested("mcq", "option").alias("mcq"),
-        nested("experimental_prompts", "prompt").alias("experimental_prompts"),
-        text("source").alias("source"), text("source_link").alias("source_link"),
-        text("difficulty").alias("difficulty"), F.create_map().cast("map<string,string>").alias("extras"))
+        _stem(F.col("path")).alias("dataset"), F.lit("test").alias("split"), place.alias("pos"), "id", "instruction",
+        nested("input", "value").alias("input"), F.array("output").alias("output"), nested("mcq", "option").alias("mcq"),
+        nested("experimental_prompts", "prompt").alias("experimental_prompts"), "source", "source_link", "difficulty",
+        F.create_map().cast("map<string,string>").alias("extras"))
     meta_raw = (spark.read.format("xml").option("rowTag", root_tag).option("pathGlobFilter", "*.xml")
                 .option("inferSchema", "false").load(path).withColumn("path", F.col("_metadata.file_path")))
     keep = [c for c in meta_raw.columns if c not in DROPPED_META + ["path"]]
@@ -219,12 +214,13 @@ def read_xml_datasets(spark: SparkSession, path: str, root_tag: str = "dataset")
 def read_datasets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """All three formats under ``path``; when one dataset exists in several
     formats, JSON wins over CSV over XML (rank by file stem)."""
-    import os
     parts = []
     for rank, reader in enumerate((read_json_datasets, read_csv_datasets, read_xml_datasets)):
         ext = ["json", "csv", "xml"][rank]
-        has = any(f.endswith("." + ext) for _, _, fs in os.walk(path) for f in fs) if os.path.isdir(path) else \
-            path.endswith("." + ext)
+        # Spark lists the files, so any store it reads will do
+        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                  .option("pathGlobFilter", f"*.{ext}").load(path).select("path"))
+        has = not listed.isEmpty()
         if has:
             items, datasets = reader(spark, path)
             parts.append((rank, items, datasets))
