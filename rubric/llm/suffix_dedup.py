@@ -37,11 +37,11 @@ from rubric.llm.shingles import CHUNK, U64, chunks, mix, text_bytes
 
 LENGTH = 200
 GRAM = 32
-#: Stretches or groups whose windows are named at once.
-SPANS = 512
-#: Kinds of runs of one name whose windows one task compares; the windows of
-#: names with more kinds are ranked by Spark, spread over tasks.
-TOGETHER = 64
+#: Runs whose windows are named at once.
+SPANS = 1024
+#: Kinds of runs of one name whose windows one task compares, 1.5 MB of bytes at
+#: most; the windows of names with more kinds are ranked by Spark over all tasks.
+TOGETHER = 4096
 
 _BASE, _BASE2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -182,10 +182,20 @@ def _ranks(parts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 def compare_groups(groups: DataFrame, length: int = LENGTH) -> DataFrame:
     """(row, lo, hi) of repeated windows among the ``runs`` of each group: pairs
     of half ranks are sorted, and equal neighbours repeat."""
+    def gathered(batch: pa.RecordBatch) -> Iterator[list[tuple[int, dict]]]:
+        """Whole groups, as (group, run), until about ``SPANS`` runs are together."""
+        held = []
+        for g, own in enumerate(batch.column("runs")):
+            held += [(g, r) for r in own.as_py()]
+            if len(held) >= SPANS:
+                yield held
+                held = []
+        if held:
+            yield held
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SPANS):
-                runs = [(g, r) for g, rs in enumerate(batch.column("runs").slice(at, SPANS).to_pylist()) for r in rs]
+            for runs in gathered(batch):
                 part, window, left, right = _ranks([r["bytes"] for _, r in runs], length)
                 left = mix(left + np.array([g for g, _ in runs], U64)[part])
                 order = np.lexsort((right, left))
