@@ -35,12 +35,12 @@ def failure_payloads(log: DataFrame) -> DataFrame:
     return failed.withColumn("payload", error_payload(F.col("error")))
 
 
-def result_payloads(task_results: DataFrame, keys: list[str], scores: DataFrame | None = None,
-                    score_keys: list[str] | None = None, benchmark: str | None = None) -> DataFrame:
+def result_payloads(task_results: DataFrame, keys: tuple[str, ...] | list[str] = ("task", "category"), scores: DataFrame | None = None,
+                    score_keys: list[str] | None = None, job_id: str | None = None, benchmark: str | None = None) -> DataFrame:
     """One JSON record per task and model with its metric results and scores.
 
-    ``task_results``: keys (among them model and task), metric, value.  Rows
-    without a task id are skipped.  Metric keys follow the "<metric>,none"
+    ``task_results``: keys (among them task), metric, value.  Rows without a
+    task id are skipped.  Without ``job_id``, each row's model names its job.  Metric keys follow the "<metric>,none"
     convention; ROUGE is one entry whose value is the object of its parts.
     ``scores`` holds the final record of each of ``score_keys``.
     """
@@ -59,7 +59,7 @@ def result_payloads(task_results: DataFrame, keys: list[str], scores: DataFrame
         fields = [c for c in scores.columns if c not in score_keys]
         per_task = per_task.join(scores.select(*score_keys, F.struct(*fields).alias("scores")), score_keys, "left")
     body = F.struct(
-        F.concat(F.lit("job-"), "model").alias("job_id"), F.col("task").alias("task_id"), F.col("results"),
+        (F.lit(job_id) if job_id else F.concat(F.lit("job-"), "model")).alias("job_id"), F.col("task").alias("task_id"), F.col("results"),
         *([F.col("scores")] if scores is not None else []),
         F.lit("completed").alias("status"), F.col("category"),
         F.lit(benchmark).cast("string").alias("benchmark"))

@@ -231,6 +231,7 @@ def join_responses(items: DataFrame, responses: DataFrame, keys: list[str]) -> D
     """
     n = F.count("*")
     twice = F.raise_error(F.lit("more than one response for a request"))
-    one = responses.groupBy(*keys).agg(F.when(n > 1, twice).otherwise(F.max("response")).alias("response"))
-    joined = items.join(one, keys, "left")
+    rest = [c for c in responses.columns if c not in keys]
+    one = responses.groupBy(*keys).agg(F.when(n > 1, twice).otherwise(F.max(F.struct(*rest))).alias("_one"))
+    joined = items.join(one, keys, "left").select(*items.columns, "_one.*")
     return joined.withColumn("response", F.coalesce(F.col("response"), F.lit("")))
