@@ -3,9 +3,9 @@
 import hashlib
 import random
 
-import brute_force as brute
 import numpy as np
 import pytest
+from llm import brute_force as brute
 from pyspark.sql import functions as F
 
 from rubric.llm import ann, bpe, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity
