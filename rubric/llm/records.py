@@ -40,11 +40,15 @@ ENTRY = np.dtype([("doc_id", "<i8"), ("null", "<u8"), ("offset", "<u8"), ("lengt
 #: Bytes gathered before they are written.
 BUFFER = 4 << 20
 #: Parts of texts that a worker remembers before it starts anew.
-MEMO = 400_000
+MEMO = 1_000_000
+#: Characters of a part that is remembered, at most.
+LONGEST = 64
 #: Rows of an output batch.
 ROWS = 4096
 #: Documents whose unseen parts are tokenized together.
 TOGETHER = 256
+#: Parts that are encoded as one string.
+CHUNK = 2048
 
 MANIFEST = "part int, file string, n_docs long, n_tokens long"
 UNIT = re.compile(r" (?=\S)")
@@ -80,8 +84,12 @@ class Encoder:
     """The tokenizers library over whole texts.
 
     A text is cut before each space that a non-space follows, where the split
-    pattern of byte-level BPE always starts anew; parts that the worker has not
-    seen are encoded in one batch.
+    pattern of byte-level BPE always starts anew.  Parts that the worker has not
+    seen are encoded in a few long strings, with a zero byte after each part: no
+    token but its own holds that byte, so its id shows where a part's ids end.
+    Parts that end in white space or lack the space before them (which the split
+    pattern reads together with their neighbours) or hold a zero byte are encoded
+    one by one.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -93,23 +101,72 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
         self.end = end_id.to_bytes(self.width, "little")
-        self.memo: dict[str, bytes] = {}
+        zero = self.tokenizer.encode("\0", add_special_tokens=False)
+        holding = [t for t in self.tokenizer.get_vocab() if zero.tokens[0] in t]
+        self.zero = zero.ids[0] if zero.tokens == holding else None
+        self.memo: dict[str, bytes] = {}  # part without its space: ids of the part
+
+    def _singly(self, parts: list[str]) -> list[bytes]:
+        codes = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(code.ids, self.kind).tobytes() for code in codes]
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part."""
+        if self.zero is None:
+            return self._singly(parts)
+        apart = [k for k, p in enumerate(parts) if p[:1] != " " or p[-1].isspace() or "\0" in p]
+        skip = set(apart)
+        plain = [k for k in range(len(parts)) if k not in skip]
+        out = [b""] * len(parts)
+        for k, ids in zip(apart, self._singly([parts[k] for k in apart])):
+            out[k] = ids
+        chunks = [plain[at:at + CHUNK] for at in range(0, len(plain), CHUNK)]
+        texts = ["\0".join([*map(parts.__getitem__, chunk), ""]) for chunk in chunks]
+        for chunk, code in zip(chunks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(code.ids, self.kind)
+            stops = np.flatnonzero(ids == self.zero)
+            if len(stops) != len(chunk):
+                raise ValueError("a part's end is not found among the ids")
+            raw, at = ids.tobytes(), 0
+            for k, stop in zip(chunk, (stops * self.width).tolist()):
+                out[k], at = raw[at:stop], stop + self.width
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, in little-endian bytes."""
-        split = []
-        for text in texts:
-            first, *units = UNIT.split(text)
-            split.append([first, *(" " + u for u in units)])
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
-        new = list({u for units in split for u in units if u not in memo})
-        kind = f"<u{self.width}"
-        for unit, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            memo[unit] = np.array(code.ids, kind).tobytes()
-        return [b"".join(map(memo.__getitem__, units)) + self.end for units in split]
+        firsts, rest, new = [], [], set()
+        for text in texts:
+            first, *parts = text.split(" ")
+            unseen = {p for p in parts if p not in memo}
+            if any(not p or p[0].isspace() for p in unseen):  # such a space is no place to cut
+                first, *parts = UNIT.split(text)
+                unseen = {p for p in parts if p not in memo}
+            firsts.append(first)
+            rest.append(parts)
+            new |= unseen
+        names = list(new)
+        ids = self._encode([*firsts, *(" " + p for p in names)])
+        memo.update(zip(names, ids[len(firsts):]))
+        out = [head + b"".join(map(memo.__getitem__, parts)) + self.end for head, parts in zip(ids, rest)]
+        for part in names:
+            if len(part) > LONGEST:
+                del memo[part]
+        return out
+
+
+_LOADED: dict[tuple[str, int], Encoder] = {}
+
+
+def load(path: str, end_id: int) -> Encoder:
+    """A worker's encoder, read once."""
+    if (path, end_id) not in _LOADED:
+        _LOADED[path, end_id] = Encoder(path, end_id)
+    return _LOADED[path, end_id]
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0) -> DataFrame:
@@ -134,7 +191,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             for at in range(0, batch.num_rows, TOGETHER):
                 rows = batch.slice(at, TOGETHER)
                 if data is None:
-                    encoder = Encoder(tokenizer_path, end_id)
+                    encoder = load(tokenizer_path, end_id)
                     data, index = (store.open_output_stream(f"{root}/{name}.{x}") for x in ("rec", "idx"))
                 ids = encoder([t or "" for t in rows.column("text").to_pylist()])
                 for doc_id, code in zip(rows.column("doc_id").to_pylist(), ids):

@@ -311,3 +311,18 @@ def test_mix_takes_near_targets(spark, odd, none, odd_rows):
     copies = {r["doc_id"]: r["count"] for r in mixing.mix(df).groupBy("doc_id").count().collect()}
     assert copies == {k: v for k, v in taken.items() if v}
     assert mixing.mix(odd).columns == odd.columns
+
+
+def test_record_encoder_equals_the_library_on_whole_texts():
+    """Parts encoded in one string give the ids of the whole text, whatever stands at their edges."""
+    import public_tokenizers
+
+    encoder = records.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 0)
+    assert encoder.zero is not None
+    draw = random.Random(11)
+    bits = ["a", " ", "  ", "\n", "\t", "\0", "'s", "'", "é", "́", "9", "<|endoftext|>", "\x1c", "\xa0", "日本", "😀", ".", "\r\n", "word", "x" * 200]
+    texts = ["", " ", "'s", *("".join(draw.choices(bits, k=draw.randrange(40))) for _ in range(4000))]
+    whole = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    got = [encoder(texts[at:at + 100]) for at in range(0, len(texts), 100)]
+    assert [x for part in got for x in part] == [np.array([*code.ids, 0], "<u2").tobytes() for code in whole]
+    assert all(len(part) <= records.LONGEST for part in encoder.memo)
