@@ -15,12 +15,14 @@ drops out of every average.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rubric.functions.text import normalize_mcq_answer, trim_ws
 
 MAX_ATTEMPTS = 3
+#: Equal-width bins in which a median's place is looked up.
+MEDIAN_BINS = 4096
 NO_VERDICT = "Error: Unable to parse a valid response after retries"
 NUMERIC_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "BOOLEAN")
 
@@ -182,16 +184,50 @@ def overall(samples: DataFrame) -> DataFrame:
     )
 
 
+def _medians(counts: DataFrame) -> DataFrame:
+    """(measure, median) from rows (measure, value, n) of distinct values.
+
+    No task orders all values: they fall into ``MEDIAN_BINS`` equal-width bins,
+    bin sums show where the middle ranks lie, and only those bins are ordered.
+    """
+    known = counts.filter(F.col("value").isNotNull())
+    bounds = known.groupBy("measure").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total"))
+    at = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * MEDIAN_BINS)
+    binned = known.join(bounds, "measure").select(
+        "measure", "value", "n", F.floor((F.col("total") + 1) / 2).alias("first"), (F.floor(F.col("total") / 2) + 1).alias("second"),
+        F.when(F.col("high") > F.col("low"), F.least(at, F.lit(MEDIAN_BINS - 1))).otherwise(0).alias("bin"))
+    sums = binned.groupBy("measure", "bin", "first", "second").agg(F.sum("n").alias("in_bin"))
+    upto = F.sum("in_bin").over(Window.partitionBy("measure").orderBy("bin"))
+    middle = (sums.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("in_bin"))
+              .filter(((F.col("before") < F.col("first")) & (F.col("upto") >= F.col("first")))
+                      | ((F.col("before") < F.col("second")) & (F.col("upto") >= F.col("second"))))
+              .select("measure", "bin", "before"))
+    running = F.col("before") + F.sum("n").over(Window.partitionBy("measure", "bin").orderBy("value"))
+    ranked = binned.join(middle, ["measure", "bin"]).withColumn("rank", running)
+    pick = lambda r: F.min(F.when(F.col("rank") >= F.col(r), F.col("value")))
+    return ranked.groupBy("measure").agg(((pick("first") + pick("second")) / 2).alias("median"))
+
+
 def batch_statistics(samples: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Count, mean / exact median of score and raw, pass rate."""
-    ok = samples.filter(F.col("valid"))
-    return ok.agg(
-        F.count("*").alias("total_test_cases"),
-        F.avg("score").alias("average_score"),
-        F.median("score").alias("median_score"),
-        F.avg("raw_score").alias("average_raw_score"),
-        F.median("raw_score").alias("median_raw_score"),
-        F.coalesce(F.avg((F.col("score") >= threshold).cast("double")), F.lit(0.0)).alias("pass_rate"),
+    measures = F.explode(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in ("score", "raw_score")]))
+    counts = (samples.filter(F.col("valid")).select(measures.alias("m")).select("m.*")
+              .groupBy("measure", "value").agg(F.count("*").alias("n")))
+    known = F.when(F.col("value").isNotNull(), F.col("n"))
+    passed = F.when(F.col("value") >= threshold, F.col("n")).otherwise(0)
+    per_measure = counts.groupBy("measure").agg(
+        F.sum("n").alias("rows"), (F.sum(F.col("value") * F.col("n")) / F.sum(known)).alias("mean"),
+        (F.sum(passed) / F.sum(known)).alias("passed"))
+    stats = per_measure.join(_medians(counts), "measure", "left")
+    of = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
+    return stats.agg(
+        F.coalesce(of("score", "rows"), F.lit(0)).cast("long").alias("total_test_cases"),
+        of("score", "mean").alias("average_score"),
+        of("score", "median").alias("median_score"),
+        of("raw_score", "mean").alias("average_raw_score"),
+        of("raw_score", "median").alias("median_raw_score"),
+        F.coalesce(of("score", "passed"), F.lit(0.0)).alias("pass_rate"),
     )
 
 

@@ -66,3 +66,22 @@ def test_judge_prompt(spark):
     got = [x[0] for x in df.select(J.judge_prompt(F.col("q"), F.col("r"), F.col("a"), F.col("c"))).collect()]
     assert "[CONTEXT]" not in got[0] and "[CONTEXT]\nctx\n[/CONTEXT]" in got[1]
     assert got[0].endswith("[GENERATED OUTPUT]\na\n[/GENERATED OUTPUT]")
+
+
+def test_batch_statistics_equal_the_builtin_median(spark):
+    import random
+    import statistics
+
+    draw = random.Random(5)
+    for n in (0, 1, 2, 7, 500, 501):
+        data = [(draw.choice([0.0, 0.25, draw.random() * 40 - 3]), draw.choice([1.0, draw.random()]), True) for _ in range(n)]
+        df = spark.createDataFrame(data + [(99.0, 99.0, False)], "score double, raw_score double, valid boolean")
+        got = J.batch_statistics(df, threshold=0.2).collect()[0]
+        assert got["total_test_cases"] == n
+        if n:
+            for col, k in (("median_score", 0), ("median_raw_score", 1)):
+                assert abs(got[col] - statistics.median(r[k] for r in data)) < 1e-9
+            assert abs(got["average_score"] - statistics.fmean(r[0] for r in data)) < 1e-9
+            assert abs(got["pass_rate"] - sum(r[0] >= 0.2 for r in data) / n) < 1e-9
+        else:
+            assert got["median_score"] is None and got["pass_rate"] == 0.0
