@@ -9,10 +9,15 @@ A routing tree, fitted on a bounded uniform sample, deals the points to shards o
 about ``SHARD`` points; its size follows the number of shards and is checked
 before it goes to the tasks.  Each shard grows a forest of ``TREES`` trees that
 split at the median of a random two-point projection down to leaves of
-``LEAF`` points.  A query is sent to the ``PROBES`` shards of least margin; there
+``LEAF`` points.  A query is sent to a fixed share of all shards (``PROBE_SHARE``,
+at least ``PROBES``), those with the least sum of squared margins on the way; there
 one priority queue, shared by all trees, takes the most promising branch next
-until ``CANDIDATES`` points are gathered, which are reranked exactly.  The best
-of all shards are merged.
+until a fixed share of the shard's points (``GATHER_SHARE``, at least
+``CANDIDATES``) is gathered, each counted once, which are reranked exactly.  The
+best of all shards are merged.  Both are shares, not numbers, because vectors
+without clusters in many dimensions have their nearest neighbours spread over most
+shards: fixed numbers lose recall as the table grows.  The work of a query
+therefore follows the table's size.
 
 Edge cases: null, zero, or partly null or non-finite vectors take no part; equal
 scores order by id; fewer points than asked give all of them; repeated rows with
@@ -23,6 +28,7 @@ empty result; extra columns are never read.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +41,12 @@ SHARD = 16_384
 SAMPLE = 8_192
 LEAF = 64
 TREES = 12
+#: Shards that a query is sent to: a share of all, and the least number.
+PROBE_SHARE = 0.875
 PROBES = 6
-#: Points that a search gathers in a shard before the exact rerank.
+#: Distinct points that a search gathers in a shard before the exact rerank: a
+#: share of the shard's, and the least number.
+GATHER_SHARE = 0.65
 CANDIDATES = 3_000
 #: Bytes of the routing tree beyond which shards grow instead.
 MAX_TREE_BYTES = 64 << 20
@@ -86,9 +96,10 @@ def grow(points: np.ndarray, leaf: int, rng: np.random.Generator) -> list[tuple]
 
 def search(trees: list[list[tuple]], query: np.ndarray, enough: int) -> np.ndarray:
     """Members of the leaves that one queue over all trees visits until
-    ``enough`` are gathered; the largest margin comes first."""
+    ``enough`` distinct ones are gathered; the least of the largest margins on
+    the way comes first."""
     queue = [(-np.inf, t, 0) for t in range(len(trees))]
-    found, n = [], 0
+    seen, n = np.zeros(sum(len(node[0]) for node in trees[0] if len(node) == 1) if trees else 0, bool), 0
     while queue and n < enough:
         margin, t, at = heapq.heappop(queue)
         node = trees[t][at]
@@ -98,13 +109,14 @@ def search(trees: list[list[tuple]], query: np.ndarray, enough: int) -> np.ndarr
             near, far = (left, right) if side < 0 else (right, left)
             heapq.heappush(queue, (max(margin, abs(side)), t, far))
             node = trees[t][near]
-        found.append(node[0])
-        n += len(node[0])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        n += len(node[0]) - int(np.count_nonzero(seen[node[0]]))
+        seen[node[0]] = True
+    return np.flatnonzero(seen)
 
 
 def _leaves(tree: list[tuple], query: np.ndarray, probes: int) -> list[int]:
-    """The ``probes`` leaves of a tree with the least margins, by leaf number."""
+    """The ``probes`` leaves of a tree with the least sums of squared margins, by
+    leaf number."""
     queue, found = [(0.0, 0)], []
     while queue and len(found) < probes:
         margin, at = heapq.heappop(queue)
@@ -112,7 +124,7 @@ def _leaves(tree: list[tuple], query: np.ndarray, probes: int) -> list[int]:
             normal, cut, left, right = tree[at]
             side = float(query @ normal) - cut
             near, far = (left, right) if side < 0 else (right, left)
-            heapq.heappush(queue, (max(margin, abs(side)), far))
+            heapq.heappush(queue, (margin + side * side, far))
             at = near
         found.append(at)
     return found
@@ -169,6 +181,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
         share *= 2
     router = grow(sample, int(share), np.random.default_rng(3))
     router = [node if len(node) > 1 else (None,) for node in router]
+    probes = max(probes, math.ceil(PROBE_SHARE * sum(len(node) == 1 for node in router)))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         own = left.combine_chunks()
@@ -180,10 +193,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
         rng = np.random.default_rng(int(key[0].as_py()) + 17)
         lifted = _lift(base, norm)
         forest = [grow(lifted, LEAF, rng) for _ in range(trees)]
+        enough = max(candidates, math.ceil(GATHER_SHARE * len(base)))
         names = own.column("vec_id").to_numpy()
         out = ([], [], [])
         for query, x in zip(asks.column("vec_id").to_pylist(), _matrix(asks.column("v").chunk(0))):
-            got = search(forest, np.append(x, 0.0), candidates)
+            got = search(forest, np.append(x, 0.0), enough)
             score = base[got] @ x
             if len(got) > k + 1:
                 # everything that ties with the last place stays in

@@ -191,6 +191,23 @@ def test_nearest_recall_and_ties(spark):
     assert hits / total >= 0.9
 
 
+@pytest.mark.parametrize("shard", [ann.SHARD, 1024])
+def test_nearest_recall_without_clusters(spark, shard, monkeypatch):
+    """64 dimensions without clusters, in one or two shards and in many."""
+    monkeypatch.setattr(ann, "SHARD", shard)
+    x = np.random.default_rng(1).normal(size=(18_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 300 = 0"), 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(got) == 60
+    score = x[sorted(got)] @ x.T
+    score[np.arange(60), sorted(got)] = -np.inf
+    best = np.argpartition(-score, 20, axis=1)[:, :20]
+    assert np.mean([len(got[q] & set(b.tolist())) / 20 for q, b in zip(sorted(got), best)]) >= 0.95
+
+
 def test_nearest_few_or_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df, df.where("vec_id = 0"), 20).orderBy("rank").collect()] == [(0, 1, 2), (0, 2, 1)]
