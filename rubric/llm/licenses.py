@@ -4,9 +4,11 @@ Templates are licence texts and notices as sets of word shingles (five words;
 the whole template if it has fewer).  Templates of similar length form a class;
 texts are cut into overlapping windows, one and a quarter times the longest
 template of the class long, that advance by the quarter, so a passage as long as
-a template lies whole in some window.  A window shares at least half
-of its shingles with a template that it contains, and with ``BANDS`` bands of
-one register such a pair meets with probability ``1 - 0.5**24``, over 0.9999999.
+a template lies whole in some window.  From the templates' and the window's
+shingles follows the least share of shingles that a window and a template it holds
+can have in common; a class has as many bands of one register as such a pair needs
+to meet with probability ``1 - MISS``, over 0.9999999.  Windows with fewer
+shingles of the class's templates than any of them asks for are left out first.
 Each pair that meets is verified on the full shingle sets: the share of the
 template's shingles inside the window must reach ``PERCENT``.
 
@@ -28,7 +30,8 @@ from pyspark.sql import DataFrame
 from rubric.llm.shingles import U64, chunks, mix, shingle_hashes, text_bytes, word_hashes
 
 SHINGLE = 5
-BANDS = 24
+#: Probability that a window and a template it holds meet in no band, at most.
+MISS = 0.5 ** 24
 PERCENT = 80
 
 # Short public licence notices, by SPDX id.
@@ -79,13 +82,19 @@ TEMPLATES = {
 class Class:
     """Templates of similar length: window, step, shingle sets and band keys."""
 
-    def __init__(self, templates: list[tuple[int, np.ndarray]], longest: int):
+    def __init__(self, templates: list[tuple[int, np.ndarray]], longest: int, k: int, percent: int):
         self.step = max(1, math.ceil(longest / 4))
         self.window = longest + self.step
         self.templates = templates
-        self.keys, self.owner = [], []
+        self.known = np.unique(np.concatenate([grams for _, grams in templates]))
+        needs = [-(-percent * len(grams) // 100) for _, grams in templates]
+        self.need = min(needs)
+        size = max(1, self.window - k + 1)
+        common = min(need / (size + len(grams) - need) for need, (_, grams) in zip(needs, templates))
+        self.bands = math.ceil(math.log(MISS) / math.log(1 - common)) if common < 1 else 1
+        self.keys = []
         for _, grams in templates:
-            self.keys.append([_registers(grams, b).min() for b in range(BANDS)])
+            self.keys.append([_registers(grams, b).min() for b in range(self.bands)])
         self.keys = np.array(self.keys, U64)
 
 
@@ -114,7 +123,7 @@ class Scanner:
                 words, owner = word_hashes(data, np.array([0, len(data)]))
                 grams = np.unique(shingle_hashes(words, owner, k, 1)[0])
                 by_size.setdefault((len(words) >= k, max(0, len(words) - 1).bit_length()), []).append((self.names.index(name), grams, len(words)))
-        self.classes = [Class([(n, g) for n, g, _ in rows], max(w for *_, w in rows)) for _, rows in sorted(by_size.items())]
+        self.classes = [Class([(n, g) for n, g, _ in rows], max(w for *_, w in rows), k, percent) for _, rows in sorted(by_size.items())]
 
     def scan(self, words: np.ndarray, owner: np.ndarray, n_texts: int) -> list[tuple[int, int, int, int, int]]:
         """(text, licence, first word, end word, percent) of each licence held."""
@@ -133,10 +142,17 @@ class Scanner:
             size = np.minimum(group.window, counts[text] - at)
             held = np.minimum(np.maximum(size - self.k + 1, 1), n_grams[text] - np.minimum(at, n_grams[text] - 1))
             first = gram_starts[text] + np.minimum(at, n_grams[text] - 1)
+            before = np.concatenate([[0], np.cumsum(np.isin(grams, group.known))])
+            held_known = before[np.minimum(first + held, len(grams))] - before[first]
+            text, at, size, held, first = (x[held_known >= max(1, group.need)] for x in (text, at, size, held, first))
+            if len(first) == 0:
+                continue
+            base = first[0]
+            reach = grams[base:first[-1] + held[-1]]
             meets = [[] for _ in group.templates]
-            for band in range(BANDS):
+            for band in range(group.bands):
                 # a window can only meet a template where its least value is the template's
-                least = _windows_least(_registers(grams, band), first, first + held)
+                least = _windows_least(_registers(reach, band), first - base, first + held - base)
                 for t in range(len(group.templates)):
                     meets[t].append(np.flatnonzero(least == group.keys[t, band]))
             for (name, own), hits in zip(group.templates, meets):
