@@ -10,7 +10,14 @@ can have in common; a class has as many bands of one register as such a pair nee
 to meet with probability ``1 - MISS``, over 0.9999999.  Windows with fewer
 shingles of the class's templates than any of them asks for are left out first.
 Each pair that meets is verified on the full shingle sets: the share of the
-template's shingles inside the window must reach ``PERCENT``.
+template's shingles inside the window must reach ``PERCENT``.  Templates of
+different licences resemble each other: a hit is dropped if an overlapping hit of
+another licence holds all of its shingles and more.
+
+With ``normalize``, words of texts and templates lose the punctuation at their
+edges, and words of punctuation alone (comment marks, rules) are no words; places
+still count the words between white space.  ``full_templates`` adds the texts in
+``license_texts`` and further headers to ``TEMPLATES``.
 
 Edge cases: null and empty texts hold no licence; texts shorter than a window
 are one window; a licence that a text holds twice is reported at its best
@@ -22,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +86,63 @@ TEMPLATES = {
     ],
 }
 
+# Further headers and notices; version 2, 3 and "or later" notices name the id of their version.
+_GNU = ("This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public License "
+        "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+HEADERS = {
+    "MIT": ["Licensed under the MIT License."],
+    "GPL-2.0-only": [
+        _GNU.format(what="program", name="General", version="2"),
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License version 2 as published by the Free Software Foundation."],
+    "LGPL-2.1-only": [_GNU.format(what="library", name="Lesser General", version="2.1")],
+    "LGPL-3.0-only": [_GNU.format(what="library", name="Lesser General", version="3")],
+    "AGPL-3.0-only": [_GNU.format(what="program", name="Affero General", version="3")],
+    "CC0-1.0": [
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+}
+
+
+def full_templates() -> dict[str, list[str]]:
+    """``TEMPLATES``, ``HEADERS`` and the licence texts of the package."""
+    out = {name: list(texts) for name, texts in TEMPLATES.items()}
+    for name, texts in HEADERS.items():
+        out.setdefault(name, []).extend(texts)
+    for file in resources.files("rubric.llm").joinpath("license_texts").iterdir():
+        if file.name.endswith(".txt"):
+            out.setdefault(file.name[:-4], []).append(file.read_text(encoding="utf-8"))
+    return out
+
+
+def bare_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, place among its text's words) of the words that hold a letter
+    or digit, without the punctuation at their edges."""
+    n = len(data)
+    inside = (data != 32) & ((data < 9) | (data > 13))
+    opens = np.zeros(n + 1, bool)
+    opens[ends[:-1]] = True
+    begin = inside & (opens[:n] | ~np.append(False, inside[:-1])[:n])
+    low = data | 32
+    solid = ((data >= 48) & (data <= 57)) | ((low >= 97) & (low <= 122)) | (data >= 128)
+    if n > 2:  # U+2010..U+203F: dashes, quotes, bullets
+        mark = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (data[2:] >= 0x90))
+        for k in range(3):
+            solid[mark + k] = False
+    at = np.flatnonzero(solid)
+    word = (np.cumsum(begin) - 1)[at]
+    if len(at) == 0:
+        return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.append(True, word[1:] != word[:-1])
+    edges = np.zeros(n + 1, np.int64)
+    edges[at[new]] += 1
+    edges[at[np.append(new[1:], True)] + 1] -= 1
+    words, owner = word_hashes(np.where(np.cumsum(edges[:n]) > 0, data, 32).astype(np.uint8), ends)
+    firsts = np.append(0, np.cumsum(begin))[ends[:-1]]
+    return words, owner, word[new] - firsts[owner]
+
 
 class Class:
     """Templates of similar length: window, step, shingle sets and band keys."""
@@ -113,21 +178,21 @@ def _windows_least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
 class Scanner:
     """Finds templates in batches of texts."""
 
-    def __init__(self, templates: dict[str, list[str]], k: int = SHINGLE, percent: int = PERCENT):
+    def __init__(self, templates: dict[str, list[str]], k: int = SHINGLE, percent: int = PERCENT, normalize: bool = False):
         self.k, self.percent = k, percent
         self.names = sorted(templates)
         by_size: dict[tuple[int, int], list] = {}
         for name in self.names:
             for text in templates[name]:
                 data = np.frombuffer(text.encode(), np.uint8)
-                words, owner = word_hashes(data, np.array([0, len(data)]))
+                words, owner = (bare_words if normalize else word_hashes)(data, np.array([0, len(data)]))[:2]
                 grams = np.unique(shingle_hashes(words, owner, k, 1)[0])
                 by_size.setdefault((len(words) >= k, max(0, len(words) - 1).bit_length()), []).append((self.names.index(name), grams, len(words)))
         self.classes = [Class([(n, g) for n, g, _ in rows], max(w for *_, w in rows), k, percent) for _, rows in sorted(by_size.items())]
 
     def scan(self, words: np.ndarray, owner: np.ndarray, n_texts: int) -> list[tuple[int, int, int, int, int]]:
         """(text, licence, first word, end word, percent) of each licence held."""
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        hits_of: dict[int, list] = {}
         counts = np.bincount(owner, minlength=n_texts)
         starts = np.cumsum(counts) - counts
         grams, gram_owner = shingle_hashes(words, owner, self.k, n_texts)
@@ -158,26 +223,39 @@ class Scanner:
             for (name, own), hits in zip(group.templates, meets):
                 for w in np.unique(np.concatenate(hits)):
                     inside = grams[first[w]:first[w] + held[w]]
-                    share = 100 * int(np.isin(own, inside).sum()) // len(own)
+                    both = own[np.isin(own, inside)]
+                    share = 100 * len(both) // len(own)
                     if share >= self.percent:
-                        key, found = (int(text[w]), name), (-share, int(at[w]), int(at[w] + size[w]))
-                        best[key] = min(best.get(key, found), found)
+                        hits_of.setdefault(int(text[w]), []).append((name, (-share, int(at[w]), int(at[w] + size[w])), both))
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for t, found in hits_of.items():
+            for name, hit, both in found:
+                if not any(name != other and len(more) > len(both) and hit[1] < span[2] and span[1] < hit[2] and np.isin(both, more).all()
+                           for other, span, more in found):
+                    best[t, name] = min(best.get((t, name), hit), hit)
         return [(t, name, lo, hi, -share) for (t, name), (share, lo, hi) in sorted(best.items())]
 
 
 RESULT = "doc_id long, license string, first_word long, end_word long, percent int"
 
 
-def find_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def find_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, k: int = SHINGLE, percent: int = PERCENT,
+                  normalize: bool = False) -> DataFrame:
     """(doc_id, license, first_word, end_word, percent) of each licence that a
     text of (doc_id, text) holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, k, percent)
+        scanner = Scanner(templates, k, percent, normalize)
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
             for a, b in chunks(ends):
-                words, owner = word_hashes(data[ends[a]:ends[b]], ends[a:b + 1] - ends[a])
-                found = scanner.scan(words, owner, b - a)
+                part, cuts = data[ends[a]:ends[b]], ends[a:b + 1] - ends[a]
+                if normalize:
+                    words, owner, place = bare_words(part, cuts)
+                    first = np.searchsorted(owner, np.arange(b - a))
+                    found = [(t, name, int(place[first[t] + lo]), int(place[first[t] + hi - 1]) + 1, share)
+                             for t, name, lo, hi, share in scanner.scan(words, owner, b - a)]
+                else:
+                    found = scanner.scan(*word_hashes(part, cuts), b - a)
                 ids = batch.column("doc_id").slice(a, b - a).to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ids[f[0]] for f in found], pa.int64()), pa.array([scanner.names[f[1]] for f in found], pa.string()),

@@ -67,7 +67,7 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence templates contained in every document."""
-    return licenses.find_licenses(_docs(spark, sf_dir))
+    return licenses.find_licenses(_docs(spark, sf_dir), licenses.full_templates(), normalize=True)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
