@@ -3,11 +3,15 @@
 Base kinds are found by pattern.  Beside them, candidate strings (runs of at
 least 20 characters of the base64 alphabet) are classed by their characters,
 and a window of 20 characters slides over each.  The counts of the characters
-in the window and the sum of ``c * log2 c`` change only for the character that
-enters and the one that leaves; windows at or over the class's entropy are
-flagged and overlapping flagged windows become one span.  Candidates on the
-allow list (placeholders, documentation samples, counting sequences) and spans
-that meet a base span are suppressed; base spans always stay.
+in the window, of their classes and the sum of ``c * log2 c`` change only for the
+character that enters and the one that leaves.  A window with digits and letters
+is judged by the limit of its own class, others by the candidate's; windows at or
+over the limit are flagged and overlapping flagged windows become one span.
+A match of the allow list (placeholders, documentation samples, counting
+sequences) suppresses the windows that meet it or the letters and digits that it
+stands in, if these are at most ``PLACEHOLDER`` characters; of a longer run only
+the windows that meet the match.  UUIDs and spans that meet a base span are
+suppressed; base spans always stay.
 
 Edge cases: null texts count as empty; positions are code points, end
 exclusive; texts without a match give the empty string and its digest; repeated
@@ -33,12 +37,18 @@ KINDS = ["assign", "access", "hex", "entropy"]
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Least entropy in bits of a window, by the candidate's class of characters.
-#: Letters alone are words in some language and never flagged.
+#: Least entropy in bits of a window, by its class of characters.
+#: Candidates of letters alone are words in some language and never flagged.
 HEX_BITS, ALNUM_BITS, BASE64_BITS = 3.0, 3.6, 3.8
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-ALLOWED = (r"(?i)example|sample|placeholder|dummy|change_?me|your[_-]|x{4,}|0{6,}|1234567|abcdefg|lorem"
-           r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
+ALLOWED = r"(?i)example|sample|placeholder|dummy|change_?me|your[_-]|x{4,}|0{6,}|1234567|abcdefg|lorem"
+UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+#: Longest run of letters and digits that an allowed match makes a placeholder.
+PLACEHOLDER = 64
+#: What a character adds to the counts by class, six bits each: digits, a-f, A-F,
+#: other letters, the rest.
+CLASS = [1 if ch.isdigit() else 1 << 6 if ch in "abcdef" else 1 << 12 if ch in "ABCDEF" else 1 << 18 if ch.isalpha() else 1 << 24
+         for ch in ALPHABET]
 
 SPAN = "array<struct<s:int,k:int,e:int>>"
 
@@ -80,21 +90,42 @@ def base_spans(text: Column) -> Column:
 
 def _threshold(c: Column) -> Column:
     """Entropy limit of a candidate's class (null: never flagged)."""
-    return (F.when(~c.rlike("[0-9]") | ~c.rlike("[A-Za-z]") | c.rlike(ALLOWED), F.lit(None).cast("double"))
+    return (F.when(~c.rlike("[0-9]") | ~c.rlike("[A-Za-z]") | c.rlike(UUID), F.lit(None).cast("double"))
             .when(c.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), F.lit(HEX_BITS))
             .when(c.rlike("^[A-Za-z0-9]+$"), F.lit(ALNUM_BITS))
             .otherwise(F.lit(BASE64_BITS)))
 
 
-def _hot_windows(c: Column, start: Column, limit: Column) -> Column:
-    """Spans of ``c`` (found at ``start``) whose windows reach ``limit`` bits."""
+def _window_limit(classes: Column, limit: Column) -> Column:
+    """Entropy limit of a window by its counts of classes; ``limit`` is the candidate's."""
+    lacks = lambda *at: classes.bitwiseAND(F.lit(sum(63 << 6 * k for k in at))) == 0
+    return (F.when(lacks(0) | lacks(1, 2, 3), limit)
+            .when(lacks(3, 4) & (lacks(1) | lacks(2)), F.least(limit, F.lit(HEX_BITS)))
+            .when(lacks(4), F.least(limit, F.lit(ALNUM_BITS)))
+            .otherwise(limit))
+
+
+def _meets(x: Column, spans: Column) -> Column:
+    return F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+
+
+def _allowed(c: Column) -> Column:
+    """Spans of ``c`` that the allow list suppresses."""
+    return F.when(c.rlike(ALLOWED), let(_matches(c, ALLOWED, 0), lambda own: F.concat(own, F.filter(
+        _matches(c, "[A-Za-z0-9]+", 0), lambda x: (x["e"] - x["s"] <= PLACEHOLDER) & _meets(x, own))))).otherwise(_empty())
+
+
+def _hot_windows(c: Column, start: Column, limit: Column, allowed: Column) -> Column:
+    """Spans of ``c`` (found at ``start``) whose windows reach their limits and
+    meet no span of ``allowed``."""
     terms = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 2)])
     codes = F.transform(F.split(c, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
+    weights = F.array(*[F.lit(w) for w in CLASS])
     zero = F.array_repeat(F.lit(0), len(ALPHABET))
     kind = F.lit(len(KINDS) - 1)
 
     def scan(codes: Column) -> Column:
-        first = F.struct(zero.alias("n"), F.lit(0.0).alias("t"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"), _empty().alias("o"))
+        first = F.struct(zero.alias("n"), F.lit(0).alias("c"), F.lit(0.0).alias("t"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"), _empty().alias("o"))
 
         def step(acc: Column, i: Column) -> Column:
             enters = F.get(codes, i)
@@ -106,11 +137,13 @@ def _hot_windows(c: Column, start: Column, limit: Column) -> Column:
                 + F.when(leaves >= 0, F.get(terms, n_out - 1) - F.get(terms, n_out)).otherwise(0.0)))
             counts = F.when(same, acc["n"]).otherwise(F.transform(
                 acc["n"], lambda n, k: n + (k == enters).cast("int") - (k == leaves).cast("int")))
-            hot = (i >= WINDOW - 1) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= limit)
+            classes = acc["c"] + F.get(weights, enters) - F.coalesce(F.get(weights, leaves), F.lit(0))
+            hot = ((i >= WINDOW - 1) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= _window_limit(classes, limit))
+                   & ~F.exists(allowed, lambda b: (b["s"] <= i) & (i - WINDOW + 1 < b["e"])))
             lo, joins = i - (WINDOW - 1), (acc["hi"] >= 0) & (i - (WINDOW - 1) <= acc["hi"])
             done = F.struct((start + acc["lo"]).alias("s"), kind.alias("k"), (start + acc["hi"]).alias("e"))
             return F.struct(
-                counts.alias("n"), total.alias("t"),
+                counts.alias("n"), classes.alias("c"), total.alias("t"),
                 F.when(hot & ~joins, lo).otherwise(acc["lo"]).alias("lo"),
                 F.when(hot, i + 1).otherwise(acc["hi"]).alias("hi"),
                 F.when(hot & ~joins & (acc["hi"] >= 0), F.array_append(acc["o"], done)).otherwise(acc["o"]).alias("o"))
@@ -129,10 +162,10 @@ def entropy_spans(text: Column, base: Column) -> Column:
     def scan(found: Column) -> Column:
         return F.flatten(F.transform(found, lambda m: let(
             F.substring(text, m["s"] + 1, m["e"] - m["s"]),
-            lambda c: let(_threshold(c), lambda limit: F.when(limit.isNull(), _empty()).otherwise(_hot_windows(c, m["s"], limit))))))
+            lambda c: let(_threshold(c), lambda limit: F.when(limit.isNull(), _empty()).otherwise(
+                let(_allowed(c), lambda allowed: _hot_windows(c, m["s"], limit, allowed)))))))
 
-    return let(scan(_matches(text, CANDIDATE, len(KINDS) - 1)), lambda own: F.filter(
-        own, lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))))
+    return let(scan(_matches(text, CANDIDATE, len(KINDS) - 1)), lambda own: F.filter(own, lambda x: ~_meets(x, base)))
 
 
 def spans_text(spans: Column) -> Column:
