@@ -49,7 +49,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written as binary records and read back."""
     folder = scratch_dir(spark, "records")
-    records.write_records(_docs(spark, sf_dir), folder, _tokenizer("byte_bpe_50k.json"))
+    records.write_records(_docs(spark, sf_dir), folder, _tokenizer("byte_bpe_50k.json"), special_tokens=True)
     return records.read_records(spark, folder).select(
         "doc_id", "start", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 

@@ -89,17 +89,21 @@ class Encoder:
     token but its own holds that byte, so its id shows where a part's ids end.
     Parts that end in white space or lack the space before them (which the split
     pattern reads together with their neighbours) or hold a zero byte are encoded
-    one by one.
+    one by one.  With ``special_tokens``, the library's default, an added token
+    that stands literally in a text gives its own id; such texts are encoded whole.
+    Without, it is text like any other.
     """
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, special_tokens: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = end_id.to_bytes(self.width, "little")
@@ -136,6 +140,15 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, in little-endian bytes."""
+        whole = [k for k, text in enumerate(texts) if self.added.search(text)] if self.added else []
+        if whole:
+            skip = set(whole)
+            out = iter(self._by_parts([text for k, text in enumerate(texts) if k not in skip]))
+            own = iter(self._singly([texts[k] for k in whole]))
+            return [next(own) + self.end if k in skip else next(out) for k in range(len(texts))]
+        return self._by_parts(texts)
+
+    def _by_parts(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
@@ -159,17 +172,18 @@ class Encoder:
         return out
 
 
-_LOADED: dict[tuple[str, int], Encoder] = {}
+_LOADED: dict[tuple[str, int, bool], Encoder] = {}
 
 
-def load(path: str, end_id: int) -> Encoder:
+def load(path: str, end_id: int, special_tokens: bool = False) -> Encoder:
     """A worker's encoder, read once."""
-    if (path, end_id) not in _LOADED:
-        _LOADED[path, end_id] = Encoder(path, end_id)
-    return _LOADED[path, end_id]
+    key = path, end_id, special_tokens
+    if key not in _LOADED:
+        _LOADED[key] = Encoder(*key)
+    return _LOADED[key]
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0) -> DataFrame:
+def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, special_tokens: bool = False) -> DataFrame:
     """Writes (doc_id, text) to record files in id order; returns the manifest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -191,7 +205,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             for at in range(0, batch.num_rows, TOGETHER):
                 rows = batch.slice(at, TOGETHER)
                 if data is None:
-                    encoder = load(tokenizer_path, end_id)
+                    encoder = load(tokenizer_path, end_id, special_tokens)
                     data, index = (store.open_output_stream(f"{root}/{name}.{x}") for x in ("rec", "idx"))
                 ids = encoder([t or "" for t in rows.column("text").to_pylist()])
                 for doc_id, code in zip(rows.column("doc_id").to_pylist(), ids):

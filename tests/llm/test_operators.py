@@ -343,3 +343,22 @@ def test_record_encoder_equals_the_library_on_whole_texts():
     got = [encoder(texts[at:at + 100]) for at in range(0, len(texts), 100)]
     assert [x for part in got for x in part] == [np.array([*code.ids, 0], "<u2").tobytes() for code in whole]
     assert all(len(part) <= records.LONGEST for part in encoder.memo)
+
+
+def test_record_query_gives_added_tokens_their_own_id(spark, tmp_path):
+    """The query's ids are those of the tokenizers library with nothing but add_special_tokens=False."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from rubric.llm import queries
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "plain text", "<|endoftext|>", "x<|endoftext|><|endoftext|>y <|endoftext", None, "a b"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    ids = [[*library.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    starts = np.cumsum([0, *map(len, ids)]).tolist()
+    assert 50256 in ids[0]
+    same([tuple(r) for r in queries.op5_token_records(spark, str(tmp_path)).collect()],
+         [(k, starts[k], len(code), zlib.crc32(np.array(code, "<u4").tobytes())) for k, code in enumerate(ids)])
