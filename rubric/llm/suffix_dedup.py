@@ -1,4 +1,5 @@
-"""Operator 2: removal of repeated byte passages by distributed prefix doubling.
+"""Operator 2: removal of repeated byte passages by hashes at
+content-chosen places, in place of distributed prefix doubling.
 
 A byte goes if it lies in a string of ``LENGTH`` bytes that also starts
 elsewhere.  Ranking every position at every doubled length would shuffle many
@@ -12,8 +13,8 @@ times the input, so positions are thinned in a way that loses none:
   unique ones are settled: no window of the run repeats.
 * Longer ranks.  A run whose whole stretch of bytes, at the same offset from its
   place, is equal to another's repeats in all its windows.  Of each name whose
-  runs differ, one run of each kind goes on window by window: pairs (rank of the
-  first half, rank of the second half) are sorted, and equal ones repeat.  Up to
+  runs differ, one run of each kind goes on window by window: pairs (hash of the
+  first half, hash of the second half) are sorted, and equal ones repeat.  Up to
   ``TOGETHER`` kinds are sorted in one task, more by Spark over all tasks.
 
 Ranks are names of bytes; no byte goes unless two independent 64-bit names agree.
