@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rubric.llm import ann, bpe, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity
+from rubric.llm import ann, bpe, conversation_repair, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity
 from rubric.llm.common import by_id, scratch_dir, table
 
 
@@ -80,8 +80,14 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(rows, conversation_repair.damaged(rows))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_suffix_dedup, op3_secret_scans, op4_byte_bpe, op5_token_records,
-    op6_projection_forest, op7_near_duplicates, op8_license_scans, op9_toxicity, op10_source_mix)}
+    op6_projection_forest, op7_near_duplicates, op8_license_scans, op9_toxicity, op10_source_mix, op11_conversation_repair)}
 
 ORACLE_SQL: dict[str, str] = {}
