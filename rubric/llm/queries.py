@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rubric.llm import ann, bpe, conversation_repair, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity
+from rubric.llm import ann, bpe, conversation_repair, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity, url_filter
 from rubric.llm.common import by_id, scratch_dir, table
 
 
@@ -86,8 +86,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(rows, conversation_repair.damaged(rows))
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, url_filter.query_rules(pages))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_suffix_dedup, op3_secret_scans, op4_byte_bpe, op5_token_records,
-    op6_projection_forest, op7_near_duplicates, op8_license_scans, op9_toxicity, op10_source_mix, op11_conversation_repair)}
+    op6_projection_forest, op7_near_duplicates, op8_license_scans, op9_toxicity, op10_source_mix, op11_conversation_repair,
+    op12_url_filter)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_url_filter": url_filter.URL_FILTER_SQL}
