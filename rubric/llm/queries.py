@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rubric.llm import ann, bpe, conversation_repair, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity, url_filter
+from rubric.llm import ann, bpe, conversation_repair, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity, url_filter, whitening
 from rubric.llm.common import by_id, scratch_dir, table
 
 
@@ -92,9 +92,14 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.query_rules(pages))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every usable vector, with the fit's figures."""
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_suffix_dedup, op3_secret_scans, op4_byte_bpe, op5_token_records,
     op6_projection_forest, op7_near_duplicates, op8_license_scans, op9_toxicity, op10_source_mix, op11_conversation_repair,
-    op12_url_filter)}
+    op12_url_filter, op13_embedding_whitening)}
 
 ORACLE_SQL: dict[str, str] = {"op12_url_filter": url_filter.URL_FILTER_SQL}
