@@ -8,13 +8,15 @@ each task scores its own batch.
   shorter side, Python big ints), O(n*m/w).
 * ``union_lcs_hits``: the summary-level LCS of ROUGE-Lsum; per reference
   sentence the union of LCS positions against every candidate sentence,
-  counted with clipped token budgets.
+  counted with clipped token budgets.  Positions come from bit rows of the
+  table, of which a square root is kept, so memory is linear in the texts.
 * ``ratio`` / ``partial_ratio``: normalised indel similarity of two strings
   and its best-window variant.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -86,43 +88,73 @@ def f_measure(hits: float, n_ref: int, n_pred: int) -> float:
     return 2 * p * r / (p + r)
 
 
-def _lcs_table(r, c) -> np.ndarray:
-    """Full LCS table; row update uses the running-max identity
-    L[i][j] = cummax_j(where(r_i == c_j, L[i-1][j-1] + 1, L[i-1][j])).
-    Tokens are expected as interned integers (vectorised comparisons)."""
-    table = np.zeros((len(r) + 1, len(c) + 1), dtype=np.int32)
-    c_arr = np.asarray(c)
-    for i, tok in enumerate(r, start=1):
-        prev = table[i - 1]
-        cand = np.where(c_arr == tok, prev[:-1] + 1, prev[1:])
-        table[i, 1:] = np.maximum.accumulate(cand)
-    return table
+def _masks(c) -> dict:
+    """Bit j of the entry of x is set where ``c[j]`` is x."""
+    masks: dict = {}
+    for j, x in enumerate(c):
+        masks[x] = masks.get(x, 0) | (1 << j)
+    return masks
+
+
+def _next_row(v: int, mask: int, full: int) -> int:
+    """Row of the LCS table after one more reference token, as bits: bit j is 0
+    where the length grows between the candidate's prefixes of j and j + 1."""
+    u = v & mask
+    return ((v + u) | (v - u)) & full
 
 
 def _lcs_positions(r, c) -> list[int]:
     """Reference positions of one LCS, backtracking from the end and preferring
-    to drop a candidate token when that keeps a strictly longer prefix."""
-    t = _lcs_table(r, c)
+    to drop a candidate token when that keeps a strictly longer prefix.
+
+    Table rows are bits, and only every sqrt(len(r))-th is kept; the rows between
+    two of them are made again when the backtrack gets there.  Two texts of
+    20,000 tokens need about one megabyte."""
+    masks, full = _masks(c), (1 << len(c)) - 1
+    step = max(1, math.isqrt(len(r)))
+    kept, v = [full], full
+    for i, x in enumerate(r, start=1):
+        mask = masks.get(x)
+        v = v if mask is None else _next_row(v, mask, full)
+        if i % step == 0:
+            kept.append(v)
     i, j = len(r), len(c)
-    out = []
-    while i > 0 and j > 0:
-        if r[i - 1] == c[j - 1]:
-            out.append(i - 1)
-            i -= 1
-            j -= 1
-        elif t[i][j - 1] > t[i - 1][j]:
-            j -= 1
-        else:
+    out: list[int] = []
+    rows: list[int] = []
+    base = -1
+    length = j - v.bit_count()          # L[i][j]
+    while i > 0 and j > 0 and length > 0:
+        if (i - 1) // step != base:      # rows base * step .. i of the table
+            base = (i - 1) // step
+            rows = [kept[base]]
+            for x in r[base * step:i]:
+                mask = masks.get(x)
+                rows.append(rows[-1] if mask is None else _next_row(rows[-1], mask, full))
+        here, above = rows[i - base * step], rows[i - 1 - base * step]
+        if masks.get(r[i - 1]) is None:
             i -= 1
+            continue
+        up = j - (above & ((1 << j) - 1)).bit_count()       # L[i-1][j]
+        while j > 0:                    # along the row: both lengths follow from one bit
+            if r[i - 1] == c[j - 1]:
+                out.append(i - 1)
+                length = up - 1 + (above >> (j - 1) & 1)    # L[i-1][j-1]
+                i, j = i - 1, j - 1
+                break
+            left = length - 1 + (here >> (j - 1) & 1)       # L[i][j-1]
+            if left <= up:
+                i, length = i - 1, up
+                break
+            up += (above >> (j - 1) & 1) - 1
+            length, j = left, j - 1
     out.reverse()
     return out
 
 
 def union_lcs_hits(ref_sents, pred_sents) -> tuple[int, int, int]:
     """(hits, ref token count, pred token count) of the summary-level LCS."""
-    vocab: dict = {}
-    ref_sents = [[vocab.setdefault(t, len(vocab)) for t in s] for s in ref_sents]
-    pred_sents = [[vocab.setdefault(t, len(vocab)) for t in s] for s in pred_sents]
+    ref_sents = [list(s) for s in ref_sents]
+    pred_sents = [list(s) for s in pred_sents]
     m = sum(len(s) for s in ref_sents)
     n = sum(len(s) for s in pred_sents)
     if m == 0 or n == 0:

@@ -1,12 +1,10 @@
-"""Per-row n-gram overlap and edit distance as higher-order Column functions.
+"""N-gram overlap and word edit distance of two token arrays of a row.
 
-These run inside the JVM per row, so a scored pair never leaves its
-partition: no n-gram shuffle is needed (a pair is already one row).
+A scored pair never leaves its partition: no n-gram shuffle is needed (a pair is
+already one row).
 
-* ``ngram_matches``: multiset intersection size of the n-grams of two token
-  arrays.  Both sides are tagged, merged and sorted once (O(k log k)), then a
-  single ``aggregate`` pass sums ``min(count_ref, count_pred)`` per distinct
-  gram.
+* ``ngram_matches``: multiset intersection sizes of the n-grams of two token
+  arrays, all orders in one Arrow batch: integer token codes, one sort an order.
 * ``word_edit_distance``: word-level Levenshtein.  The distinct words of a
   pair are numbered and each word is written as one code point, so the
   built-in character ``levenshtein`` (code-point based) gives the word
@@ -17,41 +15,59 @@ partition: no n-gram shuffle is needed (a pair is already one row).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """Space-joined n-grams of a token array (tokens never contain spaces).
-
-    Built from ``n`` shifted slices zipped together, so no lambda captures the
-    token array (a captured array expression would be re-evaluated per
-    element)."""
-    if n == 1:
-        return tokens
-    count = F.greatest(F.size(tokens) - n + 1, F.lit(0))
-    shifted = [F.slice(tokens, k + 1, count) for k in range(n)]
-    return F.zip_with(shifted[0], shifted[1], lambda a, b: F.concat_ws(" ", a, b)) if n == 2 else \
-        F.transform(F.arrays_zip(*shifted), lambda z: F.concat_ws(" ", *[z[str(k)] for k in range(n)]))
-
-
-def ngram_matches(ref_tokens: Column, pred_tokens: Column, n: int) -> Column:
-    """Clipped n-gram matches: sum over grams of min(count in ref, count in pred)."""
-    tagged = F.array_sort(F.concat(
-        F.transform(ngrams(ref_tokens, n), lambda g: F.struct(g.alias("g"), F.lit(1).alias("r"))),
-        F.transform(ngrams(pred_tokens, n), lambda g: F.struct(g.alias("g"), F.lit(0).alias("r"))),
-    ))
-    zero = F.struct(F.lit(None).cast("string").alias("g"), F.lit(0).alias("cr"),
-                    F.lit(0).alias("cp"), F.lit(0).alias("m"))
-
-    def step(acc, x):
-        same = acc["g"].eqNullSafe(x["g"])
-        return F.when(same, F.struct(acc["g"].alias("g"), (acc["cr"] + x["r"]).alias("cr"),
-                                     (acc["cp"] + 1 - x["r"]).alias("cp"), acc["m"].alias("m"))) \
-            .otherwise(F.struct(x["g"].alias("g"), x["r"].alias("cr"), (1 - x["r"]).alias("cp"),
-                                (acc["m"] + F.least(acc["cr"], acc["cp"])).alias("m")))
-
-    return F.aggregate(tagged, zero, step, lambda acc: acc["m"] + F.least(acc["cr"], acc["cp"]))
+#: Tokens of both sides that the n-gram kernel counts at once.
+CHUNK_TOKENS = 1 << 20
+
+
+def clipped_matches(ref: pa.ListArray, pred: pa.ListArray, max_n: int) -> np.ndarray:
+    """rows x max_n: sum over n-grams of min(count in ref, count in pred).
+
+    Tokens get integer codes once.  An n-gram's code numbers the pairs of an
+    (n-1)-gram's code and the next token's, and codes of order one already hold the
+    row, so equal codes are equal grams of one row and one sort an order counts them."""
+    out = np.zeros((len(ref), max_n), dtype=np.int32)
+    sizes = [pc.fill_null(pc.list_value_length(side), 0).to_numpy(zero_copy_only=False).astype(np.int64) for side in (ref, pred)]
+    chunk = (np.cumsum(sizes[0] + sizes[1]) - 1) // CHUNK_TOKENS
+    cuts = np.flatnonzero(np.diff(chunk, prepend=-1)) if len(ref) else []
+    for start, stop in zip(cuts, [*cuts[1:], len(ref)]):
+        lengths = np.concatenate([s[start:stop] for s in sizes])
+        flat = pa.concat_arrays([side.slice(start, stop - start).flatten() for side in (ref, pred)])
+        if not len(flat):
+            continue
+        n_rows = stop - start
+        segment = np.repeat(np.arange(2 * n_rows), lengths)      # row, then row + n_rows for pred
+        row, is_pred = segment % n_rows, segment >= n_rows
+        token = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        vocabulary = int(token.max()) + 1
+        code = row
+        for n in range(1, max_n + 1):
+            at = np.flatnonzero(segment[:max(len(segment) - n + 1, 0)] == segment[n - 1:])
+            if not len(at):
+                break
+            gram = code[at] * vocabulary + token[at + n - 1]
+            distinct, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
+            of_pred = is_pred[at]
+            counts = [np.bincount(inverse[of_pred == s], minlength=len(distinct)) for s in (False, True)]
+            out[start:stop, n - 1] = np.bincount(row[at[first]], weights=np.minimum(*counts), minlength=n_rows)
+            code = np.zeros(len(token), dtype=np.int64)
+            code[at] = inverse
+    return out
+
+
+def ngram_matches(ref_tokens: Column, pred_tokens: Column, max_n: int) -> Column:
+    """array<int>: clipped matches of the n-grams of orders 1..``max_n``."""
+    @F.arrow_udf("array<int>")
+    def count(ref: pa.Array, pred: pa.Array) -> pa.Array:
+        found = clipped_matches(ref, pred, max_n)
+        return pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * max_n, found.reshape(-1))
+    return count(ref_tokens, pred_tokens)
 
 
 def _code_point_hex(i: Column) -> Column:

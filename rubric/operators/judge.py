@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 
 from rubric.functions.text import normalize_mcq_answer, trim_ws
 
+# Attempts, section tags of a prompt, texts that results carry.
 MAX_ATTEMPTS = 3
+SECTIONS = {"question": ("[PROMPT]", "[/PROMPT]"), "context": ("[CONTEXT]", "[/CONTEXT]"),
+            "reference": ("[GROUND TRUTH]", "[/GROUND TRUTH]"), "answer": ("[GENERATED OUTPUT]", "[/GENERATED OUTPUT]")}
+NO_VERDICT = "Error: Unable to parse a valid response after retries"
+EXPLANATION_LEAD = "Aggregated ({method}) score: "
+
 #: Equal-width bins in which a median's place is looked up.
 MEDIAN_BINS = 4096
-NO_VERDICT = "Error: Unable to parse a valid response after retries"
 NUMERIC_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "BOOLEAN")
 
 # Rubric texts of this library (own wording).
@@ -42,13 +47,15 @@ MCQ_RUBRIC = (
 def judge_prompt(question: Column, reference: Column, answer: Column, context: Column | None = None,
                  rubric: str = GENERATIVE_RUBRIC) -> Column:
     """Rubric + tagged sections; the context section only when non-empty."""
-    parts = [F.lit(rubric + "\n\n[PROMPT]\n"), question, F.lit("\n[/PROMPT]\n")]
+    def section(name: str, text: Column) -> Column:
+        start, end = SECTIONS[name]
+        return F.concat(F.lit(f"{start}\n"), text, F.lit(f"\n{end}"))
+
+    parts = [F.lit(rubric + "\n\n"), section("question", question), F.lit("\n")]
     if context is not None:
-        parts.append(F.when(F.coalesce(context, F.lit("")) != "",
-                            F.concat(F.lit("\n[CONTEXT]\n"), context, F.lit("\n[/CONTEXT]\n"))).otherwise(F.lit("")))
-    parts += [F.lit("[GROUND TRUTH]\n"), reference, F.lit("\n[/GROUND TRUTH]\n"),
-              F.lit("[GENERATED OUTPUT]\n"), answer, F.lit("\n[/GENERATED OUTPUT]")]
-    return F.concat(*parts)
+        parts.append(F.when(F.coalesce(context, F.lit("")) != "", F.concat(F.lit("\n"), section("context", context), F.lit("\n")))
+                     .otherwise(F.lit("")))
+    return F.concat(*parts, section("reference", reference), F.lit("\n"), section("answer", answer))
 
 
 def parse_verdict(raw: Column) -> Column:
@@ -153,7 +160,7 @@ def aggregate_judges(scores: DataFrame, keys: list[str], method: str = "mean",
         F.when(valid, F.col("_score")).alias("score"),
         F.when(valid, F.col("_raw")).alias("raw_score"),
         F.when(valid, F.col("_score") >= threshold).alias("passed"),
-        F.concat(F.lit(f"Aggregated ({method}) score: "), F.format_number(F.col("_score"), 4),
+        F.concat(F.lit(EXPLANATION_LEAD.format(method=method)), F.format_number(F.col("_score"), 4),
                  F.lit(". "), F.col("_expl")).alias("explanation"),
         valid.alias("valid"),
     )
@@ -231,16 +238,103 @@ def batch_statistics(samples: DataFrame, threshold: float = 0.7) -> DataFrame:
     )
 
 
-def judgeable(samples: DataFrame, expected: str, response: str, mcq_col: str | None = None) -> DataFrame:
-    """F3 (+ T6 for multiple choice): normalise MCQ answers to option text,
-    then keep samples whose expected and response are both non-empty."""
+def judgeable(samples: DataFrame, expected: str, response: str, mcq_col: str | None = None,
+              tasks: DataFrame | None = None) -> DataFrame:
+    """F3 (+ T6 for multiple choice): keep the samples of the allowed tasks whose
+    expected and response are both non-empty.
+
+    ``tasks`` (column task) is the allow-list, null for all.  A response given as a
+    list counts by its first entry, an empty list is no response.  With ``mcq_col``,
+    answers are turned into option texts before they are tested.
+    """
+    if tasks is not None:
+        samples = samples.join(tasks.select("task"), "task", "left_semi")
+    if dict(samples.dtypes)[response].startswith("array"):
+        samples = samples.withColumn(response, F.get(F.col(response), 0))
     if mcq_col:
-        samples = samples.withColumn(expected, normalize_mcq_answer(F.col(expected), F.col(mcq_col))) \
-                         .withColumn(response, normalize_mcq_answer(F.col(response), F.col(mcq_col)))
+        # a lambda binds the answer, so that the rule's many uses of it evaluate it once
+        option = lambda c: F.get(F.transform(F.array(c), lambda x: normalize_mcq_answer(x, F.col(mcq_col))), F.lit(0))
+        samples = samples.withColumns({expected: option(expected), response: option(response)})
     return samples.filter((F.coalesce(F.col(expected), F.lit("")) != "")
                           & (F.coalesce(F.col(response), F.lit("")) != ""))
 
 
+# ---------------------------------------------------------------------------
+# The judge pipeline, from samples to judged samples
+# ---------------------------------------------------------------------------
+
+def judge_requests(samples: DataFrame, keys: list[str], mcq: bool = False, tasks: DataFrame | None = None,
+                   question: str = "question", expected: str = "gold", response: str = "response",
+                   mcq_col: str = "mcq") -> DataFrame:
+    """F3 -> T6 -> T10: ``keys``, prompt_key and prompt of every sample to judge.
+
+    The question is the sample's input alone: no instruction, no context."""
+    ready = judgeable(samples, expected, response, mcq_col if mcq else None, tasks)
+    prompt = judge_prompt(F.coalesce(F.col(question), F.lit("")), F.col(expected), F.col(response),
+                          rubric=MCQ_RUBRIC if mcq else GENERATIVE_RUBRIC)
+    return ready.select(*keys, prompt.alias("prompt")).select(*keys, F.md5("prompt").alias("prompt_key"), "prompt")
+
+
+def distinct_prompts(requests: DataFrame) -> DataFrame:
+    """What the judges are asked: each prompt once, however many samples share it."""
+    return requests.groupBy("prompt_key").agg(F.min("prompt").alias("prompt"))
+
+
+def judge_pipeline(requests: DataFrame, replies: DataFrame, keys: list[str], mcq: bool = False,
+                   method: str = "mean", threshold: float = 0.5) -> DataFrame:
+    """``requests`` with the judges' aggregate of the ``replies`` to their prompts.
+
+    ``replies``: prompt_key, judge, attempt, raw.  G1, G2/G3 and G5 run once a
+    prompt; the samples take the result by prompt key.  A sample whose prompt has no
+    reply at all is not valid, like one that no judge could be parsed for.
+    """
+    prompt = ["prompt_key"]
+    scores = judge_scores(first_valid_verdict(replies, prompt), prompt, mcq=mcq, threshold=threshold)
+    judged = aggregate_judges(scores, prompt, method=method, threshold=threshold)
+    return (requests.select(*keys, "prompt_key").join(judged, "prompt_key", "left")
+            .select(*keys, "prompt_key", "n_judges", "score", "raw_score", "passed", "explanation",
+                    F.coalesce("valid", F.lit(False)).alias("valid")))
+
+
+# ---------------------------------------------------------------------------
+# Test cases
+# ---------------------------------------------------------------------------
+
+#: Fields of a test case and the names under which the shapes carry them.
+CASE_FIELDS = {"question": ("question", "input"), "reference_answer": ("reference_answer", "expected_output"),
+               "given_answer": ("given_answer", "actual_output")}
+
+
+def normalise_variant_cases(cases: DataFrame, column: str = "case") -> DataFrame:
+    """G8 on VARIANT test cases of any shape, told apart by their keys row by row:
+
+    * judge record: question, reference_answer, given_answer, context;
+    * evaluation record: input, expected_output, actual_output, context as a list;
+    * either of them nested one level down under ``test_case``.
+
+    Returns the other columns and id, question, reference_answer, given_answer
+    (null or absent: ""), context (a list joined by newlines; null when absent or
+    empty), metadata (JSON text).  Anything but a record stops the job.
+    """
+    whole = F.col(column)
+    body = F.coalesce(F.variant_get(whole, "$.test_case", "variant"), whole)
+
+    def get(path: str, kind: str = "string") -> Column:
+        return F.try_variant_get(F.col("_body"), f"$.{path}", kind)
+
+    is_record = F.coalesce(F.schema_of_variant(F.col("_body")).startswith("OBJECT"), F.lit(False))
+    no_case = F.raise_error(F.concat(F.lit("not a test case: "), F.coalesce(F.to_json("_body"), F.lit("null"))))
+    fields = {out: F.coalesce(*[get(n) for n in names], F.lit("")) for out, names in CASE_FIELDS.items()}
+    fields["question"] = F.when(is_record, fields["question"]).otherwise(no_case)
+    context = F.variant_get(F.col("_body"), "$.context", "variant")
+    joined = F.when(F.schema_of_variant(context).startswith("ARRAY"), F.array_join(get("context", "array<string>"), "\n")) \
+              .otherwise(get("context"))
+    rest = [c for c in cases.columns if c != column]
+    return cases.select(*rest, body.alias("_body")).select(
+        *rest, get("id").alias("id"), *[c.alias(n) for n, c in fields.items()], F.nullif(joined, F.lit("")).alias("context"),
+        F.to_json(F.variant_get(F.col("_body"), "$.metadata", "variant")).alias("metadata"))
+
+
 def normalise_test_cases(df: DataFrame) -> DataFrame:
     """One test-case shape: list context joined by newline, nulls -> ""."""
     cols = {c: F.coalesce(F.col(c).cast("string"), F.lit(""))

@@ -12,8 +12,8 @@ filtering rows away.
 ``score_pairs`` runs any list of metrics side by side, stage by stage, in
 narrow ``select``s (multi-metric scoring, M12): no shuffle, one pass.
 
-All metrics are built-in Spark functions except the LCS family (ROUGE-L,
-ROUGE-Lsum, fuzzy ratios), which runs on Arrow batches.
+Text preparation and scores are built-in Spark functions.  N-gram counts, the
+LCS family (ROUGE-L, ROUGE-Lsum, fuzzy ratios) and edit distances run on Arrow batches.
 """
 
 from __future__ import annotations
@@ -79,13 +79,11 @@ def bleu_plan(name: str = "bleu") -> list[Stage]:
                 "pt": ws_tokens(space_punctuation(c("pred"), change_braces=True, remove_diacritics=True))}
 
     def matches(c: Getter) -> dict:
-        out = {f"m{n}": ngram_matches(c("rt"), c("pt"), n) for n in range(1, 5)}
-        out["lr"], out["lp"] = F.size(c("rt")), F.size(c("pt"))
-        return out
+        return {"m": ngram_matches(c("rt"), c("pt"), 4), "lr": F.size(c("rt")), "lp": F.size(c("pt"))}
 
     def score(c: Getter) -> dict:
         lr, lp = c("lr"), c("lp")
-        precisions = [F.when(lp - n + 1 > 0, c(f"m{n}") / (lp - n + 1)).otherwise(F.lit(0.0)) for n in range(1, 5)]
+        precisions = [F.when(lp - n + 1 > 0, c("m")[n - 1] / (lp - n + 1)).otherwise(F.lit(0.0)) for n in range(1, 5)]
         geo = F.when(F.least(*precisions) > 0,
                      F.exp(sum(F.ln(x) for x in precisions) / 4)).otherwise(F.lit(0.0))
         bp = F.when(lp > lr, F.lit(1.0)).otherwise(F.exp(1 - lr / lp))
@@ -117,10 +115,8 @@ def rouge_plan(parts: tuple[str, ...] = ROUGE_PARTS) -> list[Stage]:
 
     def counts(c: Getter) -> dict:
         out = {"lr": F.size(c("rt")), "lp": F.size(c("pt"))}
-        if "rouge1" in parts:
-            out["m1"] = ngram_matches(c("rt"), c("pt"), 1)
-        if "rouge2" in parts:
-            out["m2"] = ngram_matches(c("rt"), c("pt"), 2)
+        if "rouge1" in parts or "rouge2" in parts:
+            out["m"] = ngram_matches(c("rt"), c("pt"), 2)
         if "rougeL" in parts:
             out["lcs_f"] = lcs.rouge_l_udf(c("rt"), c("pt"))
         if "rougeLsum" in parts:
@@ -132,9 +128,9 @@ def rouge_plan(parts: tuple[str, ...] = ROUGE_PARTS) -> list[Stage]:
         lr, lp = c("lr"), c("lp")
         out = {}
         if "rouge1" in parts:
-            out["rouge1"] = result(f1(c("m1"), lr, lp), ok)
+            out["rouge1"] = result(f1(c("m")[0], lr, lp), ok)
         if "rouge2" in parts:
-            out["rouge2"] = result(f1(c("m2"), F.greatest(lr - 1, F.lit(0)), F.greatest(lp - 1, F.lit(0))), ok)
+            out["rouge2"] = result(f1(c("m")[1], F.greatest(lr - 1, F.lit(0)), F.greatest(lp - 1, F.lit(0))), ok)
         if "rougeL" in parts:
             out["rougeL"] = result(c("lcs_f"), ok)
         if "rougeLsum" in parts:

@@ -270,6 +270,74 @@ def conversation_judge_attempts(spark: SparkSession, sf_dir: str, mcq: bool = Fa
         "task", "sample_id", "judge", (F.col("pos") + 1).alias("attempt"), "raw")
 
 
+@memo_view
+def conversation_judge_samples(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataFrame:
+    """F-A samples as the judge pipeline takes them: model, task, conv_id, turn,
+    question, gold, response as a list (empty when (conv_id + turn) % 11 = 0), mcq.
+
+    The multiple-choice form has the gold's first four words as options, the letter
+    (conv_id + turn) % 4 as gold, and answers as a lower-case letter (m0), ``X) ``
+    and more (m1, the next letter) or the first option's text (m2)."""
+    s = conversation_pairs(spark, sf_dir)
+    place = F.col("conv_id") + F.col("turn")
+    if mcq:
+        options = F.slice(F.split("gold", " "), 1, 4)
+        letter = F.chr(place % 4 + 65)
+        answer = (F.when(F.col("model") == "m0", F.lower(letter))
+                  .when(F.col("model") == "m1", F.concat(F.chr((place + 1) % 4 + 65), F.lit(") so it is")))
+                  .otherwise(F.get(F.split("gold", " "), 0)))
+        s = s.select("model", "task", "conv_id", "turn", "question", letter.alias("gold"), answer.alias("response"), options.alias("mcq"))
+    else:
+        s = s.select("model", "task", "conv_id", "turn", "question", "gold", "response", F.lit(None).cast("array<string>").alias("mcq"))
+    none = F.array().cast("array<string>")
+    return s.withColumn("response", F.when(place % 11 == 0, none).otherwise(F.array("response")))
+
+
+@memo_view
+def conversation_tasks(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataFrame:
+    """Allow-list of tasks: t0..t5 are judged as generation, t4..t7 as multiple choice."""
+    number = F.substring("task", 2, 1).cast("int")
+    return conversation_items(spark, sf_dir).select("task").distinct().where(number >= 4 if mcq else number <= 5)
+
+
+def prompt_replies(prompts: DataFrame, mcq: bool = False) -> DataFrame:
+    """Raw replies (prompt_key, judge, attempt, raw) of one judge to prompts.
+
+    With h the first four hexadecimal digits of the prompt's key, the score is h % 5
+    (generative) or h % 4 - 1 (multiple choice), so it leaves [0, 1]; by (h div 5) % 9
+    it is a numeric string (0), a word (1) or null (2).  Attempt 1 is broken when
+    h % 5 = 0, and no attempt parses when h % 10 = 0."""
+    h = F.conv(F.substring("prompt_key", 1, 4), 16, 10).cast("int")
+    value = (h % 4 - 1 if mcq else h % 5).cast("string")
+    form = F.floor(h / 5) % 9
+    score = (F.when(form == 0, F.concat(F.lit('"'), value, F.lit('"'))).when(form == 1, F.lit('"high"'))
+             .when(form == 2, F.lit("null")).otherwise(value))
+    good = F.concat(F.lit('{"score": '), score, F.lit(', "explanation": "graded"}'))
+    broken = F.lit('{"score": "unfinished')
+    fenced = F.concat(F.lit("```json\n"), good, F.lit("\n```"))
+    tries = F.array(F.when(h % 5 == 0, broken).otherwise(good), F.when(h % 10 != 0, fenced).otherwise(broken))
+    return prompts.select("prompt_key", F.lit("j1").alias("judge"), F.posexplode(tries).alias("pos", "raw")).select(
+        "prompt_key", "judge", (F.col("pos") + 1).alias("attempt"), "raw")
+
+
+@memo_view
+def conversation_test_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of m0 as VARIANT test cases in three shapes, by (conv_id + turn) % 3:
+    judge record, evaluation record with a list context, record nested under
+    ``test_case``; every fifth has no given answer."""
+    s = conversation_pairs(spark, sf_dir).where(F.col("model") == "m0")
+    place = F.col("conv_id") + F.col("turn")
+    key = F.concat_ws("-", "conv_id", "turn")
+    answer = F.when(place % 5 != 0, F.col("response"))
+    record = F.to_json(F.struct(key.alias("id"), "question", F.col("gold").alias("reference_answer"), answer.alias("given_answer"),
+                                F.col("task").alias("context"), F.struct("category").alias("metadata")))
+    evaluation = F.to_json(F.struct(key.alias("id"), F.col("question").alias("input"), F.col("gold").alias("expected_output"),
+                                    answer.alias("actual_output"), F.array("category", "task").alias("context")))
+    nested = F.concat(F.lit('{"test_case": '), F.when(place % 2 == 0, record).otherwise(evaluation), F.lit("}"))
+    case = F.when(place % 3 == 0, record).when(place % 3 == 1, evaluation).otherwise(nested)
+    return s.select((place % 3).cast("int").alias("shape"), F.parse_json(case).alias("case"))
+
+
 # ---------------------------------------------------------------------------
 # F-D multiple choice over regions
 # ---------------------------------------------------------------------------

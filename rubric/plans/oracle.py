@@ -208,6 +208,46 @@ def judge_samples_sql(mcq: bool = False, judges: tuple[str, ...] = ("j1",), meth
     GROUP BY task, sample_id"""
 
 
+def text(x: str) -> str:
+    """A string literal."""
+    return "'" + x.replace("'", "''") + "'"
+
+
+def judge_requests_sql(mcq: bool = False) -> str:
+    """model, task, prompt_key of the conversation samples that are judged."""
+    from rubric.operators.judge import GENERATIVE_RUBRIC, MCQ_RUBRIC
+    place = "(conv_id + turn)"
+    words = "string_split(gold, ' ')"
+    if mcq:
+        samples = f"""SELECT model, task, conv_id, turn, question, chr(({place} % 4 + 65)::INTEGER) AS gold, {words}[1:4] AS mcq,
+            CASE model WHEN 'm0' THEN lower(chr(({place} % 4 + 65)::INTEGER))
+                       WHEN 'm1' THEN chr((({place} + 1) % 4 + 65)::INTEGER) || ') so it is' ELSE {words}[1] END AS response
+          FROM ({conversation_pairs_sql()}) WHERE substr(task, 2)::INTEGER >= 4"""
+        sides = f"{normalize_mcq('gold', 'mcq')} AS gold, {normalize_mcq('response', 'mcq')} AS response"
+    else:
+        samples = f"SELECT * FROM ({conversation_pairs_sql()}) WHERE substr(task, 2)::INTEGER <= 5"
+        sides = "gold, response"
+    rubric = text(MCQ_RUBRIC if mcq else GENERATIVE_RUBRIC)
+    nl = "chr(10)"
+    return f"""
+    SELECT model, task, md5({rubric} || {nl} || {nl} || '[PROMPT]' || {nl} || question || {nl} || '[/PROMPT]' || {nl}
+        || '[GROUND TRUTH]' || {nl} || gold || {nl} || '[/GROUND TRUTH]' || {nl}
+        || '[GENERATED OUTPUT]' || {nl} || response || {nl} || '[/GENERATED OUTPUT]') AS prompt_key
+    FROM (SELECT model, task, question, {sides} FROM ({samples}) WHERE {place} % 11 <> 0)
+    WHERE gold <> '' AND response <> ''"""
+
+
+def prompt_scores_sql(mcq: bool = False) -> str:
+    """model, task, score, raw_score, valid of every judged sample."""
+    value = "(h % 4 - 1)" if mcq else "(h % 5)"
+    norm = f"greatest(0, least(1, {value}))::DOUBLE" if mcq else f"round({value} / 3.0, 5)"
+    return f"""
+    SELECT model, task, h % 10 <> 0 AND form NOT IN (0, 2) AS valid,
+           CASE form WHEN 1 THEN 0.0 ELSE {norm} END AS score, CASE form WHEN 1 THEN 0.0 ELSE {value}::DOUBLE END AS raw_score
+    FROM (SELECT *, (h // 5) % 9 AS form FROM (
+      SELECT *, ('0x' || substr(prompt_key, 1, 4))::INTEGER AS h FROM ({judge_requests_sql(mcq)})))"""
+
+
 def mcq_samples_sql() -> str:
     return """
     WITH opts AS (SELECT list(r_name ORDER BY r_regionkey) AS mcq FROM region),

@@ -273,6 +273,64 @@ def judge_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         _r(F.avg(F.when(F.col("valid"), F.col("raw_score")))).alias("median_panel_raw"))
 
 
+def _judge_pipeline_sql(mcq: bool) -> str:
+    return f"""
+WITH s AS ({o.prompt_scores_sql(mcq)})
+SELECT model, task, count(*) AS n_judged, count(*) FILTER (WHERE valid) AS num_samples,
+       round(avg(score) FILTER (WHERE valid), 4) AS llm_judge_score, round(avg(raw_score) FILTER (WHERE valid), 4) AS llm_judge_score_raw,
+       min(raw_score) FILTER (WHERE valid) AS min_raw, max(raw_score) FILTER (WHERE valid) AS max_raw,
+       count(*) FILTER (WHERE valid AND score >= 0.5) AS n_passed
+FROM s GROUP BY model, task
+"""
+
+
+def _judge_pipeline(spark: SparkSession, sf_dir: str, mcq: bool) -> DataFrame:
+    from rubric.operators import judge as J
+    keys = ["model", "task", "conv_id", "turn"]
+    requests = J.judge_requests(fx.conversation_judge_samples(spark, sf_dir, mcq=mcq), keys, mcq=mcq,
+                                tasks=fx.conversation_tasks(spark, sf_dir, mcq=mcq))
+    replies = fx.prompt_replies(J.distinct_prompts(requests), mcq=mcq)
+    judged = J.judge_pipeline(requests, replies, keys, mcq=mcq)
+    of_valid = lambda c: F.when(F.col("valid"), F.col(c))
+    return judged.groupBy("model", "task").agg(
+        F.count("*").alias("n_judged"), F.count_if("valid").alias("num_samples"),
+        _r(F.avg(of_valid("score")), 4).alias("llm_judge_score"), _r(F.avg(of_valid("raw_score")), 4).alias("llm_judge_score_raw"),
+        F.min(of_valid("raw_score")).alias("min_raw"), F.max(of_valid("raw_score")).alias("max_raw"),
+        F.count_if(of_valid("passed")).alias("n_passed"))
+
+
+@query("judge_pipeline_generation", _judge_pipeline_sql(False))
+def judge_pipeline_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 with allow-list, T10, replies by prompt key, G1, G2, G5 over the
+    conversation samples; the prompts' own digests decide the replies."""
+    return _judge_pipeline(spark, sf_dir, False)
+
+
+@query("judge_pipeline_mcq", _judge_pipeline_sql(True))
+def judge_pipeline_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G7 in its multiple-choice form: T6 on both sides, scores clamped."""
+    return _judge_pipeline(spark, sf_dir, True)
+
+
+TEST_CASES_SQL = f"""
+WITH s AS (SELECT *, conv_id + turn AS place, CASE WHEN (conv_id + turn) % 5 <> 0 THEN response ELSE '' END AS answer
+           FROM ({o.conversation_pairs_sql()}) WHERE model = 'm0')
+SELECT conv_id::VARCHAR || '-' || turn::VARCHAR AS id, (place % 3)::INTEGER AS shape, md5(question) AS question, md5(gold) AS reference_answer,
+       md5(answer) AS given_answer,
+       CASE WHEN place % 3 = 0 OR (place % 3 = 2 AND place % 2 = 0) THEN task ELSE category || chr(10) || task END AS context,
+       CASE WHEN place % 3 = 0 OR (place % 3 = 2 AND place % 2 = 0) THEN '{{"category":"' || category || '"}}' END AS metadata
+FROM s
+"""
+
+
+@query("test_cases", TEST_CASES_SQL)
+def test_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test cases of three shapes as one, one row a case (texts by digest)."""
+    from rubric.operators import judge as J
+    cases = J.normalise_variant_cases(fx.conversation_test_cases(spark, sf_dir))
+    return cases.select("id", "shape", *[F.md5(c).alias(c) for c in ("question", "reference_answer", "given_answer")], "context", "metadata")
+
+
 # ---------------------------------------------------------------------------
 # Multiple choice (F-D)
 # ---------------------------------------------------------------------------
