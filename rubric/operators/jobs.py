@@ -42,7 +42,8 @@ def result_payloads(task_results: DataFrame, keys: tuple[str, ...] | list[str] =
     ``task_results``: keys (among them task), metric, value.  Rows without a
     task id are skipped.  Without ``job_id``, each row's model names its job.  Metric keys follow the "<metric>,none"
     convention; ROUGE is one entry whose value is the object of its parts.
-    ``scores`` holds the final record of each of ``score_keys``.
+    ``scores`` holds the final record of each of ``score_keys`` (its ``record`` map,
+    so that scores a task lacks are no keys).
     """
     rows = task_results.filter(F.col("task").isNotNull())
     part = F.col("metric").startswith("rouge") & (F.col("metric") != "rouge")
@@ -57,7 +58,8 @@ def result_payloads(task_results: DataFrame, keys: tuple[str, ...] | list[str] =
     per_task = per_task.select(*keys, results.alias("results"))
     if scores is not None:
         fields = [c for c in scores.columns if c not in score_keys]
-        per_task = per_task.join(scores.select(*score_keys, F.struct(*fields).alias("scores")), score_keys, "left")
+        final = F.col("record") if "record" in fields else F.struct(*fields)
+        per_task = per_task.join(scores.select(*score_keys, final.alias("scores")), score_keys, "left")
     body = F.struct(
         (F.lit(job_id) if job_id else F.concat(F.lit("job-"), "model")).alias("job_id"), F.col("task").alias("task_id"), F.col("results"),
         *([F.col("scores")] if scores is not None else []),

@@ -67,6 +67,31 @@ def pair_asr(gold: Column, response: Column) -> tuple[Column, Column]:
     return gold, extract_asr_text(response)
 
 
+def first_response(response: Column) -> Column:
+    """The first of a list of responses; an empty list is no response."""
+    return F.coalesce(F.get(response, 0), F.lit(""))
+
+
+def list_text(values: Column) -> Column:
+    """A list written out, ``['a', 'b']``, as accuracy compares a gold of several
+    answers: entries in single quotes, in double quotes if they hold only single ones."""
+    def quoted(x: Column) -> Column:
+        safe = F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+        single, double = F.contains(x, F.lit("'")), F.contains(x, F.lit('"'))
+        return (F.when(x.isNull(), F.lit("None")).when(single & ~double, F.concat(F.lit('"'), safe, F.lit('"')))
+                .otherwise(F.concat(F.lit("'"), F.replace(safe, F.lit("'"), F.lit("\\'")), F.lit("'"))))
+    return F.when(values.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(values, quoted), ", "), F.lit("]")))
+
+
+#: What a metric takes of a gold that is a list.
+LIST_GOLDS: dict[str, Callable[[Column], Column]] = {
+    "first": lambda g: F.get(g, 0),                         # BLEU: the first answer; an empty list is no gold
+    "only": lambda g: F.when(F.size(g) == 1, F.get(g, 0)),  # error rates: lists of other lengths are skipped
+    "text": list_text,                                      # accuracy: the list written out
+    "lines": lambda g: F.array_join(g, "\n"),               # ROUGE and user metrics: one answer a line
+}
+
+
 # ---------------------------------------------------------------------------
 # staged plans; every plan starts from columns "ref" and "pred"
 # ---------------------------------------------------------------------------
@@ -230,6 +255,7 @@ class MetricDef:
     pair: Callable[[Column, Column], tuple[Column, Column]] = pair_raw
     higher_is_better: bool = True
     empty_value: float = 0.0          # task value when no sample is valid
+    list_gold: str = "lines"          # what is taken of a list gold (LIST_GOLDS)
     outputs: tuple[str, ...] = field(default_factory=tuple)
 
     def output_names(self) -> tuple[str, ...]:
@@ -269,13 +295,13 @@ class MetricRegistry:
 
 REGISTRY = MetricRegistry()
 # Registration order matters for resolve(): "accuracy" precedes "fuzzy_accuracy".
-REGISTRY.register(MetricDef("bleu", bleu_plan))
+REGISTRY.register(MetricDef("bleu", bleu_plan, list_gold="first"))
 REGISTRY.register(MetricDef("rouge", rouge_plan, outputs=ROUGE_PARTS))
-REGISTRY.register(MetricDef("accuracy", lambda: fuzzy_accuracy_plan("accuracy"), pair=pair_answer))
-REGISTRY.register(MetricDef("fuzzy_accuracy", lambda: fuzzy_accuracy_plan("fuzzy_accuracy"), pair=pair_answer))
-REGISTRY.register(MetricDef("wer", wer_plan, pair=pair_asr, higher_is_better=False, empty_value=1.0))
-REGISTRY.register(MetricDef("cer", cer_plan, pair=pair_asr, higher_is_better=False, empty_value=1.0))
-REGISTRY.register(MetricDef("exact_accuracy", exact_accuracy_plan, pair=pair_answer))
+REGISTRY.register(MetricDef("accuracy", lambda: fuzzy_accuracy_plan("accuracy"), pair=pair_answer, list_gold="text"))
+REGISTRY.register(MetricDef("fuzzy_accuracy", lambda: fuzzy_accuracy_plan("fuzzy_accuracy"), pair=pair_answer, list_gold="text"))
+REGISTRY.register(MetricDef("wer", wer_plan, pair=pair_asr, higher_is_better=False, empty_value=1.0, list_gold="only"))
+REGISTRY.register(MetricDef("cer", cer_plan, pair=pair_asr, higher_is_better=False, empty_value=1.0, list_gold="only"))
+REGISTRY.register(MetricDef("exact_accuracy", exact_accuracy_plan, pair=pair_answer, list_gold="text"))
 
 
 def register_metric(name: str, score: Callable[[Column, Column], Column], *, pair=pair_raw,
@@ -311,16 +337,21 @@ def score_pairs(pairs: DataFrame, metrics: list[str], gold: str = "gold",
     where it is false get null inputs (cheap in every stage and kernel) and
     are meant to be dropped by the caller, as when metrics are carried per
     task (M12).  Stages of all metrics advance together, one ``select`` each.
+    A response column of lists counts by its first entry, a gold column of lists
+    by the metric's own rule (M13).
     """
     keep = keep if keep is not None else [c for c in pairs.columns if c not in (gold, response)]
+    kinds = dict(pairs.dtypes)
     plans, defs = {}, {}
     first = []
     for name in metrics:
         m = REGISTRY.get(name)
         need = (needed or {}).get(name)
-        pkey = (m, gold, response, need)
+        lists = tuple(kinds[c].startswith("array") for c in (gold, response))
+        pkey = (m, gold, response, need, lists)
         if pkey not in _PAIR_CACHE:
-            ref, pred = m.pair(F.col(gold), F.col(response))
+            ref = LIST_GOLDS[m.list_gold](F.col(gold)) if lists[0] else F.col(gold)
+            ref, pred = m.pair(ref, first_response(F.col(response)) if lists[1] else F.col(response))
             if need is not None:
                 ref, pred = F.when(F.col(need), ref), F.when(F.col(need), pred)
             _PAIR_CACHE[pkey] = [ref.alias(f"{m.name}__ref"), pred.alias(f"{m.name}__pred")]

@@ -47,15 +47,39 @@ def escape_item_newlines(items: DataFrame) -> DataFrame:
     return items.select(*cols)
 
 
+LIST_FIELDS = ("input", "output")
+
+
 def normalize_items(items: DataFrame) -> DataFrame:
-    """Missing core string fields default to ""; lists stay null."""
+    """Missing core fields get their defaults: "" for strings, one empty string
+    for the lists ``input`` and ``output``, null for ``id``; ``mcq`` and experimental
+    prompts stay absent.  With an ``extras`` map, see ``fill_extras``."""
+    kinds = dict(items.dtypes)
     cols = [F.col(c) for c in items.columns]
     for name, default in CORE_DEFAULTS.items():
-        if name not in items.columns:
-            cols.append(F.lit(default).cast("string").alias(name))
+        if name not in kinds:
+            value = F.array(F.lit("")) if name in LIST_FIELDS else F.lit(default).cast("string")
+            cols.append(value.alias(name))
     out = items.select(*cols)
-    fill = {n: d for n, d in CORE_DEFAULTS.items() if d is not None and dict(out.dtypes)[n] == "string"}
-    return out.fillna(fill)
+    kinds = dict(out.dtypes)
+    fill = {n: d for n, d in CORE_DEFAULTS.items() if d is not None and kinds[n] == "string"}
+    lists = {n: F.coalesce(F.col(n), F.array(F.lit(""))) for n in LIST_FIELDS if kinds[n] == "array<string>"}
+    out = out.fillna(fill).withColumns(lists)
+    return fill_extras(out) if "extras" in kinds else out
+
+
+def fill_extras(items: DataFrame, extras: str = "extras") -> DataFrame:
+    """P2 for keys beyond the core: an item lacking a key that another item of its
+    dataset and split has gets "" for it; keys in order.
+
+    The keys of a split are its schema, an aggregate of a few strings that is joined
+    back on (dataset, split)."""
+    keys = (items.select("dataset", "split", F.explode(F.map_keys(extras)).alias("_key"))
+            .groupBy("dataset", "split").agg(F.array_sort(F.collect_set("_key")).alias("_keys")))
+    own = F.coalesce(F.col(extras), F.create_map().cast("map<string,string>"))
+    value = lambda k: F.when(F.map_contains_key(own, k), F.element_at(own, k)).otherwise(F.lit(""))
+    filled = F.when(F.col("_keys").isNull(), own).otherwise(F.map_from_arrays("_keys", F.transform("_keys", value)))
+    return items.join(keys, ["dataset", "split"], "left").withColumn(extras, filled).drop("_keys")
 
 
 def first_output(output: Column | str) -> Column:
@@ -213,6 +237,43 @@ def empty_datasets(datasets: DataFrame, items: DataFrame) -> DataFrame:
     return datasets.join(items.select("dataset").distinct(), "dataset", "left_anti")
 
 
+def item_records(items: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """Dataset, split, pos and ``record``, the item as one JSON object.
+
+    The input is rendered text (P3), the output its first entry (P5), ``images`` and
+    ``audio`` are the item's media (P6) under the paths that ``manifest`` (dataset,
+    ref, path) resolves them to, else as given.  As with all keys, an item without
+    media has "" for them if another item of its split has some.  Items as the
+    readers give them, or normalised ones.
+    """
+    place = "pos" if "pos" in items.columns else "id_order"
+    kinds = dict(items.dtypes)
+    media = {"images": media_paths("input", "image"), "audio": media_paths("input", "audio")}
+    flat = items.withColumns(media)
+    if manifest is not None:
+        key = ["dataset", "split", place]
+        ref = flat.select(*key, F.posexplode(F.concat(*[F.coalesce(F.col(m), F.array().cast("array<string>")) for m in media])).alias("_at", "ref"))
+        paths = (ref.join(manifest.select("dataset", "ref", "path"), ["dataset", "ref"], "left")
+                 .groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("ref", F.coalesce("path", "ref")))).alias("_paths")))
+        flat = flat.join(paths, key, "left")
+        resolved = lambda m: F.transform(F.col(m), lambda r: F.coalesce(F.element_at(F.col("_paths"), r), r))
+        flat = flat.withColumns({m: resolved(m) for m in media})
+    has = flat.groupBy("dataset", "split").agg(*[F.bool_or(F.col(m).isNotNull()).alias(f"_has_{m}") for m in media])
+    flat = flat.join(has, ["dataset", "split"])
+    as_json = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
+    flat = flat.withColumns({"_input": render_input("input"), "_output": F.coalesce(first_output("output"), F.lit(""))})
+    text = {"id": "id", "input": "_input", "output": "_output", "instruction": "instruction", "source_link": "source_link",
+            "difficulty": "difficulty", "source": "source"}
+    pairs = [F.concat(F.lit(f'"{name}":'), F.coalesce(as_json(f"`{c}`"), F.lit("null"))) for name, c in text.items() if c in flat.columns]
+    lists = {"mcq": "mcq", "Experimental prompts": "experimental_prompts"}
+    pairs += [F.when(F.col(c).isNotNull(), F.concat(F.lit(f'"{name}":'), F.to_json(c))) for name, c in lists.items() if c in kinds]
+    pairs += [F.when(F.col(f"_has_{m}"), F.concat(F.lit(f'"{m}":'), F.coalesce(F.to_json(m), F.lit('""')))) for m in media]
+    if "extras" in kinds:
+        pairs.append(F.when(F.size("extras") > 0, F.expr("substring(to_json(extras), 2, length(to_json(extras)) - 2)")))
+    record = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    return flat.select("dataset", "split", F.col(place).alias("pos"), record.alias("record"))
+
+
 def schema_keys(items: DataFrame, extras: str = "extras") -> DataFrame:
     """Union of extra keys over items (one row per distinct key)."""
     return items.select(F.explode(F.map_keys(extras)).alias("key")).distinct()
@@ -223,6 +284,14 @@ def drop_empty_groups(catalog: DataFrame) -> DataFrame:
     return catalog.filter(F.col("category").isNotNull() & (trim_ws(F.col("category")) != ""))
 
 
+def first_valid_attempt(attempts: DataFrame, keys: list[str], response: str = "response", limit: int = 3) -> DataFrame:
+    """Per request the first attempt (of ``limit``) whose text is not blank, as
+    ``response`` and ``used``; both null when none is."""
+    ok = (trim_ws(F.col(response)) != "") & (F.col("attempt") <= limit)
+    return attempts.groupBy(*keys).agg(
+        F.min_by(response, F.when(ok, F.col("attempt"))).alias(response), F.min(F.when(ok, F.col("attempt"))).alias("used"))
+
+
 def join_responses(items: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
     """One response per request; none -> "".
 

@@ -60,29 +60,42 @@ def representative_metric(metric: Column) -> Column:
     return F.when(metric == "rougeLsum", F.lit("rouge")).when(metric.isin(*ROUGE_PARTS), F.lit(None)).otherwise(metric)
 
 
-def final_scores(task_results: DataFrame, keys: list[str]) -> DataFrame:
-    """A5: wide record per task.
+#: Names of a final record's scores, in order.
+FINAL_SCORES = ("nGramScore", "mcqScore", "llmAsJudgeScore", "MCQllmAsJudgeScore")
+
 
-    nGramScore = ROUGE (its rougeLsum) when present, else BLEU;
-    mcqScore = accuracy; llmAsJudgeScore / MCQllmAsJudgeScore = judge means.
-    Input: keys..., metric, value (metrics as produced by the scoring and
-    judge plans).  Missing entries stay null.
+def final_scores(task_results: DataFrame, keys: list[str]) -> DataFrame:
+    """A5: wide record per task and the same as ``record``, a map that holds only the
+    scores the task has.
+
+    * nGramScore: ROUGE when the task has any (its rougeLsum, 0 if that part is
+      missing, or a ROUGE of one number), else BLEU;
+    * mcqScore: accuracy;
+    * llmAsJudgeScore, MCQllmAsJudgeScore: the judge's summary (``llm_as_judge``,
+      ``mcq_llm_as_judge``; 0 when it has no average), else the numeric score
+      (``llm_judge_score``, ``mcq_llm_judge_score``) if it is a number.
+
+    Input: keys..., metric, value.  A score the task lacks is null in its column
+    and no key of the record; error rates and fuzzy accuracy are not exported.
     """
-    def pick(name: str) -> Column:
+    def of(name: str) -> Column:
         return F.max(F.when(F.col("metric") == name, F.col("value")))
 
+    def has(*names: str) -> Column:
+        return F.bool_or(F.col("metric").isin(*names))
+
     wide = task_results.groupBy(*keys).agg(
-        pick("rougeLsum").alias("_rouge"),
-        pick("bleu").alias("_bleu"),
-        pick("accuracy").alias("mcqScore"),
-        pick("llm_judge_score").alias("llmAsJudgeScore"),
-        pick("mcq_llm_judge_score").alias("MCQllmAsJudgeScore"),
-    )
-    return wide.select(
-        *keys,
-        F.coalesce("_rouge", "_bleu").alias("nGramScore"),
-        "mcqScore", "llmAsJudgeScore", "MCQllmAsJudgeScore",
-    )
+        F.when(has("rouge", *ROUGE_PARTS), F.coalesce(of("rougeLsum"), of("rouge"), F.lit(0.0))).otherwise(of("bleu")).alias("nGramScore"),
+        of("accuracy").alias("mcqScore"),
+        F.when(has("llm_as_judge"), F.coalesce(of("llm_as_judge"), F.lit(0.0))).otherwise(of("llm_judge_score")).alias("llmAsJudgeScore"),
+        F.when(has("mcq_llm_as_judge"), F.coalesce(of("mcq_llm_as_judge"), F.lit(0.0)))
+         .otherwise(of("mcq_llm_judge_score")).alias("MCQllmAsJudgeScore"),
+        F.array(has("rouge", "bleu", *ROUGE_PARTS), has("accuracy"), F.lit(None).cast("boolean"), F.lit(None).cast("boolean")).alias("_named"))
+    # n-gram and accuracy entries exist even without a value, judge entries only with one
+    entries = F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("value"),
+                                 F.coalesce(F.get("_named", k), F.col(n).isNotNull()).alias("has")) for k, n in enumerate(FINAL_SCORES)])
+    present = F.transform(F.filter(entries, lambda e: e["has"]), lambda e: F.struct(e["key"], e["value"]))
+    return wide.select(*keys, *FINAL_SCORES, F.map_from_entries(present).alias("record"))
 
 
 def group_by_category_task(catalog: DataFrame) -> DataFrame:

@@ -42,6 +42,30 @@ def catalog_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_view
+def catalog_item_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog items with keys beyond the core: ``level`` on ids divisible by 4,
+    ``hint`` (of a source's English items) on ids divisible by 6."""
+    i = F.col("id_order")
+    entries = F.array_compact(F.array(
+        F.when(i % 4 == 0, F.struct(F.lit("level").alias("k"), F.concat(F.lit("l"), (i % 3).cast("string")).alias("v"))),
+        F.when((i % 6 == 0) & (F.col("instruction") == "Answer the question."),
+               F.struct(F.lit("hint").alias("k"), F.concat(F.lit("see "), F.col("id")).alias("v")))))
+    return catalog_items(spark, sf_dir).withColumn("extras", F.map_from_entries(entries))
+
+
+@memo_view
+def catalog_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with list golds (``output``) and list responses: the first line without
+    every third word, or no response when id % 17 = 0."""
+    from rubric.plans.fixtures import degraded_response
+    items = catalog_items(spark, sf_dir)
+    answer = degraded_response(F.get("output", 0), F.lit(0))
+    none = F.array().cast("array<string>")
+    return items.select("dataset", "id", F.col("output").alias("gold"),
+                        F.when(F.col("id_order") % 17 == 0, none).otherwise(F.array(answer, F.lit("second try"))).alias("response"))
+
+
 @memo_view
 def catalog_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "source")

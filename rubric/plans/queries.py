@@ -484,12 +484,8 @@ FROM f GROUP BY model
 def first_valid_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + J1: first non-blank attempt (<= 3) per request, joined to every
     request (failed ones become "")."""
-    from rubric.functions.text import trim_ws
-    att = fx.response_attempts(spark, sf_dir)
-    ok = (trim_ws(F.col("response")) != "") & (F.col("attempt") <= 3)
-    first = att.groupBy("model", "conv_id", "turn").agg(
-        F.min_by("response", F.when(ok, F.col("attempt"))).alias("response"),
-        F.min(F.when(ok, F.col("attempt"))).alias("used"))
+    from rubric.operators.prepare import first_valid_attempt as first_valid
+    first = first_valid(fx.response_attempts(spark, sf_dir), ["model", "conv_id", "turn"])
     items = fx.conversation_items(spark, sf_dir).select("conv_id", "turn")
     per_model = items.withColumn("model", F.explode(F.array(*[F.lit(m) for m in fx.MODELS])))
     s = join_responses(per_model, first, ["model", "conv_id", "turn"])
@@ -592,7 +588,8 @@ def _judge_task_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _final_records(results: DataFrame, judged: DataFrame) -> DataFrame:
     both = results.select("model", "task", "metric", "value").unionByName(judged)
     out = rollup.final_scores(both, ["model", "task"])
-    return out.select("model", "task", *[_r(F.col(c)).alias(c) for c in out.columns if c not in ("model", "task")])
+    return out.select("model", "task", *[_r(F.col(c)).alias(c) for c in rollup.FINAL_SCORES],
+                      F.transform_values("record", lambda k, v: _r(v)).alias("record"))
 
 
 @query("final_scores")
@@ -600,7 +597,7 @@ def final_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 per (model, task): nGramScore (ROUGE-Lsum when the task has ROUGE,
     else BLEU), mcqScore and the judge scores of the same samples."""
     # the final record reads ROUGE through its rougeLsum only
-    return _final_records(_generation_task_results(spark, sf_dir, ("rougeLsum",)), _judge_task_results(spark, sf_dir))
+    return _final_records(_generation_task_results(spark, sf_dir, ("rougeLsum",)), _judge_task_results(spark, sf_dir)).drop("record")
 
 
 @query("result_payloads")
@@ -690,6 +687,83 @@ def normalized_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("instruction") == "").alias("n_no_instruction"))
 
 
+_ESCAPED = "list_transform(input, lambda v: replace(v, chr(10), '\\n'))"
+_HAS = "bool_or({}) OVER (PARTITION BY dataset, split)"
+
+ITEM_EXPORT_SQL = f"""
+WITH i AS (
+  SELECT *, list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{IMG_RE}')) AS im,
+         list_filter(input, lambda v: regexp_matches({_last_sql('v')}, '{AUD_RE}')) AS au,
+         CASE WHEN id_order % 4 = 0 THEN 'l' || (id_order % 3)::VARCHAR END AS lv,
+         CASE WHEN id_order % 6 = 0 AND instruction = 'Answer the question.' THEN 'see ' || id END AS hi
+  FROM ({cat.catalog_items_sql()})),
+k AS (
+  SELECT *, {_HAS.format('len(im) > 0')} AS h_im, {_HAS.format('len(au) > 0')} AS h_au,
+         {_HAS.format('lv IS NOT NULL')} AS h_lv, {_HAS.format('hi IS NOT NULL')} AS h_hi FROM i)
+SELECT dataset, split, id, id_order AS pos,
+       array_to_string(list_sort(list_filter(['id', 'input', 'output', 'instruction', 'source_link', 'difficulty', 'source',
+         CASE WHEN mcq IS NOT NULL THEN 'mcq' END, CASE WHEN h_im THEN 'images' END, CASE WHEN h_au THEN 'audio' END,
+         CASE WHEN h_lv THEN 'level' END, CASE WHEN h_hi THEN 'hint' END], lambda x: x IS NOT NULL)), ',') AS keys,
+       md5({_render_sql(_ESCAPED)}) AS input, md5(replace(output[1], chr(10), '\\n')) AS output, coalesce(instruction, '') AS instruction,
+       CASE WHEN h_im THEN CASE WHEN len(im) > 0 THEN '["' || array_to_string(im, '","') || '"]' ELSE '' END END AS images,
+       CASE WHEN h_au THEN CASE WHEN len(au) > 0 THEN '["' || array_to_string(au, '","') || '"]' ELSE '' END END AS audio,
+       CASE WHEN h_lv THEN coalesce(lv, '') END AS level, CASE WHEN h_hi THEN coalesce(hi, '') END AS hint
+FROM k
+"""
+
+
+@query("item_export", ITEM_EXPORT_SQL)
+def item_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + P1-P6: every item's export record, read back key by key (long texts by
+    digest), with the keys that other items of its split bring along."""
+    from rubric.operators import prepare as P
+    items = P.normalize_items(P.escape_item_newlines(cat.catalog_item_extras(spark, sf_dir)))
+    rec = P.item_records(items)
+    at = lambda name: F.get_json_object("record", f"$.{name}")
+    return rec.select("dataset", "split", at("id").alias("id"), "pos",
+                      F.array_join(F.array_sort(F.json_object_keys("record")), ",").alias("keys"),
+                      F.md5(at("input")).alias("input"), F.md5(at("output")).alias("output"),
+                      *[at(c).alias(c) for c in ("instruction", "images", "audio", "level", "hint")])
+
+
+_QUOTED = """CASE WHEN contains(x, '''') AND NOT contains(x, '"') THEN '"' || x || '"' ELSE '''' || replace(x, '''', '\\''') || '''' END"""
+_LIST_TEXT = f"'[' || array_to_string(list_transform(gold, lambda x: {_QUOTED}), ', ') || ']'"
+
+LIST_ANSWERS_SQL = f"""
+WITH i AS (SELECT dataset, id, output AS gold, CASE WHEN id_order % 17 = 0 THEN '' ELSE
+             array_to_string(list_filter(string_split(output[1], ' '), lambda w, k: (k - 1) % 3 <> 2), ' ') END AS response
+           FROM ({cat.catalog_items_sql()})),
+prep AS (SELECT dataset, id, {o.tokens(o.space_punct('gold[1]', diacritics=True))} AS rt,
+                {o.tokens(o.space_punct('response', braces=True, diacritics=True))} AS pt FROM i),
+m AS ({o.ngram_matches_sql('prep', ['dataset', 'id'], 4)}),
+b AS (SELECT dataset, avg({o.bleu_from(['m.m1', 'm.m2', 'm.m3', 'm.m4'], 'len(p.rt)', 'len(p.pt)')}) FILTER (WHERE len(p.rt) > 0 AND len(p.pt) > 0) AS bleu,
+             count(*) FILTER (WHERE len(p.rt) > 0 AND len(p.pt) > 0) AS n_bleu
+      FROM prep p JOIN m USING (dataset, id) GROUP BY dataset),
+t AS (SELECT dataset, id, response, {_LIST_TEXT} AS gold FROM i),
+ans AS ({o.first_word_or_line_cte(
+    f"({o.first_word_or_line_cte('t', 'gold', 'gold_x', 'dataset, id, gold, response')})",
+    'response', 'resp_x', 'dataset, id, gold, response, gold_x')}),
+a AS (SELECT dataset, avg(CASE WHEN g = r THEN 1.0 ELSE 0.0 END) FILTER (WHERE g <> '' AND r <> '') AS exact_accuracy,
+             count(*) FILTER (WHERE g <> '' AND r <> '') AS n_accuracy
+      FROM (SELECT dataset, {o.normalize_answer('gold_x')} AS g, {o.normalize_answer('resp_x')} AS r FROM ans) GROUP BY dataset),
+w AS (SELECT dataset, count(*) FILTER (WHERE len(gold) = 1 AND gold[1] <> '' AND response <> '' AND {o.trim('gold[1]')} <> '') AS n_cer
+      FROM i GROUP BY dataset)
+SELECT dataset, round(bleu, 6) AS bleu, n_bleu, round(exact_accuracy, 6) AS exact_accuracy, n_accuracy, n_cer
+FROM b JOIN a USING (dataset) JOIN w USING (dataset)
+"""
+
+
+@query("list_answers", LIST_ANSWERS_SQL)
+def list_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics over list golds and list responses, each by its own rule."""
+    scored = score_pairs(cat.catalog_answers(spark, sf_dir), ["bleu", "exact_accuracy", "cer"], keep=["dataset"])
+    of = lambda m: F.avg(F.when(F.col(f"{m}.valid"), F.col(f"{m}.value")))
+    n = lambda m: F.count_if(F.col(f"{m}.valid"))
+    return scored.groupBy("dataset").agg(
+        _r(of("bleu")).alias("bleu"), n("bleu").alias("n_bleu"), _r(of("exact_accuracy")).alias("exact_accuracy"),
+        n("exact_accuracy").alias("n_accuracy"), n("cer").alias("n_cer"))
+
+
 RENDERED_INPUTS_SQL = f"""
 WITH i AS ({cat.catalog_items_sql()})
 SELECT dataset, count(*) AS n_items, sum(length({_render_sql('input')}))::BIGINT AS rendered_chars,

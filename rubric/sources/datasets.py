@@ -48,6 +48,38 @@ def _text(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
+def _json_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, doc): each JSON file as one VARIANT."""
+    return (spark.read.option("multiLine", True).option("singleVariantColumn", "doc").option("pathGlobFilter", "*.json").json(path)
+            .select(F.col("_metadata.file_path").alias("path"), "doc"))
+
+
+def _scheduled(files: DataFrame, skip_split_files: bool = True) -> DataFrame:
+    """S6, judged file by file: exports (``*_test.json``, ``*_dev.json``) and enveloped
+    datasets whose first listed metric is "" are skipped.  A file without an envelope is
+    never skipped for its metric, and a skipped file does not touch its namesakes in
+    other folders."""
+    if skip_split_files:
+        files = files.filter(~F.col("path").rlike(r"_(test|dev)\.json$"))
+    first_metric = F.try_variant_get("doc", "$.json.metric_list[0].metric", "string")
+    return files.filter(F.coalesce(first_metric, F.lit("x")) != "")
+
+
+def task_schedule(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A task folder as three tables of rows.
+
+    * scheduled: path, dataset (file stem), name, task, category of each file to run;
+    * by_category: category, dataset, path, one row a dataset of the category;
+    * task_of: name, task, the mapper from dataset names to tasks.  Of files with one
+      name the last by path counts, as the later file replaces the earlier.
+    """
+    of = lambda field: F.try_variant_get("doc", f"$.{field}", "string")
+    scheduled = _scheduled(_json_files(spark, path)).select(
+        "path", _stem(F.col("path")).alias("dataset"), of("name").alias("name"), of("task").alias("task"), of("category").alias("category"))
+    task_of = scheduled.groupBy("name").agg(F.max_by("task", "path").alias("task"))
+    return scheduled, scheduled.select("category", "dataset", "path"), task_of
+
+
 def read_json_datasets(spark: SparkSession, path: str, skip_split_files: bool = True) -> tuple[DataFrame, DataFrame]:
     """S1 + S5 + S6: one JSON document per dataset file.
 
@@ -55,11 +87,7 @@ def read_json_datasets(spark: SparkSession, path: str, skip_split_files: bool =
     keeping the outer task and category.  Files named ``*_test.json`` or
     ``*_dev.json`` (exports) are skipped.
     """
-    raw = (spark.read.option("multiLine", True).option("singleVariantColumn", "doc")
-           .option("pathGlobFilter", "*.json").json(path)
-           .select("doc", F.col("_metadata.file_path").alias("path")))
-    if skip_split_files:
-        raw = raw.filter(~F.col("path").rlike(r"_(test|dev)\.json$"))
+    raw = _scheduled(_json_files(spark, path), skip_split_files)
     doc = F.col("doc")
     inner = F.variant_get(doc, "$.json", "variant")
     body = F.coalesce(inner, doc)
@@ -80,10 +108,6 @@ def read_json_datasets(spark: SparkSession, path: str, skip_split_files: bool =
         F.transform_values(F.map_filter(meta, lambda k, v: ~k.isin(*DROPPED_META)),
                            lambda k, v: F.coalesce(_text(v), F.to_json(v))).alias("metadata"),
     )
-    # An enveloped dataset whose first listed metric is "" is not scheduled
-    first_metric = F.try_variant_get(F.col("body"), "$.metric_list[0].metric", "string")
-    docs = docs.filter(~(F.col("path").isNotNull() & (F.coalesce(first_metric, F.lit("x")) == "")))
-    datasets = datasets.join(docs.select("dataset"), "dataset", "left_semi")
     splits = F.array(*[F.struct(F.lit(s).alias("split"),
                                 F.try_variant_get(F.col("body"), f"$.data.{s}", "array<variant>").alias("rows"))
                        for s in ("test", "dev")])
@@ -214,16 +238,11 @@ def read_xml_datasets(spark: SparkSession, path: str, root_tag: str = "dataset")
 def read_datasets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """All three formats under ``path``; when one dataset exists in several
     formats, JSON wins over CSV over XML (rank by file stem)."""
-    parts = []
-    for rank, reader in enumerate((read_json_datasets, read_csv_datasets, read_xml_datasets)):
-        ext = ["json", "csv", "xml"][rank]
-        # Spark lists the files, so any store it reads will do
-        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                  .option("pathGlobFilter", f"*.{ext}").load(path).select("path"))
-        has = not listed.isEmpty()
-        if has:
-            items, datasets = reader(spark, path)
-            parts.append((rank, items, datasets))
+    readers = {"json": read_json_datasets, "csv": read_csv_datasets, "xml": read_xml_datasets}
+    # Spark lists the files once, so any store it reads will do
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    present = {r[0] for r in listed.select(F.lower(F.substring_index("path", ".", -1)).alias("e")).where(F.col("e").isin(*readers)).distinct().collect()}
+    parts = [(rank, *reader(spark, path)) for rank, (ext, reader) in enumerate(readers.items()) if ext in present]
     if not parts:
         raise ValueError(f"no .json, .csv or .xml dataset under {path}")
     items = parts[0][1].withColumn("_rank", F.lit(parts[0][0]))
@@ -245,31 +264,55 @@ def select_catalog(catalog: DataFrame, category: str, types: str | None = "gener
     return catalog.filter((F.col("category") == category) & F.col("type").isin(*wanted))
 
 
-def media_manifest(spark: SparkSession, items: DataFrame, media_roots: list[str], dataset_dirs: DataFrame) -> DataFrame:
-    """Resolve every image / audio reference of the items.
-
-    Candidates in priority order: the dataset's directory, its ``.tasks``
-    folder, then the path as given.  The first candidate that exists (a left
-    join to ``binaryFile`` metadata with the content column pruned) wins;
-    otherwise the dataset-directory path is kept and flagged missing.  One
-    row per (dataset, basename).  File listing skips hidden folders, so
-    ``.tasks`` folders are passed in ``media_roots`` explicitly.
+def uri_key(path: Column) -> Column:
+    """One spelling of a file's address, whatever wrote it: ``file:`` and its slashes
+    drop to the plain path, schemes are lower-cased, ``s3a`` and ``s3n`` are ``s3``, and
+    slashes repeated after the authority or ``.`` steps count once."""
+    scheme = F.lower(F.regexp_extract(path, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    rest = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
+    tidy = F.regexp_replace(F.regexp_replace(rest, r"/(\./)+", "/"), r"(?<=.)/{2,}", "/")
+    store = F.when(scheme.isin("s3a", "s3n"), F.lit("s3")).otherwise(scheme)
+    local = F.regexp_replace(tidy, r"^/+", "/")
+    return F.when((scheme == "") | (scheme == "file"), local).otherwise(F.concat(store, F.lit("://"), F.regexp_replace(tidy, r"^/+", "")))
+
+
+def media_references(spark: SparkSession, items: DataFrame, media_roots: list[str], dataset_dirs: DataFrame) -> DataFrame:
+    """(dataset, ref, path, missing, kind, basename, place) of every image and
+    audio reference of the items, resolved.
+
+    Candidates in priority order: the dataset's directory, its ``.tasks`` folder, then
+    the path as given.  The first that exists (a left join to ``binaryFile`` metadata on
+    ``uri_key``, the content column pruned) wins; otherwise the dataset-directory path
+    is kept and flagged missing.  ``place`` is the first place of the reference among
+    the items (split, position, position in the input).  File listing skips hidden
+    folders, so ``.tasks`` folders are passed in ``media_roots`` explicitly.
     """
     from rubric.functions.text import is_audio, is_image
-    refs = items.select("dataset", F.explode("input").alias("ref")).filter(is_image("ref") | is_audio("ref"))
+    pos = [F.col(c) if c in items.columns else F.lit(None).cast(t) for c, t in (("split", "string"), ("pos", "int"))]
+    rank = F.when(pos[0] == "test", 0).otherwise(1)
+    refs = (items.select("dataset", rank.alias("_rank"), pos[1].cast("long").alias("_pos"), F.posexplode("input").alias("_at", "ref"))
+            .filter(is_image("ref") | is_audio("ref"))
+            .groupBy("dataset", "ref").agg(F.min(F.struct("_rank", "_pos", "_at")).alias("place")))
     refs = refs.join(dataset_dirs, "dataset", "left")
-    cands = refs.select("dataset", "ref", F.posexplode(F.array(
-        F.concat_ws("/", F.col("dir"), F.col("ref")),
-        F.concat_ws("/", F.col("dir"), F.lit(".tasks"), F.col("ref")),
-        F.col("ref"))).alias("priority", "candidate"))
+    candidates = refs.select("dataset", "ref", "place", F.posexplode(F.array(
+        F.concat_ws("/", F.col("dir"), F.col("ref")), F.concat_ws("/", F.col("dir"), F.lit(".tasks"), F.col("ref")),
+        F.col("ref"))).alias("priority", "candidate")).withColumn("_key", uri_key(F.col("candidate")))
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(media_roots)
-             .select(F.regexp_replace("path", "^file:", "").alias("candidate"), "length"))
-    hit = cands.join(files, "candidate", "left")
+             .groupBy(uri_key(F.col("path")).alias("_key")).agg(F.max("length").alias("length")))
+    hit = candidates.join(files, "_key", "left")
     best = hit.groupBy("dataset", "ref").agg(
+        F.min("place").alias("place"),
         F.min_by("candidate", F.when(F.col("length").isNotNull(), F.col("priority"))).alias("found"),
         F.min_by("candidate", "priority").alias("fallback"))
-    out = best.select("dataset", "ref", F.coalesce("found", "fallback").alias("path"),
-                      F.col("found").isNull().alias("missing"),
-                      F.when(is_image("ref"), F.lit("image")).otherwise(F.lit("audio")).alias("kind"),
-                      F.substring_index("ref", "/", -1).alias("basename"))
-    return out.dropDuplicates(["dataset", "basename"])
+    return best.select("dataset", "ref", F.coalesce("found", "fallback").alias("path"), F.col("found").isNull().alias("missing"),
+                       F.when(is_image("ref"), F.lit("image")).otherwise(F.lit("audio")).alias("kind"),
+                       F.substring_index("ref", "/", -1).alias("basename"), "place")
+
+
+def media_manifest(spark: SparkSession, items: DataFrame, media_roots: list[str], dataset_dirs: DataFrame) -> DataFrame:
+    """One resolved file for each (dataset, kind, basename): of several references
+    with one basename the first existing one in the items' order, else the first."""
+    refs = media_references(spark, items, media_roots, dataset_dirs)
+    first = F.min_by(F.struct("ref", "path", "missing"), F.struct("missing", "place", "ref"))
+    return refs.groupBy("dataset", "kind", "basename").agg(first.alias("f")).select(
+        "dataset", "f.ref", "f.path", "f.missing", "kind", "basename")

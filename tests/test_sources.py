@@ -83,7 +83,7 @@ def test_format_dispatch_and_export(spark, tmp_path):
     sinks.write_split_export(items, str(out))
     back = spark.read.json(str(out))
     r = back.collect()[0]
-    assert r["input"] == ["in\\nline"] and r["dataset"] == "same" and r["split"] == "test"
+    assert r["input"] == "in\\nline" and r["output"] == "out" and r["dataset"] == "same" and r["split"] == "test"
 
 
 def test_media_manifest(spark, tmp_path):
