@@ -21,6 +21,7 @@ next to each other in either order; other columns are not written.
 
 from __future__ import annotations
 
+import json
 import random
 import re
 import struct
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,12 +48,15 @@ LONGEST = 64
 #: Rows of an output batch.
 ROWS = 4096
 #: Documents whose unseen parts are tokenized together.
-TOGETHER = 256
+TOGETHER = 2048
 #: Parts that are encoded as one string.
 CHUNK = 2048
 
 MANIFEST = "part int, file string, n_docs long, n_tokens long"
 UNIT = re.compile(r" (?=\S)")
+# Runs that the split pattern of byte-level BPE takes alone wherever they stand
+# (no apostrophe, which may begin a contraction; letters that all releases of Unicode know).
+PIECE = re.compile(r"[A-Za-zÀ-ÖØ-öø-\u024f]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n(?=[A-Za-zÀ-ÖØ-öø-\u024f0-9!-&(-/:-@\[-`{-~])")
 
 
 def masked(data: bytes) -> int:
@@ -73,11 +78,20 @@ def unframe(data: bytes) -> bytes:
     return payload
 
 
+def shared_uri(spark: SparkSession, folder: str) -> str:
+    """The folder with its store: one without a scheme lies in Hadoop's default file
+    system, where Spark itself writes it, never on an executor's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    scheme, rest = uri.split(":", 1)
+    return f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest.removeprefix('//')}"
+
+
 def open_folder(uri: str):
     """(file system, path) of a shared folder, in any store that Arrow reaches."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri)
 
 
 class Encoder:
@@ -85,11 +99,11 @@ class Encoder:
 
     A text is cut before each space that a non-space follows, where the split
     pattern of byte-level BPE always starts anew.  Parts that the worker has not
-    seen are encoded in a few long strings, with a zero byte after each part: no
-    token but its own holds that byte, so its id shows where a part's ids end.
-    Parts that end in white space or lack the space before them (which the split
-    pattern reads together with their neighbours) or hold a zero byte are encoded
-    one by one.  With ``special_tokens``, the library's default, an added token
+    seen are encoded in a few long strings, and the tokens that begin with a space
+    show where each part starts.  Parts that end in white space or lack the space
+    before them (which the split pattern reads together with their neighbours) or
+    hold a zero byte are encoded one by one; pieces within parts are told apart by a
+    zero byte after each, which no token but its own holds.  With ``special_tokens``, the library's default, an added token
     that stands literally in a text gives its own id; such texts are encoded whole.
     Without, it is text like any other.
     """
@@ -102,75 +116,150 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special_tokens
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = end_id.to_bytes(self.width, "little")
         zero = self.tokenizer.encode("\0", add_special_tokens=False)
         holding = [t for t in self.tokenizer.get_vocab() if zero.tokens[0] in t]
         self.zero = zero.ids[0] if zero.tokens == holding else None
-        self.memo: dict[str, bytes] = {}  # part without its space: ids of the part
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[k for t, k in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
+        split = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        self.byte_level = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        self.memo: dict[str, bytes] = {}    # part without its space: ids of the part
+        self.inside: dict[str, bytes] = {}  # piece within a part: its ids
 
     def _singly(self, parts: list[str]) -> list[bytes]:
         codes = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(code.ids, self.kind).tobytes() for code in codes]
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part."""
-        if self.zero is None:
-            return self._singly(parts)
-        apart = [k for k, p in enumerate(parts) if p[:1] != " " or p[-1].isspace() or "\0" in p]
-        skip = set(apart)
-        plain = [k for k in range(len(parts)) if k not in skip]
-        out = [b""] * len(parts)
-        for k, ids in zip(apart, self._singly([parts[k] for k in apart])):
-            out[k] = ids
-        chunks = [plain[at:at + CHUNK] for at in range(0, len(plain), CHUNK)]
-        texts = ["\0".join([*map(parts.__getitem__, chunk), ""]) for chunk in chunks]
+    def _cut(self, parts: list[str], end: str, marks) -> list[bytes]:
+        """Ids of each part, encoded as a few long strings; ``marks`` finds the places
+        in a string's ids at which parts end, ``end`` follows each part."""
+        out: list[bytes] = []
+        width = len(end) * self.width
+        chunks = [parts[at:at + CHUNK] for at in range(0, len(parts), CHUNK)]
+        texts = [end.join([*chunk, ""]) for chunk in chunks]
         for chunk, code in zip(chunks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(code.ids, self.kind)
-            stops = np.flatnonzero(ids == self.zero)
+            stops = marks(ids)
             if len(stops) != len(chunk):
                 raise ValueError("a part's end is not found among the ids")
             raw, at = ids.tobytes(), 0
-            for k, stop in zip(chunk, (stops * self.width).tolist()):
-                out[k], at = raw[at:stop], stop + self.width
+            for stop in (stops * self.width).tolist():
+                out.append(raw[at:stop])
+                at = stop + width
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text with the end id, in little-endian bytes."""
-        whole = [k for k, text in enumerate(texts) if self.added.search(text)] if self.added else []
-        if whole:
-            skip = set(whole)
-            out = iter(self._by_parts([text for k, text in enumerate(texts) if k not in skip]))
-            own = iter(self._singly([texts[k] for k in whole]))
-            return [next(own) + self.end if k in skip else next(out) for k in range(len(texts))]
-        return self._by_parts(texts)
-
-    def _by_parts(self, texts: list[str]) -> list[bytes]:
+    def _joined(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts without a zero byte: one after each part shows its end."""
+        return self._cut(parts, "\0", lambda ids: np.flatnonzero(ids == self.zero))
+
+    def _spaced(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that hold one space, at their start: tokens that begin with a
+        space show where the next part starts."""
+        return self._cut(parts, "", lambda ids: np.append(np.flatnonzero(self.spaced[ids])[1:], len(ids)))
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part."""
+        if self.zero is None:
+            return self._singly(parts)
+        apart = {k for k, p in enumerate(parts) if p[:1] != " " or p[-1].isspace() or "\0" in p or " " in p[1:]}
+        own = iter(self._singly([parts[k] for k in sorted(apart)]))
+        rest = iter(self._spaced([p for k, p in enumerate(parts) if k not in apart]))
+        return [next(own) if k in apart else next(rest) for k in range(len(parts))]
+
+    def _learn(self, names: list[str]) -> list[str]:
+        """Remembers the ids of parts (given without their space); returns the long
+        ones, which are to be forgotten.
+
+        A part of Latin letters, digits and ASCII punctuation is put together from its
+        pieces by the split pattern, which repeat far more often than parts do: its
+        first piece is a part itself, the others are remembered apart."""
+        memo, inside = self.memo, self.inside
+        if len(inside) > MEMO:
+            inside.clear()
+        cuts = {}
+        if self.byte_level and self.zero is not None:
+            for p in names:
+                if not p.isalpha():
+                    pieces = PIECE.findall(p)
+                    if len(pieces) > 1 and sum(map(len, pieces)) == len(p):
+                        cuts[p] = pieces
+        own = {p for p in names if p not in cuts}
+        own.update(f[0] for f in cuts.values() if f[0] not in memo)
+        own_names = list(own)
+        memo.update(zip(own_names, self._encode([" " + p for p in own_names])))
+        new = list({x for f in cuts.values() for x in f[1:] if x not in inside})
+        inside.update(zip(new, self._joined(new)))
+        for p, pieces in cuts.items():
+            memo[p] = memo[pieces[0]] + b"".join([inside[x] for x in pieces[1:]])
+        for piece in new:
+            if len(piece) > LONGEST:
+                del inside[piece]
+        return [p for p in own.union(cuts) if len(p) > LONGEST]
+
+    def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text (null: empty) with the end id, in little-endian bytes."""
+        column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        if not len(column):
+            return []
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
-        firsts, rest, new = [], [], set()
-        for text in texts:
-            first, *parts = text.split(" ")
-            unseen = {p for p in parts if p not in memo}
-            if any(not p or p[0].isspace() for p in unseen):  # such a space is no place to cut
-                first, *parts = UNIT.split(text)
-                unseen = {p for p in parts if p not in memo}
-            firsts.append(first)
-            rest.append(parts)
-            new |= unseen
-        names = list(new)
-        ids = self._encode([*firsts, *(" " + p for p in names)])
-        memo.update(zip(names, ids[len(firsts):]))
-        out = [head + b"".join(map(memo.__getitem__, parts)) + self.end for head, parts in zip(ids, rest)]
-        for part in names:
-            if len(part) > LONGEST:
-                del memo[part]
+        lists = pc.split_pattern(column, " ")
+        starts = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        codes, parts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        first = np.zeros(len(codes), bool)
+        first[starts[:-1]] = True
+        # such a space is no place to cut
+        no_cut = np.fromiter((not p or p[0].isspace() for p in parts), bool, len(parts))
+        odd = np.add.reduceat((no_cut[codes] & ~first).astype(np.int64), starts[:-1]) > 0
+        whole = np.zeros(len(column), bool)
+        for token in self.added:
+            whole |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        apart = {int(k): column[int(k)].as_py() for k in np.flatnonzero(odd | whole)}
+        cut = {k: UNIT.split(text) for k, text in apart.items() if not whole[k]}
+        plain = np.repeat(~(odd | whole), np.diff(starts)) & ~first
+        used = np.zeros(len(parts), bool)
+        used[codes[plain]] = True
+        known = [memo.get(p) if u else b"" for p, u in zip(parts, used.tolist())]
+        new = {parts[k] for k, ids in enumerate(known) if ids is None}
+        new.update(p for own in cut.values() for p in own[1:] if p not in memo)
+        long = self._learn(list(new))
+        heads = self._encode([cut[k][0] if k in cut else parts[codes[at]] for k, at in enumerate(starts[:-1].tolist())])
+        known = [memo[p] if x is None else x for p, x in zip(parts, known)]
+        out = self._gather(known, heads, codes, starts)
+        for k, own in cut.items():
+            out[k] = heads[k] + b"".join(map(memo.__getitem__, own[1:])) + self.end
+        own = [k for k in apart if whole[k]]
+        for k, code in zip(own, self._singly([apart[k] for k in own])):
+            out[k] = code + self.end
+        for part in long:
+            del memo[part]
         return out
 
+    def _gather(self, known: list[bytes], heads: list[bytes], codes: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """Each text's ids: those of its head, of its other parts and the end id,
+        copied from one buffer of the ids of all distinct parts."""
+        table = [*known, *heads, self.end]
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // self.width
+        buffer = np.frombuffer(b"".join(table), self.kind)
+        begin = np.cumsum(sizes) - sizes
+        n = len(heads)
+        order = codes.astype(np.int64)
+        order[starts[:-1]] = len(known) + np.arange(n)
+        order = np.insert(order, starts[1:], len(table) - 1)
+        lengths = sizes[order]
+        ends = np.cumsum(lengths)
+        at = np.repeat(begin[order] - ends + lengths, lengths) + np.arange(ends[-1])
+        ids = buffer[at]
+        stops = ends[starts[1:] + np.arange(n)]
+        return [x.tobytes() for x in np.split(ids, stops[:-1])]
+
 
 _LOADED: dict[tuple[str, int, bool], Encoder] = {}
 
@@ -189,7 +278,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        store, root = open_folder(folder)
+        store, root = open_folder(uri)
         encoder, name = None, f"part-{part:05d}-{uuid.uuid4().hex}"
         data = index = None
         offset = n_docs = n_tokens = 0
@@ -207,7 +296,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
                 if data is None:
                     encoder = load(tokenizer_path, end_id, special_tokens)
                     data, index = (store.open_output_stream(f"{root}/{name}.{x}") for x in ("rec", "idx"))
-                ids = encoder([t or "" for t in rows.column("text").to_pylist()])
+                ids = encoder(rows.column("text"))
                 for doc_id, code in zip(rows.column("doc_id").to_pylist(), ids):
                     null = doc_id is None
                     record = frame(struct.pack(LEAD, 0 if null else doc_id, null, encoder.width) + code)
@@ -225,9 +314,11 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
                 {"part": pa.array([part], pa.int32()), "file": [name], "n_docs": [n_docs], "n_tokens": [n_tokens]})
 
     spark = docs.sparkSession
-    store, root = open_folder(folder)
+    uri = shared_uri(spark, folder)
+    store, root = open_folder(uri)
     store.create_dir(root)
-    (docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # rows of one id, or without one, may lie in several files
+    (docs.select("doc_id", "text").repartitionByRange(F.col("doc_id"), F.octet_length("text")).sortWithinPartitions("doc_id")
      .mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest"))
     return read_manifest(spark, folder)
 
@@ -242,8 +333,10 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def read_records(spark: SparkSession, folder: str, shuffle_seed: int | None = None) -> DataFrame:
     """(doc_id, start, ids) of every record, fetched by its index entry: in
     stored order, or in a shuffled order within each file."""
+    uri = shared_uri(spark, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = open_folder(folder)
+        store, root = open_folder(uri)
         for batch in batches:
             for row in batch.to_pylist():
                 with store.open_input_stream(f"{root}/{row['file']}.idx") as stream:
@@ -270,4 +363,5 @@ def read_records(spark: SparkSession, folder: str, shuffle_seed: int | None = No
                             [pa.array(ids, pa.int64()), pa.array(first, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "start", "ids"])
 
     files = read_manifest(spark, folder)
-    return files.repartition(F.col("part")).mapInArrow(run, "doc_id long, start long, ids binary")
+    # a stated number of tasks: the tiny manifest rows say nothing of the files they name
+    return files.repartition(max(1, files.count()), F.col("part")).mapInArrow(run, "doc_id long, start long, ids binary")

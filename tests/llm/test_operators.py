@@ -362,3 +362,36 @@ def test_record_query_gives_added_tokens_their_own_id(spark, tmp_path):
     assert 50256 in ids[0]
     same([tuple(r) for r in queries.op5_token_records(spark, str(tmp_path)).collect()],
          [(k, starts[k], len(code), zlib.crc32(np.array(code, "<u4").tobytes())) for k, code in enumerate(ids)])
+
+
+def test_record_files_are_read_by_several_tasks(spark, tmp_path):
+    import public_tokenizers as P
+    from pyspark.sql import functions as F
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), "id", F.lit("tail.")).alias("text"))
+    docs = docs.unionByName(spark.range(500).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("n"), "id").alias("text")))
+    folder = f"{tmp_path}/records"   # no scheme: Spark's default file system
+    small = "spark.sql.adaptive.coalescePartitions.enabled"   # else these few rows become one file
+    spark.conf.set(small, "false")
+    try:
+        manifest = records.write_records(docs, folder, P.path("byte_bpe_50k.json"))
+    finally:
+        spark.conf.set(small, "true")
+    got = records.read_records(spark, folder).withColumn("task", F.spark_partition_id())
+    assert manifest.count() > 3 and manifest.where("part = 0").first()["n_docs"] < 4500
+    assert got.count() == 4500 and got.select("task").distinct().count() > 1
+    starts = [r["start"] for r in got.orderBy("start").collect()]
+    assert starts[0] == 0 and len(set(starts)) == 4500
+
+
+def test_pieces_give_the_librarys_ids():
+    import random
+
+    import public_tokenizers
+    encoder = records.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 0)
+    rng = random.Random(9)
+    alphabet = ["a", "B", "ab.", ",c", "$$", "\nX", "é", "ß", "1", "²", ".", "''", "'s", "'ll", "!", " ", "  ", "\n", "\t", "\xa0", "\0", "ǅ", "́", "中", "\U0001F600", "_", " "]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 14))) for _ in range(6000)]
+    want = [c.ids for c in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 500):
+        for ids, codes, text in zip(encoder(texts[at:at + 500]), want[at:at + 500], texts[at:at + 500]):
+            assert ids == b"".join(c.to_bytes(2, "little") for c in [*codes, 0]), text
