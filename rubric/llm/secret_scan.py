@@ -4,9 +4,12 @@ Base kinds are found by pattern.  Beside them, candidate strings (runs of at
 least 20 characters of the base64 alphabet) are classed by their characters,
 and a window of 20 characters slides over each.  The counts of the characters
 in the window, of their classes and the sum of ``c * log2 c`` change only for the
-character that enters and the one that leaves.  A window with digits and letters
-is judged by the limit of its own class, others by the candidate's; windows at or
-over the limit are flagged and overlapping flagged windows become one span.
+character that enters and the one that leaves.  A window is judged by the limit of
+its own class; windows at or over the limit are flagged and overlapping flagged
+windows become one span.  Keys mix digits, lower and upper case within their runs,
+while paths, slugs, dates and numbers change kind at separators and names at
+capitals: a window needs digits, letters and at least ``MIXED`` pairs of neighbours
+of different kinds, ``DIGIT_MIXED`` of them with a digit.
 A match of the allow list (placeholders, documentation samples, counting
 sequences) suppresses the windows that meet it or the letters and digits that it
 stands in, if these are at most ``PLACEHOLDER`` characters; of a longer run only
@@ -38,11 +41,13 @@ KINDS = ["assign", "access", "hex", "entropy"]
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Least entropy in bits of a window, by its class of characters.
-#: Candidates of letters alone are words in some language and never flagged.
+#: Windows of letters alone are words in some language and never flagged.
 HEX_BITS, ALNUM_BITS, BASE64_BITS = 3.0, 3.6, 3.8
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 ALLOWED = r"(?i)example|sample|placeholder|dummy|change_?me|your[_-]|x{4,}|0{6,}|1234567|abcdefg|lorem"
 UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+#: Least pairs of neighbours in a window that are of two kinds (digit, lower, upper case), and with a digit.
+MIXED, DIGIT_MIXED = 5, 2
 #: Longest run of letters and digits that an allowed match makes a placeholder.
 PLACEHOLDER = 64
 #: What a character adds to the counts by class, six bits each: digits, a-f, A-F,
@@ -50,6 +55,9 @@ PLACEHOLDER = 64
 CLASS = [1 if ch.isdigit() else 1 << 6 if ch in "abcdef" else 1 << 12 if ch in "ABCDEF" else 1 << 18 if ch.isalpha() else 1 << 24
          for ch in ALPHABET]
 
+#: Kind of a character: digit, lower case, upper case, 0 for the rest.
+KIND = [1 if ch.isdigit() else 2 if ch.islower() else 3 if ch.isupper() else 0 for ch in ALPHABET]
+
 SPAN = "array<struct<s:int,k:int,e:int>>"
 
 
@@ -97,9 +105,10 @@ def _threshold(c: Column) -> Column:
 
 
 def _window_limit(classes: Column, limit: Column) -> Column:
-    """Entropy limit of a window by its counts of classes; ``limit`` is the candidate's."""
+    """Entropy limit of a window by its counts of classes (null: never flagged);
+    ``limit`` is the candidate's."""
     lacks = lambda *at: classes.bitwiseAND(F.lit(sum(63 << 6 * k for k in at))) == 0
-    return (F.when(lacks(0) | lacks(1, 2, 3), limit)
+    return (F.when(lacks(0) | lacks(1, 2, 3), F.lit(None).cast("double"))
             .when(lacks(3, 4) & (lacks(1) | lacks(2)), F.least(limit, F.lit(HEX_BITS)))
             .when(lacks(4), F.least(limit, F.lit(ALNUM_BITS)))
             .otherwise(limit))
@@ -121,11 +130,22 @@ def _hot_windows(c: Column, start: Column, limit: Column, allowed: Column) -> Co
     terms = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 2)])
     codes = F.transform(F.split(c, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
     weights = F.array(*[F.lit(w) for w in CLASS])
+    kinds = F.array(*[F.lit(x) for x in KIND])
     zero = F.array_repeat(F.lit(0), len(ALPHABET))
     kind = F.lit(len(KINDS) - 1)
 
+    def mixed(codes: Column) -> Column:
+        """1 at each character of another kind than the one before it, 64 more if one
+        of the two is a digit."""
+        own = F.transform(codes, lambda k: F.get(kinds, k))
+        return let(own, lambda x: F.zip_with(x, F.concat(F.array(F.lit(0)), F.slice(x, F.lit(1), F.size(x) - 1)),
+                                             lambda a, b: F.when((a != b) & (a > 0) & (b > 0), F.when((a == 1) | (b == 1), 65).otherwise(1)).otherwise(0)))
+
     def scan(codes: Column) -> Column:
-        first = F.struct(zero.alias("n"), F.lit(0).alias("c"), F.lit(0.0).alias("t"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"), _empty().alias("o"))
+        return let(mixed(codes), lambda pairs: scan_pairs(codes, pairs))
+
+    def scan_pairs(codes: Column, pairs: Column) -> Column:
+        first = F.struct(zero.alias("n"), F.lit(0).alias("c"), F.lit(0).alias("m"), F.lit(0.0).alias("t"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"), _empty().alias("o"))
 
         def step(acc: Column, i: Column) -> Column:
             enters = F.get(codes, i)
@@ -138,12 +158,14 @@ def _hot_windows(c: Column, start: Column, limit: Column, allowed: Column) -> Co
             counts = F.when(same, acc["n"]).otherwise(F.transform(
                 acc["n"], lambda n, k: n + (k == enters).cast("int") - (k == leaves).cast("int")))
             classes = acc["c"] + F.get(weights, enters) - F.coalesce(F.get(weights, leaves), F.lit(0))
-            hot = ((i >= WINDOW - 1) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= _window_limit(classes, limit))
+            mixing = acc["m"] + F.get(pairs, i) - F.coalesce(F.get(pairs, i - WINDOW + 1), F.lit(0))
+            hot = ((i >= WINDOW - 1) & (mixing.bitwiseAND(F.lit(63)) >= MIXED) & (mixing >= 64 * DIGIT_MIXED)
+                   & F.coalesce(F.lit(math.log2(WINDOW)) - total / WINDOW >= _window_limit(classes, limit), F.lit(False))
                    & ~F.exists(allowed, lambda b: (b["s"] <= i) & (i - WINDOW + 1 < b["e"])))
             lo, joins = i - (WINDOW - 1), (acc["hi"] >= 0) & (i - (WINDOW - 1) <= acc["hi"])
             done = F.struct((start + acc["lo"]).alias("s"), kind.alias("k"), (start + acc["hi"]).alias("e"))
             return F.struct(
-                counts.alias("n"), classes.alias("c"), total.alias("t"),
+                counts.alias("n"), classes.alias("c"), mixing.alias("m"), total.alias("t"),
                 F.when(hot & ~joins, lo).otherwise(acc["lo"]).alias("lo"),
                 F.when(hot, i + 1).otherwise(acc["hi"]).alias("hi"),
                 F.when(hot & ~joins & (acc["hi"] >= 0), F.array_append(acc["o"], done)).otherwise(acc["o"]).alias("o"))
