@@ -24,9 +24,11 @@ Bands: a pair at the least similarity shares a bucket with probability
 
 Edge cases: a text without words has an empty set and links with nothing; one of
 fewer than k words has its whole sequence as its one shingle; repeated rows are
-one class; a null id takes part in no link (component null, kept); an empty
-table gives an empty result; extra columns are never read or, in
-``keep_first``, returned as they came.
+one class; rows that share an id but not their text are judged by their texts and
+carry the same component only if linked or the least of both; a null id takes part
+in no link (component null, kept), but in ``keep_first``; an empty table gives an
+empty result; extra columns are never read or, in ``keep_first``, returned as they
+came.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rubric.llm.common import scratch_dir
@@ -94,8 +96,12 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key
 
 
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, cls, bands): set size, digest of the set, band keys."""
+    """(doc_id, t, n, cls, bands): digest of the text, set size, digest of the set, band keys."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,14 +116,18 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 keys = band_keys(super_minhash(hashes, owner, b - a)).astype(np.int64)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(cuts)), pa.array(digests, pa.binary()), bands],
-                    ["doc_id", "n", "cls", "bands"])
+                    [batch.column("doc_id").slice(a, b - a), batch.column("t").slice(a, b - a), pa.array(np.diff(cuts)), pa.array(digests, pa.binary()), bands],
+                    ["doc_id", "t", "n", "cls", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, cls binary, bands array<long>")
+    return docs.select("doc_id", "text", text_digest(F.col("text")).alias("t")).mapInArrow(
+        run, "doc_id long, t binary, n long, cls binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, grams): the sorted 64-bit shingle hashes of each text."""
+    """(doc_id, cls, grams): the sorted 64-bit shingle hashes of each text and
+    their digest."""
+    import hashlib
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
@@ -126,9 +136,11 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
                 cuts = np.searchsorted(owner, np.arange(b - a + 1))
                 raw = hashes.tobytes()
                 sets = [raw[8 * s:8 * e] for s, e in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(sets, pa.binary())], ["doc_id", "grams"])
+                digests = [hashlib.blake2b(x, digest_size=16).digest() for x in sets]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())],
+                                                 ["doc_id", "cls", "grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, grams binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, cls binary, grams binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -242,20 +254,27 @@ def _rest_links(now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _block_links(left.join(right, "grp"), percent).union(_block_links(each, percent)).distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of (doc_id, text)."""
+def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, t, n, root, component_id) of each row of (doc_id, text); ``root``
+    names the group, null for rows without words or without id.
+
+    A class of equal sets is known by its digest and gets a number of its own, so
+    rows that share an id but not their text stay apart."""
     spark = docs.sparkSession
     folder = scratch_dir(spark, "near")
     sketches(docs, k).write.parquet(f"{folder}/sketch")
     sketch = spark.read.parquet(f"{folder}/sketch")
     usable = sketch.where("doc_id is not null and n > 0")
-    classes = usable.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("bands").alias("bands"))
-    buckets = cut_lineage(classes.select("rep", "n", F.explode("bands").alias("bucket")).join(
-        classes.select(F.explode("bands").alias("bucket")).groupBy("bucket").count().where("count > 1").select("bucket"), "bucket"))
+    classes = usable.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("n").alias("n"))
+    classes.withColumn("rep", F.monotonically_increasing_id()).write.parquet(f"{folder}/classes")
+    classes = spark.read.parquet(f"{folder}/classes")
+    bands = usable.select("cls", "bands").dropDuplicates(["cls"]).join(classes, "cls").select("rep", "n", F.explode("bands").alias("bucket"))
+    buckets = cut_lineage(bands.join(bands.groupBy("bucket").count().where("count > 1").select("bucket"), "bucket"))
     members = buckets.select("bucket", "rep", "n")
-    wanted = members.select("rep").distinct()
-    sets = (full_sets(docs.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi"), k)
-            .select(F.col("doc_id").alias("rep"), "grams").dropDuplicates(["rep"]))
+    wanted = classes.join(members.select("rep").distinct(), "rep", "left_semi")
+    mine = docs.join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = (full_sets(mine, k).dropDuplicates(["doc_id", "cls"])
+            .join(wanted.select(F.col("least").alias("doc_id"), "cls", "rep"), ["doc_id", "cls"]).select("rep", "grams"))
     sets.write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
     least = F.min("rep").alias("p"), F.min(F.struct("rep", "n"))["n"].alias("pn")
@@ -269,17 +288,49 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     more = cut_lineage(_rest_links(now, sets, percent))
     if not more.isEmpty():
         roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    of_class = classes.select("cls", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("root"))
-    out = sketch.select("doc_id", "n", "cls").join(of_class, "cls", "left")
-    component = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    rooted = classes.select("cls", "rep", "least").join(roots, F.col("rep") == F.col("node"), "left").select(
+        "cls", "least", F.coalesce("root", "rep").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    of_class = rooted.join(named, "root").select("cls", "root", "component")
+    out = sketch.select("doc_id", "t", "n", "cls").join(of_class, "cls", "left")
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    has_id = F.col("doc_id").isNotNull()
+    return out.select("doc_id", "t", "n", F.when(has_id & (F.col("n") > 0), F.col("root")).alias("root"), F.when(has_id, component).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row of (doc_id, text)."""
+    return _grouped(docs, k, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+#: Rows without an id are told apart by their text, by numbers from here on.
+NO_ID = 1 << 62
 
 
 def keep_first(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each group: the least id, once."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    gone = near_duplicates(ids, k, percent).where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return left
+    """``docs`` with one row of each group: of the least id, once.
+
+    Rows without an id come after all others.  Among rows of the least id the one
+    with the least digest of its text stays, and of rows equal in both any one.
+    Texts without words link with nothing; rows of them go only if another has
+    their id."""
+    text = F.col("text").cast("string")
+    # rows without an id: a number from their text, so that equal ones have one
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text), F.lit(1 << 61)))
+    groups = _grouped(docs.select(own.alias("doc_id"), text.alias("text")), k, percent)
+    # rows without words are a group with those of their id
+    group = F.struct("root", F.when(F.col("root").isNull(), F.col("doc_id")).alias("id")).alias("grp")
+    keys = groups.groupBy(group, "doc_id", "t").agg(F.count("*").alias("c"))
+    first = keys.groupBy("grp").agg(F.min(F.struct("doc_id", "t")).alias("first"))
+    stays = F.struct("doc_id", "t") == F.col("first")
+    marks = cut_lineage(keys.join(first, "grp").select(
+        F.col("doc_id").alias("__id"), F.col("t").alias("__t"), stays.alias("stays"), (F.col("c") > 1).alias("repeated"))
+        .where(~F.col("stays") | F.col("repeated")))
+    keyed = docs.select(F.struct(*docs.columns).alias("__row"), own.alias("__id"), text_digest(text).alias("__t"))
+    at = ["__id", "__t"]
+    alone = keyed.join(marks.select(*at), at, "left_anti")
+    # nearly always few; equal rows are combined before they are shuffled
+    repeated = keyed.join(marks.where("stays").select(*at), at, "left_semi").dropDuplicates(at)
+    return alone.unionByName(repeated).select("__row.*")
