@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rubric.llm import ann, bpe, conversation_repair, licenses, mixing, near_dedup, quality, records, secret_scan, suffix_dedup, toxicity, url_filter, whitening
+from rubric.llm import ann, bpe, conversation_repair, licenses, mixing, near_dedup, oracle, quality, records, secret_scan, suffix_dedup, toxicity, url_filter, whitening
 from rubric.llm.common import by_id, scratch_dir, table
 
 
@@ -102,4 +102,4 @@ QUERIES = {f.__name__: f for f in (
     op6_projection_forest, op7_near_duplicates, op8_license_scans, op9_toxicity, op10_source_mix, op11_conversation_repair,
     op12_url_filter, op13_embedding_whitening)}
 
-ORACLE_SQL: dict[str, str] = {"op12_url_filter": url_filter.URL_FILTER_SQL}
+ORACLE_SQL: dict[str, str] = dict(oracle.ORACLE_SQL)
