@@ -286,3 +286,93 @@ def simple_token_count(x: str) -> str:
 
 def capitalize(x: str) -> str:
     return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
+
+
+# ---------------------------------------------------------------------------
+# Sequence tables by recursion: one step a symbol of ``a``, all pairs at once
+# ---------------------------------------------------------------------------
+
+def _least_prefixes(name: str, src: str, keep: str) -> str:
+    """CTEs ``{name}_at`` (places of each symbol of ``b``) and ``{name}_t`` (id, i, t):
+    for each length, the least prefix of ``b`` that holds a common subsequence of that
+    length with the first i symbols of ``a``; a symbol moves each entry to its next
+    place in ``b`` after the entry before, if that is nearer."""
+    far = 1 << 30
+    return f"""
+{name}_at AS MATERIALIZED (
+  SELECT id, token, list(j ORDER BY j) AS js FROM (SELECT id, unnest(b) AS token, generate_subscripts(b, 1) AS j FROM {src}) GROUP BY ALL),
+{name}_t(id, i, t) {keep} (
+  SELECT id, 0, [0] FROM {src}
+  {'UNION' if 'KEY' in keep else 'UNION ALL'}
+  SELECT x.id, x.i + 1, CASE WHEN q.js IS NULL THEN x.t ELSE list_filter(list_transform(list_append(x.t, {far}),
+      lambda t, k: CASE WHEN k = 1 THEN 0 ELSE least(t, coalesce(list_filter(q.js, lambda j: j > x.t[k - 1])[1], {far})) END), lambda t: t < {far}) END
+  FROM {name}_t x JOIN {src} p ON p.id = x.id LEFT JOIN {name}_at q ON q.id = x.id AND q.token = p.a[x.i + 1] WHERE x.i < len(p.a))"""
+
+
+def lcs_cte(name: str, src: str) -> str:
+    """CTE ``name`` (id, v): length of the longest common subsequence of the lists
+    ``a`` and ``b`` of each row (id, a, b) of ``src``."""
+    return f"""{_least_prefixes(name, src, 'USING KEY (id) AS')},
+{name} AS (SELECT id, len(t) - 1 AS v FROM {name}_t)"""
+
+
+def edit_cte(name: str, src: str) -> str:
+    """CTE ``name`` (id, v): edit distance of the lists ``a`` and ``b``.
+
+    A row's state after e steps is, for each diagonal k, how much of ``a`` e edits can
+    reach there; a step adds one edit and then follows the run of equal symbols."""
+    return f"""
+{name}_m AS (SELECT x.id, x.i, y.j - x.i AS k
+  FROM (SELECT id, unnest(a) AS token, generate_subscripts(a, 1) - 1 AS i FROM {src}) x
+  JOIN (SELECT id, unnest(b) AS token, generate_subscripts(b, 1) - 1 AS j FROM {src}) y ON x.id = y.id AND x.token = y.token),
+{name}_runs AS MATERIALIZED (
+  SELECT id, k, i, max(i) OVER (PARTITION BY id, k, g) + 1 AS stop
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY id, k ORDER BY i) AS g FROM {name}_m)),
+{name}_f(id, e, k, f) AS (
+  SELECT p.id, 0, 0::BIGINT, coalesce(r.stop, 0)::BIGINT FROM {src} p LEFT JOIN {name}_runs r ON r.id = p.id AND r.k = 0 AND r.i = 0
+  UNION ALL
+  SELECT c.id, c.e, c.k, coalesce(r.stop, c.f)::BIGINT FROM (
+    SELECT o.id, o.e + 1 AS e, o.k + d.k AS k, max(least(o.f + d.f, len(p.a), len(p.b) - o.k - d.k)) AS f
+    FROM (SELECT *, bool_or(reached) OVER (PARTITION BY id) AS done
+          FROM (SELECT x.*, x.k = len(q.b) - len(q.a) AND x.f = len(q.a) AS reached FROM {name}_f x JOIN {src} q ON q.id = x.id)) o
+    JOIN {src} p ON p.id = o.id CROSS JOIN (VALUES (0, 1), (1, 0), (-1, 1)) d(k, f)
+    WHERE NOT o.done AND o.k + d.k BETWEEN -len(p.a) AND len(p.b) GROUP BY ALL) c
+  LEFT JOIN {name}_runs r ON r.id = c.id AND r.k = c.k AND r.i = c.f),
+{name} AS (SELECT x.id, min(x.e) AS v FROM {name}_f x JOIN {src} p ON p.id = x.id
+           WHERE x.k = len(p.b) - len(p.a) AND x.f = len(p.a) GROUP BY x.id)"""
+
+
+def union_lcs_cte(name: str, src: str) -> str:
+    """CTE ``name`` (pair, hits): summary-level LCS of ``src`` (pair, rs, ps), lists of
+    token lists.  A second recursion walks each pair of sentences back from the end,
+    leaving a candidate token out when that keeps a strictly longer prefix and else a
+    reference token; lengths of prefixes are counted in the kept states."""
+    return f"""
+{name}_s AS MATERIALIZED (
+  SELECT pair || '/' || r || '/' || p AS id, pair, r, rs[r] AS a, ps[p] AS b
+  FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS p FROM (SELECT *, unnest(range(1, len(rs) + 1)) AS r FROM {src}))
+  WHERE len(list_intersect(rs[r], ps[p])) > 0),
+{_least_prefixes(name, f'{name}_s', 'AS')},
+{name}_w(id, i, j, pos) AS (
+  SELECT id, len(a), len(b), 0 FROM {name}_s
+  UNION ALL
+  SELECT id, CASE WHEN same OR l <= u THEN i - 1 ELSE i END, CASE WHEN same OR l > u THEN j - 1 ELSE j END, CASE WHEN same THEN i ELSE 0 END
+  FROM (SELECT w.id, w.i, w.j, s.a[w.i] = s.b[w.j] AS same, len(list_filter(x.t, lambda t: t <= w.j - 1)) AS l,
+               len(list_filter(y.t, lambda t: t <= w.j)) AS u
+        FROM {name}_w w JOIN {name}_s s ON s.id = w.id JOIN {name}_t x ON x.id = w.id AND x.i = w.i
+             JOIN {name}_t y ON y.id = w.id AND y.i = w.i - 1
+        WHERE w.i > 0 AND w.j > 0)),
+{name}_p AS (SELECT DISTINCT s.pair, s.r, w.pos, s.a[w.pos] AS token FROM {name}_w w JOIN {name}_s s USING (id) WHERE w.pos > 0),
+{name}_b AS (SELECT pair, token, count(*) AS n FROM (SELECT pair, unnest(flatten(ps)) AS token FROM {src}) GROUP BY ALL),
+{name} AS (SELECT pair, sum(least(c, n))::BIGINT AS hits
+           FROM (SELECT pair, token, count(*) AS c FROM {name}_p GROUP BY ALL) JOIN {name}_b USING (pair, token) GROUP BY pair)"""
+
+
+def sentences(x: str) -> str:
+    """Non-empty lines of a stripped text, each as its tokens."""
+    return f"list_transform(list_filter(string_split({trim(x)}, chr(10)), lambda s: s <> ''), lambda s: {tokens('s')})"
+
+
+def jiwer_words(x: str) -> str:
+    t = trim(f"regexp_replace(coalesce({x}, ''), '\\s\\s+', ' ', 'g')")
+    return f"list_filter(string_split({t}, ' '), lambda w: w <> '')"
