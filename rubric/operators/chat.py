@@ -1,10 +1,10 @@
 """Chat messages: cleaning (T8), prompt rendering (T7), token counts.
 
-Rendering is kept narrow: every message becomes one *segment* keyed by
-(conversation, turn), carrying the separator that precedes it; the prompt of
-a conversation is the concatenation of its segments in turn order plus the
-generation cue.  No conversation is ever gathered into one row, so a very
-long conversation costs no more than its own text.
+Rendering is narrow: every message becomes one *segment* keyed by (conversation,
+turn), carrying the separator that follows it; the prompt of a conversation is the
+concatenation of its segments in turn order, with the generation cue (titled style)
+or without the last separator (plain style).  No conversation is ever gathered into
+one row or one task, so a very long one costs no more than its own text.
 """
 
 from __future__ import annotations
@@ -45,32 +45,28 @@ def clean_messages(messages: DataFrame, role: str = "role", content: str = "cont
 
 def render_segments(messages: DataFrame, keys: list[str], order: str = "turn", role: str = "role",
                     content: str = "content", style: str = "titled") -> DataFrame:
-    """T7 as segments.
-
-    ``titled``: "Role: content" (role capitalised) separated by a blank line,
-    prompt ends with a blank line and the "Assistant:" cue.
-    ``plain``: "role: content" separated by one newline, no cue.
-    The separator belongs to every segment but the first of its conversation
-    (the one with the smallest ``order``): found with a grouped minimum, a
-    hash aggregate, then joined back on the conversation key.
+    """T7 as segments, without a shuffle.
+
+    ``titled``: "Role: content" (role capitalised) and a blank line after each; the
+    prompt is the segments and the "Assistant:" cue.  ``plain``: "role: content" and
+    one newline after each; the prompt is the segments up to the last newline.
     """
     r = F.coalesce(F.col(role), F.lit("user"))
     label = capitalize(r) if style == "titled" else r
-    sep = "\n\n" if style == "titled" else "\n"
-    seg = messages.select(*keys, order, F.concat(label, F.lit(": "), F.coalesce(F.col(content), F.lit(""))).alias("text"))
-    first = messages.groupBy(*keys).agg(F.min(order).alias("_first"))
-    out = seg.join(first, keys).select(
-        *keys, order,
-        F.concat(F.when(F.col(order) == F.col("_first"), F.lit("")).otherwise(F.lit(sep)), F.col("text")).alias("segment"))
-    return out
-
-
-def prompt_lengths(segments: DataFrame, keys: list[str], style: str = "titled") -> DataFrame:
-    """Length of each rendered prompt (segments + cue) and its message count."""
-    cue_len = len("\n\n" + CUE) if style == "titled" else 0
+    separator = "\n\n" if style == "titled" else "\n"
+    return messages.select(*keys, order, F.concat(label, F.lit(": "), F.coalesce(F.col(content), F.lit("")), F.lit(separator)).alias("segment"))
+
+
+def prompt_lengths(segments: DataFrame, keys: list[str], style: str = "titled", order: str = "turn") -> DataFrame:
+    """Length of each rendered prompt, its message count and a digest of its segments
+    at their places: the sum of the first 32 bits of each (place, segment)'s MD5, so
+    that partial sums combine before the shuffle and any change or swap shows."""
+    end = len(CUE) if style == "titled" else -1
+    place = F.concat(F.coalesce(F.col(order).cast("string"), F.lit("")), F.lit(":"), F.col("segment"))
     return segments.groupBy(*keys).agg(
         F.count("*").alias("n_messages"),
-        (F.sum(F.length("segment")) + F.lit(cue_len)).alias("prompt_chars"))
+        (F.sum(F.length("segment")) + F.lit(end)).alias("prompt_chars"),
+        F.sum(F.conv(F.substring(F.md5(place), 1, 8), 16, 10).cast("long")).alias("prompt_digest"))
 
 
 def token_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:

@@ -304,3 +304,15 @@ def join_responses(items: DataFrame, responses: DataFrame, keys: list[str]) -> D
     one = responses.groupBy(*keys).agg(F.when(n > 1, twice).otherwise(F.max(F.struct(*rest))).alias("_one"))
     joined = items.join(one, keys, "left").select(*items.columns, "_one.*")
     return joined.withColumn("response", F.coalesce(F.col("response"), F.lit("")))
+
+
+def join_model_responses(items: DataFrame, responses: DataFrame, keys: list[str], models: list[str]) -> DataFrame:
+    """J1 for several models at once: each item's responses meet it as one map by
+    model, so an item is shuffled once, and becomes a row a model only then.
+
+    Two responses of one model to one request stop the job, as a map's key is unique.
+    A row's map holds at most one entry a model."""
+    by_item = responses.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("model", "response"))).alias("_answers"))
+    joined = items.join(by_item, keys, "left")
+    return (joined.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
+            .withColumn("response", F.coalesce(F.element_at("_answers", F.col("model")), F.lit(""))).drop("_answers"))

@@ -99,11 +99,13 @@ def final_scores(task_results: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def group_by_category_task(catalog: DataFrame) -> DataFrame:
-    """Datasets per (category, task), sorted; rows without category dropped."""
-    return (catalog.filter(F.col("category").isNotNull() & (F.col("category") != ""))
-            .groupBy("category", "task")
-            .agg(F.array_sort(F.collect_set("dataset")).alias("datasets"),
-                 F.count("*").alias("n_datasets")))
+    """One row a dataset of each (category, task), with the group's number of
+    datasets; rows without category dropped.  Groups are never gathered: the counts are
+    an aggregate, joined back by group."""
+    rows = catalog.filter(F.col("category").isNotNull() & (F.col("category") != "")).select("category", "task", "dataset").distinct()
+    counts = rows.groupBy("category", "task").agg(F.count("*").alias("n_datasets"))
+    same = F.col("r.category").eqNullSafe(F.col("c.category")) & F.col("r.task").eqNullSafe(F.col("c.task"))
+    return rows.alias("r").join(counts.alias("c"), same).select("r.category", "r.task", "r.dataset", "n_datasets")
 
 
 AGGREGATES = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "median": F.median}

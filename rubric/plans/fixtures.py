@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rubric.functions.text import escape_newlines
-from rubric.operators.prepare import join_responses
+from rubric.operators.prepare import join_model_responses
 from rubric.session import spread
 
 MODELS = ["m0", "m1", "m2"]
@@ -106,50 +106,64 @@ def conversation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @memo_view
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples: items x evaluated models, left-joined to their responses.
-
-    The model list is a job parameter, expanded per item by ``explode`` (a
-    narrow generator); a missing response scores as the empty string.
-    """
+    """Samples: items x evaluated models with their responses (J1); a missing
+    response scores as the empty string.  Items and responses meet on the item's own
+    key, on which both are partitioned already, before rows become rows a model."""
     items = conversation_items(spark, sf_dir).drop("answer_raw")
-    per_model = items.withColumn("model", F.explode(F.array(*[F.lit(m) for m in MODELS])))
-    responses = conversation_responses(spark, sf_dir)
-    return join_responses(per_model, responses, ["model", "conv_id", "turn"])
+    return join_model_responses(items, conversation_responses(spark, sf_dir), ["conv_id", "turn"], MODELS)
 
 
 # ---------------------------------------------------------------------------
 # F-B passages found in documents
 # ---------------------------------------------------------------------------
 
-# Winnowed word-shingle anchors.  A word strictly inside a passage (not its
-# first or last token, which may be cut) is a whole word of any document
-# containing the passage, so the passage's interior K-word shingles are
-# shingles of that document too.  Both sides keep the minimum-hash shingle of
-# every window of W consecutive shingles; a passage with at least W interior
-# shingles shares a whole window, hence an anchor, with every document that
-# contains it.  Anchors are ~2/(W+1) of a document's shingles, so the
-# equi-join replaces an all-passages x all-documents comparison.
-SHINGLE_K = 3
-WINNOW_W = 10
+# Anchors.  A word strictly inside a passage (between its first and last white space)
+# is a whole word of every document that contains the passage.  Of a passage's inner
+# words the one in the fewest documents is its anchor, so candidates are the documents
+# with that word.  A passage of two tokens lies across a word's end or start, one of a
+# single token within a word: documents offer those pieces of their words, but only in
+# lengths that such passages have, so without them nothing is added.
+WORD, END, START, PART = "w", "e", "s", "p"
+
+
+def _words(text: F.Column) -> F.Column:
+    return F.split(text, r"(?U)\s+")
 
 
-def _shingles(tokens: F.Column) -> F.Column:
-    n = F.greatest(F.size(tokens) - SHINGLE_K + 1, F.lit(0))
-    cols = [F.slice(tokens, k + 1, n) for k in range(SHINGLE_K)]
-    return F.transform(F.arrays_zip(*cols),
-                       lambda z: F.struct(F.xxhash64(*[z[str(k)] for k in range(SHINGLE_K)]).alias("h"),
-                                          F.concat_ws(" ", *[z[str(k)] for k in range(SHINGLE_K)]).alias("s")))
+def _passage_pieces(passages: DataFrame) -> DataFrame:
+    """(item_id, kind, piece): what every document with the passage offers."""
+    tok, n = F.col("tok"), F.size("tok")
+    piece = lambda kind, x: F.struct(F.lit(kind).alias("kind"), x.alias("piece"))
+    first, second = F.get(tok, 0), F.get(tok, 1)
+    pieces = (F.when(n >= 3, F.transform(F.array_distinct(F.slice(tok, F.lit(2), F.greatest(n - 2, F.lit(0)))), lambda w: piece(WORD, w)))
+              .when((n == 2) & (first != ""), F.array(piece(END, first)))
+              .when(n == 2, F.array(piece(START, second)))
+              .otherwise(F.array(piece(PART, first))))
+    return passages.select("item_id", _words(F.col("text")).alias("tok")).select("item_id", F.explode(pieces).alias("x")).select(
+        "item_id", "x.kind", "x.piece")
 
 
-def _winnow(shingles: F.Column) -> F.Column:
-    """Distinct window minima (by hash, then text) over windows of W shingles."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(shingles) - WINNOW_W + 1, F.lit(1)))
-    mins = F.transform(starts, lambda j: F.array_min(F.slice(shingles, j, WINNOW_W)))
-    return F.when(F.size(shingles) >= WINNOW_W, F.array_distinct(F.transform(mins, lambda m: m["s"])))
+def _piece_key(kind: F.Column, piece: F.Column) -> F.Column:
+    """Pieces meet by hash; ``contains`` judges every candidate."""
+    return F.xxhash64(kind, piece)
 
 
-def _words(text: F.Column) -> F.Column:
-    return F.split(text, r"(?U)\s+")
+def _document_keys(docs: DataFrame, lengths: F.Column) -> DataFrame:
+    """(doc_id, key) of each distinct piece that a document offers; ``lengths`` holds
+    those of the cut pieces."""
+    words = F.array_distinct(_words(F.col("text")))
+    whole = F.transform("words", lambda w: _piece_key(F.lit(WORD), w))
+
+    def cuts(kind: str, places):
+        return F.flatten(F.transform("words", lambda w: F.flatten(F.transform(
+            F.filter(F.col("lengths")[kind], lambda k: k <= F.length(w)),
+            lambda k: F.transform(places(w, k), lambda at: _piece_key(F.lit(kind), F.substring(w, at, k)))))))
+
+    offered = F.concat(
+        whole, cuts(END, lambda w, k: F.array(F.length(w) - k + 1)), cuts(START, lambda w, k: F.array(F.lit(1))),
+        cuts(PART, lambda w, k: F.sequence(F.lit(1), F.length(w) - k + 1)))
+    return (spread(docs.select("doc_id", "text")).select("doc_id", words.alias("words"), lengths.alias("lengths"))
+            .select("doc_id", F.explode(F.array_distinct(offered)).alias("key")))
 
 
 @memo_view
@@ -164,43 +178,20 @@ def contained_passages(bench: DataFrame, docs: DataFrame) -> DataFrame:
     """(item_id, doc_id, source, lang, passage, document) where the document
     contains the passage verbatim.
 
-    The two fallback branches are planned only when such passages exist (a
-    cheap probe of the passage side), so the common case never pays for them.
-    """
-
-    # interior tokens only: drop the first and last (possibly partial) token
-    p_tok = bench.select("item_id", F.col("text").alias("passage"), _words(F.col("text")).alias("tok"))
-    p_sh = p_tok.select("item_id", "passage",
-                        _shingles(F.slice("tok", 2, F.greatest(F.size("tok") - 2, F.lit(0)))).alias("sh"))
-    p_anchor = p_sh.select("item_id", "passage", "sh", _winnow(F.col("sh")).alias("anchors"))
-
-    d_tok = spread(docs.select("doc_id", "text")).select("doc_id", _words(F.col("text")).alias("tok"))
-    d_sh = d_tok.select("doc_id", _shingles(F.col("tok")).alias("sh"))
-    d_anchor = d_sh.select("doc_id", F.explode(_winnow(F.col("sh"))).alias("anchor"))
-
-    anchored = p_anchor.filter(F.col("anchors").isNotNull()).select(
-        "item_id", "passage", F.explode("anchors").alias("anchor"))
-    candidates = anchored.join(d_anchor, "anchor").select("item_id", "doc_id", "passage")
-
-    # passages with 1..W-1 interior shingles: their first interior shingle is a
-    # shingle of every containing document (equi-join on all its shingles)
-    short = p_anchor.filter(F.col("anchors").isNull() & (F.size("sh") > 0)).select(
-        "item_id", "passage", F.get("sh", 0)["s"].alias("anchor"))
-    if not short.isEmpty():
-        d_all = d_sh.select("doc_id", F.explode(F.array_distinct(F.transform("sh", lambda x: x["s"]))).alias("anchor"))
-        candidates = candidates.unionByName(short.join(d_all, "anchor").select("item_id", "doc_id", "passage"))
-
-    candidates = candidates.dropDuplicates(["item_id", "doc_id"])
-    found = candidates.join(docs, "doc_id").filter(F.contains(F.col("text"), F.col("passage")))
-    cols = ["item_id", "doc_id", "source", "lang", "passage", F.col("text").alias("document")]
-    out = found.select(*cols)
-
-    # passages of at most four words have no interior shingle: direct test
-    bare = p_anchor.filter(F.size("sh") == 0).select("item_id", "passage")
-    if not bare.isEmpty():
-        found_bare = bare.join(docs, F.contains(docs["text"], bare["passage"]))
-        out = out.unionByName(found_bare.select(*cols))
-    return out
+    Pieces that no passage has go first (a semi join); how many documents have each
+    of the rest is a hash aggregate; the documents with a passage's anchor are its
+    candidates."""
+    pieces = _passage_pieces(bench)
+    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.length("piece"))).alias(kind)
+    lengths = pieces.agg(F.struct(of(END), of(START), of(PART)).alias("l")).scalar()
+    asked = pieces.select("item_id", _piece_key(F.col("kind"), F.col("piece")).alias("key"))
+    offered = _document_keys(docs, lengths).join(asked.select("key").distinct(), "key", "left_semi")
+    counts = offered.groupBy("key").agg(F.count("*").alias("n"))
+    anchors = asked.join(counts, "key").groupBy("item_id").agg(F.min(F.struct("n", "key"))["key"].alias("key"))
+    candidates = offered.join(anchors, "key").select("item_id", "doc_id")
+    found = candidates.join(bench.select("item_id", F.col("text").alias("passage")), "item_id").join(docs, "doc_id")
+    return found.filter(F.contains(F.col("text"), F.col("passage"))).select(
+        "item_id", "doc_id", "source", "lang", "passage", F.col("text").alias("document"))
 
 
 # ---------------------------------------------------------------------------
@@ -293,6 +284,21 @@ def conversation_judge_samples(spark: SparkSession, sf_dir: str, mcq: bool = Fal
     return s.withColumn("response", F.when(place % 11 == 0, none).otherwise(F.array("response")))
 
 
+@memo_view
+def block_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with block content by turn % 4: a text block and a plain string (0), media
+    alone and a text block without text (1), a plain string, media and a text block (2),
+    the text itself (3); no role when turn % 5 = 0."""
+    m = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    text = F.to_json(F.struct(F.lit("text").alias("type"), "text"))
+    image = F.lit('{"type": "image_url", "image_url": {"url": "a.png"}}')
+    listed = lambda *parts: F.concat(F.lit("["), F.concat_ws(", ", *parts), F.lit("]"))
+    kind = F.col("turn") % 4
+    content = (F.when(kind == 0, listed(text, F.lit('"and more"'))).when(kind == 1, listed(image, F.lit('{"type": "text"}')))
+               .when(kind == 2, listed(F.lit('"first"'), image, text)).otherwise(F.col("text")))
+    return m.select("conv_id", "turn", F.when(F.col("turn") % 5 != 0, F.col("role")).alias("role"), content.alias("content"))
+
+
 @memo_view
 def conversation_tasks(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataFrame:
     """Allow-list of tasks: t0..t5 are judged as generation, t4..t7 as multiple choice."""

@@ -481,17 +481,19 @@ def rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Chat messages and tokens
 # ---------------------------------------------------------------------------
 
+_SEGMENT = f"{o.capitalize('role')} || ': ' || text || chr(10) || chr(10)"
+
 CHAT_PROMPTS_SQL = f"""
-SELECT conv_id, count(*) AS n_messages,
-       (sum(length({o.capitalize('role')} || ': ' || text)) + 2 * (count(*) - 1) + length(chr(10) || chr(10) || 'Assistant:'))::BIGINT AS prompt_chars
+SELECT conv_id, count(*) AS n_messages, (sum(length({_SEGMENT})) + length('Assistant:'))::BIGINT AS prompt_chars,
+       sum(('0x' || substr(md5(turn::VARCHAR || ':' || {_SEGMENT}), 1, 8))::BIGINT)::BIGINT AS prompt_digest
 FROM conversations GROUP BY conv_id
 """
 
 
 @query("chat_prompts", CHAT_PROMPTS_SQL)
 def chat_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rendered chat prompt per conversation (as ordered segments), with
-    its length and message count."""
+    """Rendered chat prompt per conversation (as ordered segments): length,
+    message count and digest of the segments at their places."""
     from rubric.operators import chat
     msgs = fx.table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     seg = chat.render_segments(msgs, ["conv_id"], content="text")
@@ -512,6 +514,21 @@ def clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msgs.groupBy("role").agg(F.count("*").alias("n_messages"), F.sum(F.length("text")).alias("n_chars"))
 
 
+MESSAGE_BLOCKS_SQL = """
+SELECT conv_id, turn, CASE WHEN turn % 5 = 0 THEN 'user' ELSE role END AS role,
+       md5(CASE turn % 4 WHEN 0 THEN text || ' and more' WHEN 1 THEN '' WHEN 2 THEN 'first ' || text ELSE text END) AS text
+FROM conversations
+"""
+
+
+@query("message_blocks", MESSAGE_BLOCKS_SQL)
+def message_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 on messages whose content is a list of blocks (texts, media, plain strings,
+    a text block without text) or plain, some without a role."""
+    from rubric.operators import chat
+    return chat.clean_messages(fx.block_messages(spark, sf_dir)).select("conv_id", "turn", "role", F.md5("content").alias("text"))
+
+
 TOKEN_USAGE_SQL = f"""
 WITH pairs AS ({o.conversation_pairs_sql()})
 SELECT model, sum({o.simple_token_count('response')})::BIGINT AS tokens, count(*) AS n_texts
@@ -997,17 +1014,14 @@ def metric_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATEGORY_GROUPS_SQL = f"""
-WITH d AS ({cat.catalog_datasets_sql()})
-SELECT category, coalesce(task, name) AS task, count(*) AS n_datasets,
-       array_to_string(list_sort(list(dataset)), ',') AS datasets
-FROM d GROUP BY ALL
+WITH d AS ({cat.catalog_datasets_sql()}), r AS (SELECT DISTINCT category, coalesce(task, name) AS task, dataset FROM d)
+SELECT category, task, dataset, count(*) OVER (PARTITION BY category, task) AS n_datasets FROM r
 """
 
 
 @query("category_groups", CATEGORY_GROUPS_SQL)
 def category_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A6 + F5: datasets grouped per (category, task)."""
+    """A6 + F5: datasets grouped per (category, task), one row a dataset."""
     from rubric.operators import prepare as P
     d = P.drop_empty_groups(cat.catalog_datasets(spark, sf_dir)).withColumn("task", F.coalesce("task", "name"))
-    g = rollup.group_by_category_task(d)
-    return g.select("category", "task", "n_datasets", F.array_join("datasets", ",").alias("datasets"))
+    return rollup.group_by_category_task(d)

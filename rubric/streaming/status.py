@@ -10,9 +10,8 @@ so a restarted query resumes where it stopped).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rubric.operators.jobs import latest_status
@@ -33,13 +32,22 @@ def latest_status_stream(events: DataFrame) -> DataFrame:
     return latest_status(events)
 
 
-def start_status_tracker(spark: SparkSession, folder: str, out_table: str, name: str = "job_status",
+def start_status_tracker(spark: SparkSession, folder: str, out: str, name: str = "job_status",
                          available_now: bool = False) -> StreamingQuery:
-    """Run the tracker into an in-memory table ``out_table`` (for monitoring);
-    the checkpoint goes under the session's shared checkpoint folder."""
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
+    """Run the tracker into the folder ``out``: each micro-batch writes the jobs it saw
+    to its own ``batch=`` folder, and anew if it is repeated.  The checkpoint goes under
+    the session's shared checkpoint folder; see ``current_status``."""
+    def save(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     writer = (latest_status_stream(status_events(spark, folder)).writeStream
-              .outputMode("update").format("memory").queryName(out_table)
-              .option("checkpointLocation", ckpt))
+              .outputMode("update").foreachBatch(save).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def current_status(spark: SparkSession, out: str) -> DataFrame:
+    """Status of every job as of the last batch that saw it."""
+    state = F.max_by(F.struct("status", "error", "n_events"), F.col("batch")).alias("s")
+    return spark.read.parquet(out).groupBy("job_id").agg(state).select("job_id", "s.*")

@@ -119,3 +119,14 @@ def test_contained_passages_all_lengths(spark):
     want = sorted((b, dd) for b, bt in [(10, long), (11, short), (12, tiny), (13, long[3:40]), (14, "not present at all")]
                   for dd, dt, _, _ in docs if bt in dt)
     assert got == want and len(want) >= 5
+
+
+def test_passages_of_one_and_two_tokens_and_edges(spark):
+    passages = [(1, "needle"), (2, "ba se"), (3, " edge"), (4, "edge "), (5, "two  words"), (6, "a b a"), (7, "é x"), (8, "absent one here"), (9, "\nline two")]
+    docs = [(1, "a needles b"), (2, "alba sea"), (3, "an edge case"), (4, "edge"), (5, "two  words"), (6, "two words"), (7, "xa b ab"), (8, "café xy"),
+            (9, "first\nline two"), (10, ""), (11, "needle needle needle")]
+    bench = spark.createDataFrame(passages, "item_id long, text string")
+    d = spark.createDataFrame([(i, t, "s", "en") for i, t in docs], "doc_id long, text string, source string, lang string")
+    got = sorted((r.item_id, r.doc_id) for r in fx.contained_passages(bench, d).collect())
+    want = sorted((i, k) for i, p in passages for k, t in docs if p in t)
+    assert got == want and len(want) == 9

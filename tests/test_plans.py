@@ -32,5 +32,25 @@ def test_no_cartesian_products(spark):
 
 def test_passage_join_is_an_equi_join(spark):
     plan = _plan(entry.queries()["passage_recovery"](spark, SF_SMALL))
-    assert "NestedLoopJoin" not in plan   # no tiny passages in the tables: fallback not planned
+    assert "NestedLoopJoin" not in plan
     assert "HashJoin" in plan or "SortMergeJoin" in plan
+
+
+def test_conversations_are_scanned_once_a_role(spark):
+    """Tables too large to broadcast: questions and answers are read and shuffled once,
+    responses reuse both, and nothing else is shuffled before the scores."""
+    import re
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["bleu_by_task"](spark, SF_SMALL)
+        df.collect()
+        final = _plan(df).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"FileScan parquet", final)) <= 2
+    # a reused exchange names the one it reuses
+    assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") <= 3
+
+
+def test_chat_prompts_are_not_joined(spark):
+    assert "Join" not in _plan(entry.queries()["chat_prompts"](spark, SF_SMALL))

@@ -1,7 +1,7 @@
 """Streaming status tracker: two batches of events, latest state per job."""
 
 from rubric.plans import fixtures as fx
-from rubric.streaming.status import start_status_tracker
+from rubric.streaming.status import current_status, start_status_tracker
 from conftest import SF_SMALL
 
 
@@ -13,14 +13,8 @@ def test_status_tracker_matches_batch(spark, tmp_path):
     events.filter("event_id % 2 = 0").write.parquet(folder + "/part=a")
     events.filter("event_id % 2 = 1").write.parquet(folder + "/part=b")
     import uuid
-    q = start_status_tracker(spark, folder, "status_now", name=f"test-{uuid.uuid4().hex}", available_now=True)
+    out = str(tmp_path / "state")
+    q = start_status_tracker(spark, folder, out, name=f"test-{uuid.uuid4().hex}", available_now=True)
     q.awaitTermination(120)
-    got = {r["job_id"]: (r["status"], r["error"], r["n_events"]) for r in spark.table("status_now").collect()}
-    want = {r["job_id"]: (r["status"], r["error"], r["n_events"]) for r in latest_status(events).collect()}
-    # update mode may emit a job in several batches; the last emission is final
-    final = {}
-    for r in spark.table("status_now").collect():
-        if r["job_id"] not in final or r["n_events"] >= final[r["job_id"]][2]:
-            final[r["job_id"]] = (r["status"], r["error"], r["n_events"])
-    assert final == want
-    assert set(got) == set(want)
+    state = lambda df: {r["job_id"]: (r["status"], r["error"], r["n_events"]) for r in df.collect()}
+    assert state(current_status(spark, out)) == state(latest_status(events))
