@@ -271,7 +271,7 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
     bands = usable.select("cls", "bands").dropDuplicates(["cls"]).join(classes, "cls").select("rep", "n", F.explode("bands").alias("bucket"))
     buckets = cut_lineage(bands.join(bands.groupBy("bucket").count().where("count > 1").select("bucket"), "bucket"))
     members = buckets.select("bucket", "rep", "n")
-    wanted = classes.join(members.select("rep").distinct(), "rep", "left_semi")
+    wanted = cut_lineage(classes.join(members.select("rep").distinct(), "rep", "left_semi"))
     mine = docs.join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = (full_sets(mine, k).dropDuplicates(["doc_id", "cls"])
             .join(wanted.select(F.col("least").alias("doc_id"), "cls", "rep"), ["doc_id", "cls"]).select("rep", "grams"))
