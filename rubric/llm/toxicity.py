@@ -4,8 +4,12 @@ Model, fitted on a bounded sample of labelled rows: a token's features are the
 word and its prefixes of three to seven characters.  A feature's score is the log
 odds of its document counts in toxic and clean rows under a Dirichlet prior made
 of the pooled counts, less ``BOUND`` deviations; it takes part if it stands
-``MIN_Z`` deviations above zero.  A token scores as its highest feature; tokens
-without one score ``-DRIFT``.
+``MIN_Z`` deviations above zero.  A token scores as its highest feature, at most its first
+``REPEATS`` times in a text (later ones score zero, so one chance word repeated all
+over a text is no passage).  Tokens without a feature score less than zero by a
+drift of ``DRIFT_RATIO`` times the mean score that features give the tokens of clean
+rows: small enough that toxic words scattered over a text add up, large enough that
+chance ones do not.
 
 Each text is scanned once: the linear-time all-maximal-segments scan finds every
 passage whose score cannot be raised by growing or cutting it.  Scores of chance
@@ -42,7 +46,10 @@ PRIOR_WEIGHT = 1.0
 MIN_Z = 2.7
 #: Deviations by which a feature's score is lowered.
 BOUND = 2.0
-DRIFT = 0.5
+#: Drift in multiples of a clean token's mean score, and the drift where clean rows score nothing.
+DRIFT_RATIO, DRIFT = 3.0, 0.5
+#: Times that a word scores in one text.
+REPEATS = 2
 PREFIXES = (3, 4, 5, 6, 7)
 SIGNIFICANT = 0.05
 THRESHOLD = 0.7
@@ -64,6 +71,7 @@ class Model:
     """What the workers need to score a text."""
 
     weights: dict[str, float]  # feature: least credible log odds
+    drift: float = DRIFT
     rate: float = 1.0
     bias: float = -50.0
     slope: float = 0.0
@@ -75,11 +83,23 @@ class Model:
             if len(self.memo) > MEMO:
                 self.memo.clear()
             found = [self.weights[f] for f in features(token) if f in self.weights]
-            got = self.memo[token] = max(found, default=-DRIFT)
+            got = self.memo[token] = max(found, default=-self.drift)
         return got
 
     def scores(self, text: str) -> list[float]:
-        return list(map(self.token_score, TOKEN.findall(text.lower())))
+        tokens = TOKEN.findall(text.lower())
+        out = list(map(self.token_score, tokens))
+        times: dict[str, int] = {}
+        for at, score in enumerate(out):
+            if score > 0:
+                n = times[tokens[at]] = times.get(tokens[at], 0) + 1
+                if n > REPEATS:
+                    out[at] = 0.0
+        return out
+
+    def set_drift(self, drift: float) -> None:
+        self.drift = drift
+        self.memo.clear()
 
     def passages(self, text: str) -> list[tuple[int, int, float, float]]:
         """(first token, end token, score, expected chance equals) of every
@@ -176,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Model:
 
 
 def calibrate(model: Model, rows: DataFrame) -> None:
-    """Rate of the extreme-value law and the logistic curve, on the rows that
+    """Drift, rate of the extreme-value law and the logistic curve, on the rows that
     gave no feature (on all, if those lack a kind)."""
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -186,12 +206,15 @@ def calibrate(model: Model, rows: DataFrame) -> None:
         yield pa.RecordBatch.from_pydict({"score": pa.array(list(seen), pa.float64()), "n": pa.array(list(seen.values()), pa.int64())})
 
     apart = rows.where("not fits")
+    model.set_drift(0.0)
     null = apart.where("toxic = 0").select("text").mapInArrow(histogram, "score double, n long").groupBy("score").agg(F.sum("n").alias("n"))
     tokens = {r["score"]: float(r["n"]) for r in null.collect()}
     for score in model.weights.values():
         tokens[round(score, 3)] = tokens.get(round(score, 3), 0.0) + 0.5 / len(model.weights)
-    tokens[-DRIFT] = tokens.get(-DRIFT, 0.0) + 1.0
-    model.rate = solve_rate(tokens)
+    silent = tokens.pop(0.0, 0.0) + tokens.pop(-0.0, 0.0) + 1.0
+    mean = sum(score * n for score, n in tokens.items()) / silent
+    model.set_drift(DRIFT_RATIO * mean or DRIFT)
+    model.rate = solve_rate(tokens | {-model.drift: silent})
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
