@@ -132,11 +132,41 @@ def strip_arabic_diacritics(c: Column | str) -> Column:
     return F.regexp_replace(col_(c), ARABIC_DIACRITICS, "")
 
 
+def quoted_text(x: Column) -> Column:
+    """A string as it stands in a written-out list: in single quotes, in double quotes
+    if it holds only single ones."""
+    safe = F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    single, double = F.contains(x, F.lit("'")), F.contains(x, F.lit('"'))
+    return (F.when(single & ~double, F.concat(F.lit('"'), safe, F.lit('"')))
+            .otherwise(F.concat(F.lit("'"), F.replace(safe, F.lit("'"), F.lit("\\'")), F.lit("'"))))
+
+
+def _value_text(text: Column, kind: Column) -> Column:
+    """A JSON value inside a list or object as it is written out: numbers as they stand
+    in the source, True, False and None, strings quoted; what is nested stays JSON."""
+    return (F.when(kind == "STRING", quoted_text(text)).when(kind == "BOOLEAN", F.initcap(text))
+            .when(text.isNull() | (kind == "VOID"), F.lit("None")).otherwise(text))
+
+
+def value_text(json: Column) -> Column:
+    """A JSON value (its text) that is no string, written out: ``1.0``, ``True``,
+    ``['a', None]``, ``{'k': 1}``."""
+    v = F.try_parse_json(json)
+    kind = F.schema_of_variant(v)
+    kinds = lambda values: F.transform(values, F.schema_of_variant)
+    items = F.zip_with(F.from_json(json, "array<string>"), kinds(F.from_json(json, "array<variant>")), _value_text)
+    named = F.zip_with(F.map_entries(F.from_json(json, "map<string,string>")), kinds(F.map_values(F.from_json(json, "map<string,variant>"))),
+                       lambda e, k: F.concat(quoted_text(e["key"]), F.lit(": "), _value_text(e["value"], k)))
+    return (F.when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
+            .when(kind.startswith("OBJECT"), F.concat(F.lit("{"), F.array_join(named, ", "), F.lit("}")))
+            .when(kind == "BOOLEAN", F.initcap(json)).otherwise(json))
+
+
 def extract_asr_text(c: Column | str) -> Column:
     """T5: text of a speech-recognition answer.
 
-    JSON object with "text" -> that value (non-string: its string form, ""
-    when falsy); other object -> first string value in source order; JSON
+    JSON object with "text" -> that value (non-string: written out, see
+    ``value_text``, "" when falsy); other object -> first string value in source order; JSON
     string -> the string; otherwise the stripped text without one pair of
     surrounding double or single quotes.
     """
@@ -146,7 +176,7 @@ def extract_asr_text(c: Column | str) -> Column:
     is_obj = kind.startswith("OBJECT")
     text_v = F.variant_get(v, "$.text", "variant")
     text_str = F.variant_get(v, "$.text", "string")
-    text_true = F.when(text_str == "true", F.lit("True")).otherwise(text_str)
+    text_true = value_text(F.get_json_object(p, "$.text"))
     falsy = (F.is_variant_null(text_v) | text_str.isin("false", "", "[]", "{}")
              | (F.schema_of_variant(text_v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & (F.try_variant_get(v, "$.text", "double") == 0)))
     entries = F.map_entries(F.from_json(p, "map<string,variant>"))

@@ -30,6 +30,7 @@ from rubric.functions.text import (
     extract_asr_text,
     first_word_or_line,
     normalize_answer,
+    quoted_text,
     space_punctuation,
     trim_ws,
     ws_tokens,
@@ -75,11 +76,7 @@ def first_response(response: Column) -> Column:
 def list_text(values: Column) -> Column:
     """A list written out, ``['a', 'b']``, as accuracy compares a gold of several
     answers: entries in single quotes, in double quotes if they hold only single ones."""
-    def quoted(x: Column) -> Column:
-        safe = F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
-        single, double = F.contains(x, F.lit("'")), F.contains(x, F.lit('"'))
-        return (F.when(x.isNull(), F.lit("None")).when(single & ~double, F.concat(F.lit('"'), safe, F.lit('"')))
-                .otherwise(F.concat(F.lit("'"), F.replace(safe, F.lit("'"), F.lit("\\'")), F.lit("'"))))
+    quoted = lambda x: F.coalesce(quoted_text(x), F.lit("None"))
     return F.when(values.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(values, quoted), ", "), F.lit("]")))
 
 

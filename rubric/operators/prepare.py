@@ -274,9 +274,10 @@ def item_records(items: DataFrame, manifest: DataFrame | None = None) -> DataFra
     return flat.select("dataset", "split", F.col(place).alias("pos"), record.alias("record"))
 
 
-def schema_keys(items: DataFrame, extras: str = "extras") -> DataFrame:
-    """Union of extra keys over items (one row per distinct key)."""
-    return items.select(F.explode(F.map_keys(extras)).alias("key")).distinct()
+def schema_keys(items: DataFrame, extras: str = "extras", by: list[str] | None = None) -> DataFrame:
+    """Union of extra keys over items, of each of ``by`` if given (one row per
+    distinct key)."""
+    return items.select(*(by or []), F.explode(F.map_keys(extras)).alias("key")).distinct()
 
 
 def drop_empty_groups(catalog: DataFrame) -> DataFrame:

@@ -299,6 +299,24 @@ def block_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("conv_id", "turn", F.when(F.col("turn") % 5 != 0, F.col("role")).alias("role"), content.alias("content"))
 
 
+@memo_view
+def asr_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speech-recognition answers of m0's items in eight forms by (conv_id + turn) % 8:
+    object with text (0), object whose first string counts (1), JSON string (2), text
+    in double quotes (3), a list (4) or number (5) or false (6) as text, text in single
+    quotes (7)."""
+    s = conversation_items(spark, sf_dir)
+    place, text, n = F.col("conv_id") + F.col("turn"), F.col("answer_raw"), F.col("conv_id").cast("string")
+    as_string = F.expr("substring(to_json(array(answer_raw)), 2, length(to_json(array(answer_raw))) - 2)")
+    forms = [F.concat(F.lit('{"text": '), as_string, F.lit("}")), F.concat(F.lit('{"n": 1, "said": '), as_string, F.lit(', "a": "x"}')), as_string,
+             F.concat(F.lit('"'), text, F.lit('"')), F.concat(F.lit('{"text": ['), n, F.lit('.0, "it\'s", true, null]}')),
+             F.concat(F.lit('{"text": '), n, F.lit(".50}")), F.lit('{"text": false}'), F.concat(F.lit(" '"), text, F.lit("'\n"))]
+    form = F.when(F.lit(False), F.lit(""))
+    for k, value in enumerate(forms):
+        form = form.when(place % 8 == k, value)
+    return s.select("conv_id", "turn", form.alias("answer"))
+
+
 @memo_view
 def conversation_tasks(spark: SparkSession, sf_dir: str, mcq: bool = False) -> DataFrame:
     """Allow-list of tasks: t0..t5 are judged as generation, t4..t7 as multiple choice."""

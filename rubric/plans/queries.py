@@ -529,6 +529,20 @@ def message_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.clean_messages(fx.block_messages(spark, sf_dir)).select("conv_id", "turn", "role", F.md5("content").alias("text"))
 
 
+ASR_TEXTS_SQL = f"""
+SELECT conv_id, turn, md5(CASE (conv_id + turn) % 8 WHEN 4 THEN '[' || conv_id::VARCHAR || '.0, "it''s", True, None]'
+         WHEN 5 THEN conv_id::VARCHAR || '.5' WHEN 6 THEN '' ELSE answer_raw END) AS text
+FROM ({o.conversation_items_sql()})
+"""
+
+
+@query("asr_texts", ASR_TEXTS_SQL)
+def asr_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 on answers in every form the rule knows, by digest."""
+    from rubric.functions.text import extract_asr_text
+    return fx.asr_answers(spark, sf_dir).select("conv_id", "turn", F.md5(extract_asr_text("answer")).alias("text"))
+
+
 TOKEN_USAGE_SQL = f"""
 WITH pairs AS ({o.conversation_pairs_sql()})
 SELECT model, sum({o.simple_token_count('response')})::BIGINT AS tokens, count(*) AS n_texts
@@ -1025,3 +1039,54 @@ def category_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rubric.operators import prepare as P
     d = P.drop_empty_groups(cat.catalog_datasets(spark, sf_dir)).withColumn("task", F.coalesce("task", "name"))
     return rollup.group_by_category_task(d)
+
+
+CATALOG_SELECTION_SQL = f"""
+WITH d AS ({cat.catalog_datasets_sql()}),
+c AS (SELECT dataset, category, CASE WHEN {_resolve_sql('m[1]')} = 'accuracy' THEN 'mcq' ELSE 'generation' END AS type
+      FROM (SELECT *, {_metric_list_sql('metric_spec')} AS m FROM d)),
+i AS ({cat.catalog_items_sql()})
+SELECT dataset, type, bool_or(id_order % 4 = 0) AS has_level, bool_or(id_order % 6 = 0 AND instruction = 'Answer the question.') IS TRUE AS has_hint
+FROM c JOIN i USING (dataset) WHERE category IN ('cat0', 'cat1') AND type = 'generation' GROUP BY dataset, type
+"""
+
+
+@query("catalog_selection", CATALOG_SELECTION_SQL)
+def catalog_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + F1 + A7: generation datasets of two categories that have items, and the
+    keys beyond the core that their items use."""
+    from rubric.operators import prepare as P
+    from rubric.sources.datasets import select_catalog
+    d = cat.catalog_datasets(spark, sf_dir)
+    kind = P.split_kind(F.transform(P.metric_list("metric_spec"), P.resolve_metric))
+    catalog = d.select("dataset", "category", kind.alias("type"))
+    items = cat.catalog_item_extras(spark, sf_dir)
+    chosen = P.valid_datasets(select_catalog(catalog, "cat0", " generation, none").unionByName(select_catalog(catalog, "cat1")), items)
+    keys = P.schema_keys(items.select(F.col("dataset"), "extras"), by=["dataset"]).groupBy("dataset").agg(
+        F.bool_or(F.col("key") == "level").alias("has_level"), F.bool_or(F.col("key") == "hint").alias("has_hint"))
+    has = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
+    return chosen.join(keys, "dataset", "left").select("dataset", "type", has("has_level"), has("has_hint"))
+
+
+KEY_FORMS_SQL = f"""
+WITH d AS ({cat.catalog_items_sql()}),
+t AS (SELECT id, dataset, coalesce(output[1], '') AS line, 'Task-' || lang || ' ' AS alias FROM d JOIN (SELECT doc_id::VARCHAR AS id, lang FROM documents) USING (id))
+SELECT id, md5(translate(substr({o.trim("replace(lower(nfc_normalize(line)), chr(0), '')")}, 1, 255), ' ./', '___')) AS key,
+       md5(translate(lower({o.trim('line')}), ' -', '__')) AS clean, 'language ' || substr(alias, 6, 2) AS task
+FROM t
+"""
+
+
+@query("key_forms", KEY_FORMS_SQL)
+def key_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 + P14 + P15: normalised keys and sanitised texts of first lines (by digest),
+    and tasks by alias."""
+    from rubric.functions.text import sanitize_text
+    from rubric.operators import prepare as P
+    lang = fx.table(spark, sf_dir, "documents", "doc_id", "lang").select(F.col("doc_id").cast("string").alias("id"), "lang")
+    lines = cat.catalog_items(spark, sf_dir).select("id", F.coalesce(F.get("output", 0), F.lit("")).alias("line")).join(lang, "id")
+    aliased = lines.select("id", "line", F.concat(F.lit("Task-"), "lang", F.lit(" ")).alias("alias"))
+    mapping = lang.select(F.concat(F.lit("task "), "lang").alias("alias"), F.concat(F.lit("language "), "lang").alias("task")).distinct()
+    mapped = P.map_alias(aliased, mapping, "alias")
+    keyed = P.normalize_keys(mapped, "line")
+    return keyed.select("id", F.md5("key").alias("key"), F.md5(sanitize_text("line")).alias("clean"), "task")
