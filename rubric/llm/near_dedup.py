@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rubric.llm import bloom
 from rubric.llm.common import scratch_dir
 from rubric.llm.shingles import U64, chunks, mix, shingle_sets, text_bytes
 from rubric.session import cut_lineage
@@ -272,7 +273,10 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
     buckets = cut_lineage(bands.join(bands.groupBy("bucket").count().where("count > 1").select("bucket"), "bucket"))
     members = buckets.select("bucket", "rep", "n")
     wanted = cut_lineage(classes.join(members.select("rep").distinct(), "rep", "left_semi"))
-    mine = docs.join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # texts without partners are left out before the shuffle, but for the filter's false hits
+    ids = wanted.select(F.col("least").alias("doc_id"))
+    near = bloom.flag(docs.select("doc_id", "text"), F.xxhash64("doc_id"), ids.select(F.xxhash64("doc_id").alias("key"))).where("maybe")
+    mine = near.drop("maybe").join(ids.distinct(), "doc_id", "left_semi")
     sets = (full_sets(mine, k).dropDuplicates(["doc_id", "cls"])
             .join(wanted.select(F.col("least").alias("doc_id"), "cls", "rep"), ["doc_id", "cls"]).select("rep", "grams"))
     sets.write.parquet(f"{folder}/sets")
@@ -328,9 +332,13 @@ def keep_first(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     marks = cut_lineage(keys.join(first, "grp").select(
         F.col("doc_id").alias("__id"), F.col("t").alias("__t"), stays.alias("stays"), (F.col("c") > 1).alias("repeated"))
         .where(~F.col("stays") | F.col("repeated")))
-    keyed = docs.select(F.struct(*docs.columns).alias("__row"), own.alias("__id"), text_digest(text).alias("__t"))
+    # rows whose id no mark has stay, unshuffled; only the filter's hits meet the marks
+    keyed = docs.select(F.struct(*docs.columns).alias("__row"), own.alias("__id"), text.alias("__text"))
+    flagged = bloom.flag(keyed, F.xxhash64("__id"), marks.select(F.xxhash64("__id").alias("key")))
+    clear = flagged.where("not maybe").select("__row")
+    keyed = flagged.where("maybe").select("__row", "__id", text_digest(F.col("__text")).alias("__t"))
     at = ["__id", "__t"]
     alone = keyed.join(marks.select(*at), at, "left_anti")
     # nearly always few; equal rows are combined before they are shuffled
     repeated = keyed.join(marks.where("stays").select(*at), at, "left_semi").dropDuplicates(at)
-    return alone.unionByName(repeated).select("__row.*")
+    return clear.unionByName(alone.select("__row")).unionByName(repeated.select("__row")).select("__row.*")

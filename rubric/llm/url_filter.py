@@ -31,13 +31,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rubric.llm.bloom import MAX_BLOCKS, all_bits, block_of, blocks, n_blocks_for  # noqa: F401
 from rubric.llm.common import let
 
-#: 256-bit blocks of the filter: at least 16 bits a rule up to the bound.
-BITS_PER_RULE = 16
-BLOCK_BITS = 256
-MAX_BLOCKS = 1 << 16
-WORDS = 8
 SALTS = 8
 
 # A-Z and a-z, the only letters that a host changes.
@@ -75,35 +71,9 @@ def rule_key(host: Column, path: Column) -> Column:
     return F.xxhash64(host, path)
 
 
-def block_of(key: Column, n_blocks: int) -> Column:
-    return F.pmod(F.shiftrightunsigned(key, 32), F.lit(n_blocks)).cast("int")
-
-
-def word_masks(key: Column) -> list[Column]:
-    """One bit in each word of the block: five bits of a second hash each."""
-    bits = F.xxhash64(key)
-    return [F.call_function("shiftleft", F.lit(1), F.shiftrightunsigned(bits, 5 * k).bitwiseAND(F.lit(31)).cast("int"))
-            for k in range(WORDS)]
-
-
 def bloom_blocks(rules: DataFrame, n_blocks: int) -> DataFrame:
-    """The filter: block, w0..w7; at most ``n_blocks`` rows."""
-    keyed = rules.select(rule_key(F.col("host"), F.col("path")).alias("key"))
-    masks = [m.alias(f"w{k}") for k, m in enumerate(word_masks(F.col("key")))]
-    return keyed.select(block_of(F.col("key"), n_blocks).alias("block"), *masks).groupBy("block").agg(
-        *[F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS)])
-
-
-def all_bits(key: Column) -> Column:
-    hit = F.lit(True)
-    for k, mask in enumerate(word_masks(key)):
-        hit = hit & (F.col(f"w{k}").bitwiseAND(mask) != 0)
-    return hit
-
-
-def n_blocks_for(n_rules: int) -> int:
-    need = max(1, -(-n_rules * BITS_PER_RULE // BLOCK_BITS))
-    return min(MAX_BLOCKS, 1 << (need - 1).bit_length())
+    """The filter of the listed rules: block, w0..w7; at most ``n_blocks`` rows."""
+    return blocks(rules.select(rule_key(F.col("host"), F.col("path")).alias("key")), n_blocks)
 
 
 # ---------------------------------------------------------------------------
@@ -144,13 +114,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
         "page_id", "u.host", "u.path")
     if size["n"] == 0:
         return split.select("*", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
-    blocks = n_blocks_for(size["n"])
+    n_blocks = n_blocks_for(size["n"])
     possible = candidates(split, size["longest"], list(size["lengths"]))
     key = rule_key(F.col("r_host"), F.col("r_path"))
     own = F.col("r_host").isNull()
-    probed = possible.select("*", key.alias("key")).withColumn("block", block_of(F.col("key"), blocks))
+    probed = possible.select("*", key.alias("key")).withColumn("block", block_of(F.col("key"), n_blocks))
     # at most MAX_BLOCKS rows of nine integers
-    passed = (probed.join(F.broadcast(bloom_blocks(listed, blocks)), "block", "left")
+    passed = (probed.join(F.broadcast(bloom_blocks(listed, n_blocks)), "block", "left")
               .where(own | F.coalesce(all_bits(F.col("key")), F.lit(False)))
               .select("page_id", "host", "path", "r_host", "r_path", (F.spark_partition_id() % SALTS).alias("salt")))
     exact = listed.select(F.col("host").alias("r_host"), F.col("path").alias("r_path"), "verdict",
