@@ -52,7 +52,7 @@ def test_redact_and_defaults(spark):
     assert out.schema["config"].dataType.simpleString() == "struct<name:string,model_args:struct<n:int>>"
     items = spark.createDataFrame([("d", "1", None)], "dataset string, id string, instruction string")
     r = rows(P.normalize_items(items))[0]
-    assert r["instruction"] == "" and r["output"] == "" and r["source_link"] == ""
+    assert r["instruction"] == "" and r["output"] == [""] and r["source_link"] == ""
 
 
 def test_valid_datasets_and_schema_keys(spark):
