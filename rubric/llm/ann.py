@@ -19,7 +19,8 @@ without clusters in many dimensions have their nearest neighbours spread over mo
 shards: fixed numbers lose recall as the table grows.  The work of a query
 therefore follows the table's size.
 
-Edge cases: null, zero, or partly null or non-finite vectors take no part; equal
+Edge cases: null, zero, or partly null or non-finite vectors take no part, nor do
+vectors of another length than the commonest (of equally common ones the longer); equal
 scores order by id; fewer points than asked give all of them; repeated rows with
 one id are distinct candidates of that id only once; an empty table gives an
 empty result; extra columns are never read.
@@ -164,12 +165,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     """(query_id, rank, vec_id, score): each query's ``k`` best by inner product,
     its own row excluded."""
     rows = usable(vectors, id_col, vector_col)
+    # inner products need one length: the commonest, of equally common ones the longer
+    common = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
+    same = F.size("v") == (common["d"] if common else 0)
+    rows = rows.where(same)
     # equal vectors are one point; a query may own one of its ids, so k + 1 are kept
     ids = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     least = (rows.dropDuplicates(["vec_id"]).withColumn("r", ids).where(F.col("r") <= k + 1)
              .groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     points = least.select(F.element_at("ids", 1).alias("vec_id"), "v")
-    asked = usable(queries, id_col, vector_col).dropDuplicates(["vec_id"])
+    asked = usable(queries, id_col, vector_col).where(same).dropDuplicates(["vec_id"])
     wanted = asked.groupBy("v").agg(F.min("vec_id").alias("vec_id"))
 
     state = points.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()

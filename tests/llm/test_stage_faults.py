@@ -53,3 +53,13 @@ def test_no_bin_holds_much_of_a_source(spark, weight):
     keys = spark.range(50_000).select(mixing.draw(F.col("id"), F.lit(weight)).alias("key"))
     largest = keys.groupBy(mixing._bin(F.col("key")).alias("b")).count().agg(F.max("count")).first()[0]
     assert largest < 50_000 * 0.004
+
+
+def test_vectors_of_other_lengths_take_no_part(spark):
+    from rubric.llm import ann
+    rng = random.Random(3)
+    rows = [(i, [rng.random() for _ in range(4)]) for i in range(60)] + [(100, [1.0]), (120, [2.0, 3.0, 4.0, 5.0, 6.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id % 20 = 0"), 5).collect()
+    assert {r["query_id"] for r in got} == {0, 20, 40} and len(got) == 15
+    assert all(r["vec_id"] < 60 for r in got)
