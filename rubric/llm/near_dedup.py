@@ -52,6 +52,8 @@ PERCENT = 80
 SHINGLE = 5
 #: Sets that one task compares with as many others at once.
 BLOCK = 64
+#: Parts of a component's classes.
+SALTS = 16
 
 
 def _permuted(keys: np.ndarray, rank: int) -> np.ndarray:
@@ -293,9 +295,11 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
     if not more.isEmpty():
         roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     rooted = classes.select("cls", "rep", "least").join(roots, F.col("rep") == F.col("node"), "left").select(
-        "cls", "least", F.coalesce("root", "rep").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    of_class = rooted.join(named, "root").select("cls", "root", "component")
+        "cls", "least", F.coalesce("root", "rep").alias("root"), F.pmod(F.xxhash64("rep"), F.lit(SALTS)).alias("salt"))
+    # one component may hold a third of all classes: its name is looked up in SALTS parts
+    named = rooted.groupBy("root").agg(F.min("least").alias("component")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    of_class = rooted.join(named, ["root", "salt"]).select("cls", "root", "component")
     out = sketch.select("doc_id", "t", "n", "cls").join(of_class, "cls", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     has_id = F.col("doc_id").isNotNull()
