@@ -124,6 +124,7 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # single token within a word: documents offer those pieces of their words, but only in
 # lengths that such passages have, so without them nothing is added.
 WORD, END, START, PART = "w", "e", "s", "p"
+PARTS = 32  # of the documents with one piece, a power of two
 
 
 def _words(text: F.Column) -> F.Column:
@@ -143,27 +144,31 @@ def _passage_pieces(passages: DataFrame) -> DataFrame:
         "item_id", "x.kind", "x.piece")
 
 
-def _piece_key(kind: F.Column, piece: F.Column) -> F.Column:
+def _piece_name(kind: str, piece: F.Column) -> F.Column:
+    """What pieces meet by; a space, which no word has, sets cut pieces apart from words."""
+    return piece if kind == WORD else F.concat(F.lit(kind + " "), piece)
+
+
+def _piece_key(name: F.Column) -> F.Column:
     """Pieces meet by hash; ``contains`` judges every candidate."""
-    return F.xxhash64(kind, piece)
+    return F.xxhash64(name)
 
 
 def _document_keys(docs: DataFrame, lengths: F.Column) -> DataFrame:
     """(doc_id, key) of each distinct piece that a document offers; ``lengths`` holds
     those of the cut pieces."""
-    words = F.array_distinct(_words(F.col("text")))
-    whole = F.transform("words", lambda w: _piece_key(F.lit(WORD), w))
-
-    def cuts(kind: str, places):
-        return F.flatten(F.transform("words", lambda w: F.flatten(F.transform(
-            F.filter(F.col("lengths")[kind], lambda k: k <= F.length(w)),
-            lambda k: F.transform(places(w, k), lambda at: _piece_key(F.lit(kind), F.substring(w, at, k)))))))
+    def cuts(kind: str, places):  # length by length, so that no word is walked for a kind without lengths
+        return F.flatten(F.transform(F.col("lengths")[kind], lambda k: F.flatten(F.transform(
+            F.filter("words", lambda w: F.length(w) >= k),
+            lambda w: F.transform(places(w, k), lambda at: _piece_name(kind, F.substring(w, at, k)))))))
 
-    offered = F.concat(
-        whole, cuts(END, lambda w, k: F.array(F.length(w) - k + 1)), cuts(START, lambda w, k: F.array(F.lit(1))),
-        cuts(PART, lambda w, k: F.sequence(F.lit(1), F.length(w) - k + 1)))
-    return (spread(docs.select("doc_id", "text")).select("doc_id", words.alias("words"), lengths.alias("lengths"))
-            .select("doc_id", F.explode(F.array_distinct(offered)).alias("key")))
+    offered = F.array_distinct(F.concat(
+        "words", cuts(END, lambda w, k: F.array(F.length(w) - k + 1)), cuts(START, lambda w, k: F.array(F.lit(1))),
+        cuts(PART, lambda w, k: F.sequence(F.lit(1), F.length(w) - k + 1))))
+    # explode_outer: of explode, Spark takes a filter that computes the array a second time
+    return (spread(docs.select("doc_id", "text")).select("doc_id", _words(F.col("text")).alias("words"), lengths.alias("lengths"))
+            .select("doc_id", offered.alias("pieces")).select("doc_id", F.explode_outer("pieces").alias("piece"))
+            .select("doc_id", _piece_key(F.col("piece")).alias("key")))
 
 
 @memo_view
@@ -178,17 +183,22 @@ def contained_passages(bench: DataFrame, docs: DataFrame) -> DataFrame:
     """(item_id, doc_id, source, lang, passage, document) where the document
     contains the passage verbatim.
 
-    Pieces that no passage has go first (a semi join); how many documents have each
-    of the rest is a hash aggregate; the documents with a passage's anchor are its
-    candidates."""
+    Pieces that no passage has go first (a semi join).  The rest is shuffled once, by
+    piece and part of the documents: how many documents have each is counted there, and
+    the documents with a passage's anchor, its candidates, are found there.  Both read
+    one shuffle, so the texts are split once, as long as both take the same columns."""
     pieces = _passage_pieces(bench)
     of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.length("piece"))).alias(kind)
     lengths = pieces.agg(F.struct(of(END), of(START), of(PART)).alias("l")).scalar()
-    asked = pieces.select("item_id", _piece_key(F.col("kind"), F.col("piece")).alias("key"))
-    offered = _document_keys(docs, lengths).join(asked.select("key").distinct(), "key", "left_semi")
-    counts = offered.groupBy("key").agg(F.count("*").alias("n"))
+    name = F.when(F.col("kind") == WORD, F.col("piece")).otherwise(F.concat_ws(" ", "kind", "piece"))
+    asked = pieces.select("item_id", _piece_key(name).alias("key"))
+    named = docs.where(F.col("doc_id").isNotNull())  # as the last join takes them, so that both readers take the same
+    offered = _document_keys(named, lengths).join(asked.select("key").distinct(), "key", "left_semi")
+    offered = offered.select("doc_id", "key", F.xxhash64("doc_id").bitwiseAND(PARTS - 1).alias("part")).repartition("key", "part")
+    counts = offered.groupBy("key", "part").agg(F.count("doc_id").alias("n")).groupBy("key").agg(F.sum("n").alias("n"))
     anchors = asked.join(counts, "key").groupBy("item_id").agg(F.min(F.struct("n", "key"))["key"].alias("key"))
-    candidates = offered.join(anchors, "key").select("item_id", "doc_id")
+    anchors = anchors.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    candidates = offered.join(anchors, ["key", "part"]).select("item_id", "doc_id")
     found = candidates.join(bench.select("item_id", F.col("text").alias("passage")), "item_id").join(docs, "doc_id")
     return found.filter(F.contains(F.col("text"), F.col("passage"))).select(
         "item_id", "doc_id", "source", "lang", "passage", F.col("text").alias("document"))

@@ -62,3 +62,33 @@ def test_clipped_matches_equal_counters(monkeypatch, chunk):
         assert overlap.clipped_matches(*sides, 4).tolist() == want
         half = [s.slice(len(rows) // 2) for s in sides]
         assert overlap.clipped_matches(*half, 4).tolist() == want[len(rows) // 2:]
+
+
+def test_edit_distances_side_by_side_equal_the_full_table():
+    rng = random.Random(5)
+    text = lambda n, symbols: "".join(rng.choice(symbols) for _ in range(n))
+    pairs = [("", ""), ("", "ab"), ("abc", "xabcx"), ("abcd", "abd"), ("\ud800a", "a\ud800")]
+    for symbols in ("ab", "abcdefgh é😀"):
+        for longest in (6, 64, 65, 130, 300):
+            for _ in range(30):
+                a = text(rng.randint(0, longest), symbols)
+                pairs.append((a, text(rng.randint(0, longest), symbols) if rng.random() < .5 else "".join(c for c in a if rng.random() < .7)))
+    def table(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+    want = [table(*p) for p in pairs]
+    assert lcs.edit_distances(pairs) == want
+    assert lcs.edit_distances([(a.split("a"), b.split("a")) for a, b in pairs]) == [table(a.split("a"), b.split("a")) for a, b in pairs]
+
+
+def test_answers_of_like_length_take_fewer_steps_than_one_by_one(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(300)) for _ in range(64)]
+    alone = []
+    monkeypatch.setattr(lcs, "edit_distance", lambda a, b: alone.append((a, b)))
+    lcs.edit_distances([(t, texts[k - 1]) for k, t in enumerate(texts)] + [("of " + texts[0] + " and more", texts[0])])
+    assert not alone

@@ -54,3 +54,16 @@ def test_conversations_are_scanned_once_a_role(spark):
 
 def test_chat_prompts_are_not_joined(spark):
     assert "Join" not in _plan(entry.queries()["chat_prompts"](spark, SF_SMALL))
+
+
+def test_passages_split_each_document_once(spark):
+    """Counts and candidates read one shuffle of the documents' pieces."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        from rubric.plans import fixtures as fx
+        docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "source", "lang")
+        bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text")
+        plan = _plan(fx.contained_passages(bench, docs))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("array_distinct(concat(") == 1
