@@ -60,6 +60,11 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def trim_ws(c: Column | str) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode white space."""
     return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
@@ -99,21 +104,21 @@ def first_word_or_line(c: Column | str) -> Column:
     words is returned as is; otherwise its first word without non-word
     characters.
     """
-    text = trim_ws(F.coalesce(col_(c), F.lit("")))
+    text = F.regexp_replace(F.coalesce(col_(c), F.lit("")), r"(?U)^\s+", "")
     line = trim_ws(F.substring_index(text, "\n", 1))
     line = F.regexp_replace(line, "(?U)" + NON_WORD + "+$", "")
+    return once(line, _answer_of_line)
+
+
+def _answer_of_line(line: Column) -> Column:
     colon = r"(?U)^([^:]+):\s*(\S+)"
     prefix = F.lower(trim_ws(F.regexp_extract(line, colon, 1)))
     prefix_hit = F.regexp_like(prefix, F.lit("|".join(ANSWER_PREFIX_WORDS)))
     after_colon = trim_ws(F.regexp_replace(trim_ws(F.regexp_extract(line, colon, 2)), "(?U)" + NON_WORD, ""))
-    words = ws_tokens(line)
-    first = trim_ws(F.regexp_replace(F.coalesce(F.get(words, 0), line), "(?U)" + NON_WORD, ""))
-    return (
-        F.when(text == "", F.lit(""))
-        .when(F.regexp_like(line, F.lit(colon)) & prefix_hit, after_colon)
-        .when(F.size(words) <= 3, line)
-        .otherwise(first)
-    )
+    words = F.filter(F.split(trim_ws(line), r"(?U)\s+", 4), lambda x: x != F.lit(""))  # the fourth is all the rest
+    first = lambda words: trim_ws(F.regexp_replace(F.coalesce(F.get(words, 0), line), "(?U)" + NON_WORD, ""))
+    by_words = once(words, lambda words: F.when(F.size(words) <= 3, line).otherwise(first(words)))
+    return F.when(F.contains(line, F.lit(":")) & F.regexp_like(line, F.lit(colon)) & prefix_hit, after_colon).otherwise(by_words)
 
 
 def space_punctuation(c: Column | str, change_braces: bool = False,
@@ -171,8 +176,11 @@ def extract_asr_text(c: Column | str) -> Column:
     surrounding double or single quotes.
     """
     p = trim_ws(F.coalesce(col_(c), F.lit("")))
-    v = F.try_parse_json(p)
-    kind = F.schema_of_variant(v)
+    return once(p, lambda p: once(F.try_parse_json(p), lambda v: once(F.schema_of_variant(v), lambda kind: _asr_text(p, v, kind))))
+
+
+def _asr_text(p: Column, v: Column, kind: Column) -> Column:
+    """Text of an answer ``p``, parsed as ``v`` (null: no JSON) of the schema ``kind``."""
     is_obj = kind.startswith("OBJECT")
     text_v = F.variant_get(v, "$.text", "variant")
     text_str = F.variant_get(v, "$.text", "string")

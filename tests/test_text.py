@@ -1,5 +1,7 @@
 """Hand-computed cases for the scalar text rules."""
 
+import re
+
 from conftest import one_col
 from pyspark.sql import functions as F
 
@@ -96,3 +98,9 @@ def test_small_rules(spark):
     assert one_col(spark, ["a\nb"], T.escape_newlines) == ["a\\nb"]
     assert one_col(spark, [" Some Key/x.y "], T.key_basic) == ["some_key_x_y"]
     assert one_col(spark, ["uSER"], T.capitalize) == ["User"]
+
+
+def test_answer_rules_compute_line_and_json_once():
+    line, parsed = str(T.first_word_or_line("x")), str(T.extract_asr_text("x"))
+    assert line.count("substring_index") == 1
+    assert parsed.count("coalesce(x, ") == 1 and len(re.findall(r"try_parse_json\(x_\d+\)", parsed)) == 1
